@@ -325,13 +325,13 @@ CSV_OPTIONS = {
 }
 
 
-def _orders_csv(spark: SparkSession, sf_dir: str, folder: str) -> str:
+def orders_csv(spark: SparkSession, sf_dir: str, folder: str) -> str:
     path = f"{folder}/orders_csv"
     star.raw_orders_with_headers(spark, sf_dir).write.options(**CSV_OPTIONS).csv(path)
     return path
 
 
-def _logs_csv(spark: SparkSession, sf_dir: str, folder: str) -> str:
+def logs_csv(spark: SparkSession, sf_dir: str, folder: str) -> str:
     path = f"{folder}/logs_csv"
     star.raw_logs(spark, sf_dir).write.options(**CSV_OPTIONS).csv(path)
     return path
@@ -339,7 +339,7 @@ def _logs_csv(spark: SparkSession, sf_dir: str, folder: str) -> str:
 
 def csv_round_trip_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders written as CSV under original-style headers, read back, bronze."""
-    path = _orders_csv(spark, sf_dir, work_folder(spark, "csv-orders"))
+    path = orders_csv(spark, sf_dir, work_folder(spark, "csv-orders"))
     read = layers.bronze_orders(read_orders_csv(spark, path))
     whole = {name: "int" for name in ["order_item_id"]}
     return settle(op.cast_columns(read, whole), NOISY)
@@ -347,7 +347,7 @@ def csv_round_trip_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def csv_round_trip_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The log written as CSV, read back, bronze."""
-    path = _logs_csv(spark, sf_dir, work_folder(spark, "csv-logs"))
+    path = logs_csv(spark, sf_dir, work_folder(spark, "csv-logs"))
     return settle(layers.bronze_logs(read_access_log_csv(spark, path)), as_text=("hour",))
 
 
@@ -415,7 +415,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 def csv_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All layers from CSV files; mart row counts."""
     folder = work_folder(spark, "csv-pipeline")
-    orders, logs = _orders_csv(spark, sf_dir, folder), _logs_csv(spark, sf_dir, folder)
+    orders, logs = orders_csv(spark, sf_dir, folder), logs_csv(spark, sf_dir, folder)
     return run_csv_pipeline(spark, orders, logs, layer_path(folder, "lake", "tables"))
 
 

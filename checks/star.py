@@ -59,7 +59,9 @@ def order_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items with their order, customer, nation, region and part.
 
     Orders meet their customers first, so the largest table is shuffled for the order key and
-    the part key only. Which sides are broadcast is left to Spark, which checks sizes.
+    the part key only. Both fact tables grow together, so their join is a merge join at every
+    size, where adaptive execution splits a hot order key. Which dimension is broadcast is left
+    to Spark, which checks sizes.
     """
     places = table(spark, sf_dir, "nation").join(
         table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey")
@@ -72,7 +74,7 @@ def order_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return (
         table(spark, sf_dir, "lineitem")
-        .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+        .join(orders.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
     )
 
