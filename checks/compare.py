@@ -27,6 +27,8 @@ def local_session(name: str = "tiermill-checks", cores: str = "8", **settings: s
         .config("spark.driver.memory", "16g")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", cores)
+        # A pipeline generates more classes than the default cache holds; evicted ones start cold.
+        .config("spark.sql.codegen.cache.maxEntries", "1000")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
     for key, value in settings.items():

@@ -1,0 +1,220 @@
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+
+from checks import star
+from tests.plans import physical_plan
+from tiermill import sources as src
+from tiermill.operators import normalize_names
+from tiermill.plans import gold, layers
+from tiermill.sources.workspace import work_folder
+
+
+def rows(df):
+    return sorted(map(repr, df.collect()))
+
+
+@pytest.fixture
+def csv(tmp_path):
+    def write(text, name="data.csv", encoding="utf-8"):
+        (tmp_path / name).write_bytes(text.encode(encoding))
+        return str(tmp_path / name)
+
+    return write
+
+
+def test_order_types_follow_header_names_in_any_order(spark, csv):
+    path = csv("Sales,Order Id,Late_delivery_risk,Extra (x)\n1.5,7,1,z\nn/a,x,,\n")
+    df = src.read_orders_csv(spark, path)
+    assert df.dtypes == [
+        ("Sales", "string"),
+        ("Order Id", "bigint"),
+        ("Late_delivery_risk", "int"),
+        ("Extra (x)", "string"),
+    ]
+    assert [tuple(r) for r in df.collect()] == [("1.5", 7, 1, "z"), ("n/a", None, None, None)]
+
+
+def test_inference_and_explicit_schemas(spark, csv):
+    path = csv("Sales,Order Id\n1.5,7\n")
+    assert src.read_orders_csv(spark, path, "infer").dtypes == [
+        ("Sales", "double"),
+        ("Order Id", "int"),
+    ]
+    given = src.read_orders_csv(spark, path, "Sales string, `Order Id` string")
+    assert [tuple(r) for r in given.collect()] == [("1.5", "7")]
+
+
+def test_a_file_with_another_header_raises(spark, csv, tmp_path):
+    csv("Sales,Order Id\n1.5,7\n", "a.csv")
+    csv("Order Id,Sales\n7,1.5\n", "b.csv")
+    with pytest.raises(Exception, match="(?i)header"):
+        src.read_orders_csv(spark, str(tmp_path)).collect()
+
+
+def test_encoding_and_lost_letters(spark, csv):
+    text = "Order Country,Order City\nMéxico,x\n"
+    letters = []
+    for encoding, said in (("utf-8", "UTF-8"), ("latin-1", "ISO-8859-1"), ("latin-1", "UTF-8")):
+        path = csv(text, f"{encoding}-{said}.csv", encoding)
+        read = normalize_names(src.read_orders_csv(spark, path, encoding=said))
+        clean = read.select(F.regexp_replace("order_country", r"[^a-zA-Z\s]", ""))
+        letters.append(clean.first()[0])
+    assert letters == ["Mxico"] * 3
+
+
+def test_log_is_eight_text_columns_by_position(spark, csv):
+    path = csv("P,C,Date,M,H,D,ip,url\n shoe ,c,1/9/2018 6:05,Jan,5,d,10.0.0.1,/a\n")
+    df = src.read_access_log_csv(spark, path)
+    assert [kind for _, kind in df.dtypes] == ["string"] * 8
+    assert df.first()[0] == " shoe "
+    assert layers.bronze_logs(df).count() == 1
+    assert src.read_access_log_csv(spark, path, "infer").dtypes[4] == ("H", "int")
+
+
+def test_layer_tables_are_overwritten_whole(spark, tmp_path):
+    root = str(tmp_path)
+    path = src.write_layer(spark.range(5), root, "bronze", "t")
+    assert path == src.layer_path(root + "/", "bronze", "t")
+    src.write_layer(spark.range(2).withColumnRenamed("id", "k"), root, "bronze", "t")
+    assert rows(src.read_layer(spark, root, "bronze", "t")) == ["Row(k=0)", "Row(k=1)"]
+
+
+def test_registered_names_follow_a_replaced_schema(spark, tmp_path):
+    root, name = str(tmp_path), "follow_schema"
+    src.write_layer(spark.range(3), root, "silver", "t", table=name)
+    assert spark.table(name).columns == ["id"]
+    src.register(spark, name, src.layer_path(root, "silver", "t"))
+    wider = spark.range(4).withColumn("x", F.lit(1))
+    src.write_layer(wider, root, "silver", "t", table=name)
+    assert spark.table(name).columns == ["id"]
+    src.write_layer(wider, root, "silver", "t", replace_schema=True, table=name)
+    assert spark.table(name).columns == ["id", "x"]
+    assert spark.table(name).count() == 4
+    spark.sql(f"DROP TABLE {name}")
+    assert src.read_layer(spark, root, "silver", "t").count() == 4
+
+
+def test_rows_are_counted_by_the_write(spark, tmp_path):
+    root = str(tmp_path)
+    assert src.write_counted(spark.range(1234).repartition(7), root, "l", "many") == 1234
+    nothing = spark.range(10).filter("id > 100")
+    assert src.write_counted(nothing, root, "l", "none") == 0
+    assert src.read_layer(spark, root, "l", "none").columns == ["id"]
+
+
+def test_mart_audit_names_every_mart_in_order(spark, sf_dir, tmp_path):
+    marts = {"a": spark.range(3), "kpi_summary": spark.range(2).withColumn("market", F.lit("x"))}
+    audit = src.write_marts(marts, str(tmp_path))
+    assert [tuple(row) for row in audit.collect()] == [("a", 3), ("kpi_summary", 2)]
+    assert audit.dtypes == [("mart", "string"), ("rows", "bigint")]
+    with pytest.raises(ValueError, match="no marts"):
+        src.write_marts({}, str(tmp_path))
+
+
+def test_a_failing_mart_is_reported(spark, tmp_path):
+    broken = spark.range(3).select(F.raise_error(F.lit("broken mart")).alias("x"))
+    with pytest.raises(Exception, match="broken mart"):
+        src.write_marts({"ok": spark.range(1), "bad": broken}, str(tmp_path))
+
+
+def test_bytes_and_partitions(spark, tmp_path):
+    path = src.write_layer(spark.range(1000).repartition(3), str(tmp_path), "l", "t")
+    size = sum(file.stat().st_size for file in (tmp_path / "l/t").glob("*.parquet"))
+    assert src.data_bytes(spark, path) == size
+    assert [src.partitions_for(n, 10) for n in (0, 1, 10, 11)] == [1, 1, 1, 2]
+
+
+def test_shuffle_partitions_only_rise_and_come_back(spark):
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    with src.shuffle_sized_for(spark, 1):
+        assert spark.conf.get(key) == before
+    with pytest.raises(RuntimeError), src.shuffle_sized_for(spark, 2**40, growth=1) as count:
+        assert count == int(spark.conf.get(key)) == 2**13
+        raise RuntimeError
+    assert spark.conf.get(key) == before
+
+
+def test_clustered_files_have_disjoint_ranges_and_the_same_rows(spark, sf_dir, tmp_path):
+    source = f"{sf_dir}/lineitem.parquet"
+    target = src.compact_and_cluster(spark, source, str(tmp_path / "t"), "l_shipdate", files=4)
+    before, after = spark.read.parquet(source), spark.read.parquet(target)
+    assert after.columns == before.columns
+    assert before.exceptAll(after).count() == after.exceptAll(before).count() == 0
+    stats = src.layout_stats(spark, target, "l_shipdate").orderBy("low").collect()
+    assert len(stats) == 4
+    assert all(a.high <= b.low for a, b in zip(stats, stats[1:]))
+    assert sum(row.rows for row in stats) == before.count()
+
+
+def test_a_hot_value_is_spread_over_files(spark, tmp_path):
+    source = str(tmp_path / "source")
+    hot = F.when(F.col("id") % 3 == 0, 500).otherwise(F.col("id") % 1000)
+    # Equal rows too: only their place in the source tells them apart.
+    spark.range(9000).select(hot.alias("v"), F.lit("same").alias("s")).write.parquet(source)
+    target = src.compact_and_cluster(spark, source, str(tmp_path / "t"), "v", files=9)
+    stats = src.layout_stats(spark, target, "v").orderBy("low", "high").collect()
+    assert sum(row.rows for row in stats) == 9000
+    assert max(row.rows for row in stats) < 2000
+    assert all(a.high <= b.low for a, b in zip(stats, stats[1:]))
+    assert spark.read.parquet(target).filter("v = 500").count() == (
+        spark.read.parquet(source).filter("v = 500").count()
+    )
+
+
+def test_file_count_follows_size_and_source_is_safe(spark, tmp_path):
+    source = src.write_layer(spark.range(5000).repartition(6), str(tmp_path), "l", "t")
+    size = src.data_bytes(spark, source)
+    target = src.compact_and_cluster(
+        spark, source, str(tmp_path / "c"), "id", file_bytes=size // 2 + 1
+    )
+    assert src.layout_stats(spark, target, "id").count() == 2
+    with pytest.raises(ValueError, match="differ"):
+        src.compact_and_cluster(spark, source, source + "/", "id")
+
+
+def test_clustering_a_mart_is_a_range_exchange(spark):
+    plan = physical_plan(src.cluster(spark.range(10).withColumn("m", F.col("id") % 3), "m"))
+    assert "rangepartitioning" in plan and "REPARTITION_BY_COL" in plan
+
+
+def test_work_folder_is_in_the_shared_folder(spark):
+    base = spark.conf.get("spark.checkpoint.dir")
+    one, two = work_folder(spark, "x"), work_folder(spark, "x")
+    assert one.startswith(f"{base}/x-") and one != two
+
+
+class Settings:
+    def __init__(self, **values):
+        self.values = values
+        self.conf = self
+
+    def get(self, key, default=None):
+        return self.values.get(key, default)
+
+
+def test_work_folder_needs_shared_storage_on_a_cluster():
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        work_folder(Settings(**{"spark.master": "yarn"}), "x")
+    local = work_folder(Settings(**{"spark.master": "local[2]"}), "x")
+    assert "tiermill-" in local
+    shared = Settings(**{"spark.master": "yarn", "spark.checkpoint.dir": "hdfs:///work/"})
+    assert work_folder(shared, "x").startswith("hdfs:///work/x-")
+
+
+def test_marts_scan_only_their_columns(spark, sf_dir, tmp_path):
+    silver = layers.silver_orders(layers.bronze_orders(star.raw_orders(spark, sf_dir)))
+    src.write_layer(silver, str(tmp_path), "silver", "orders")
+    stored = src.read_layer(spark, str(tmp_path), "silver", "orders")
+    plan = physical_plan(gold.shipping_performance(stored))
+    read = next(line for line in plan.splitlines() if line.startswith("ReadSchema"))
+    columns = [part.split(":")[0] for part in read.split("struct<")[1].split(",")]
+    assert sorted(columns) == [
+        "days_for_shipment_scheduled",
+        "days_for_shipping_real",
+        "order_id",
+        "order_region",
+        "shipping_mode",
+    ]
