@@ -351,11 +351,18 @@ def csv_round_trip_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return settle(layers.bronze_logs(read_access_log_csv(spark, path)), as_text=("hour",))
 
 
+def _read_named(spark: SparkSession, name: str) -> DataFrame:
+    """A table read by name; the name is given back at once, the files stay."""
+    table = spark.table(name)
+    spark.sql("DROP TABLE IF EXISTS IDENTIFIER(:name)", {"name": name})
+    return table
+
+
 def write_and_register(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Silver orders written as a layer table, named, and read by name."""
     root, name = work_folder(spark, "register"), f"silver_orders_{uuid4().hex[:12]}"
     write_layer(silver(spark, sf_dir), root, "silver", "orders", table=name)
-    return settle(spark.table(name), NOISY)
+    return settle(_read_named(spark, name), NOISY)
 
 
 def replace_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -367,7 +374,7 @@ def replace_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     write_layer(
         layers.silver_logs(stored), root, "silver", "logs", replace_schema=True, table=name
     )
-    return settle(spark.table(name))
+    return settle(_read_named(spark, name))
 
 
 CLUSTER_FILES = 8

@@ -189,3 +189,11 @@ def test_cleaning_is_one_stage_without_a_shuffle(spark, sf_dir):
     plan = physical_plan(layers.clean_orders(frame))
     assert "Exchange" not in plan
     assert "EvalPython" not in plan
+
+
+def test_a_hot_order_is_not_pinned_by_the_fact_join(spark, sf_dir):
+    raw = star.raw_orders(spark, sf_dir)
+    head = physical_plan(layers.bronze_orders(raw)).split("\n\n")[0]
+    final, partial = head.index("HashAggregate"), head.rindex("HashAggregate")
+    assert "SortMergeJoin" in head
+    assert "Exchange" in head[final:partial]

@@ -135,6 +135,8 @@ def test_shuffle_partitions_only_rise_and_come_back(spark):
         assert count == int(spark.conf.get(key)) == 2**13
         raise RuntimeError
     assert spark.conf.get(key) == before
+    with src.shuffle_sized_for(spark, 100 * 2**40) as count:
+        assert count == 40_000
 
 
 def test_clustered_files_have_disjoint_ranges_and_the_same_rows(spark, sf_dir, tmp_path):

@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 
 MIB = 1024 * 1024
 SHUFFLE_PARTITION_BYTES = 128 * MIB
+# More reducers than this cost the driver and the shuffle service more than they help. Beyond it
+# partitions get larger instead, and aggregates, sorts and windows spill.
+MAX_SHUFFLE_PARTITIONS = 40_000
 # How many bytes of shuffled rows come from a byte of stored data.
 TEXT_GROWTH = 1
 COLUMNAR_GROWTH = 3
@@ -42,7 +45,8 @@ def shuffle_sized_for(
     """
     key = "spark.sql.shuffle.partitions"
     before = spark.conf.get(key)
-    wanted = max(int(before), partitions_for(size * growth))
+    fitting = min(partitions_for(size * growth), MAX_SHUFFLE_PARTITIONS)
+    wanted = max(int(before), fitting)
     spark.conf.set(key, str(wanted))
     try:
         yield wanted
