@@ -87,7 +87,7 @@ def main() -> None:
         )
     for name, (mart, build) in reports.REPORTS.items():
         runs[name] = lambda mart=mart, build=build: evaluate(build(stored("gold", mart)))
-    runs["run_pipeline"] = lambda: run_csv_pipeline(
+    runs["all_layers_from_csv"] = lambda: run_csv_pipeline(
         spark, orders_csv, logs_csv, layer_path(root, "lake", "run")
     )
     runs["top_markets_from_tables"] = lambda: evaluate(

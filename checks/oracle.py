@@ -622,8 +622,8 @@ TABLE_SQL = {
           strftime(max(l_shipdate), '%Y-%m-%d') AS high,
           cast(0 AS bigint) AS overlaps FROM lineitem""",
     "mart_row_counts": MART_COUNTS,
-    "run_pipeline": MART_COUNTS,
-    "run_csv_pipeline": MART_COUNTS,
+    "all_layers_from_tables": MART_COUNTS,
+    "all_layers_from_csv": MART_COUNTS,
 }
 
 

@@ -413,15 +413,15 @@ def mart_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return write_marts(gold.all_marts(read_layer(spark, root, "silver", "orders")), root)
 
 
-def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+def layers_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All layers from raw frames; mart row counts."""
     orders, logs = star.raw_orders(spark, sf_dir), star.raw_logs(spark, sf_dir)
-    return run_pipeline(spark, orders, logs, work_folder(spark, "pipeline"))
+    return run_pipeline(spark, orders, logs, work_folder(spark, "layers"))
 
 
-def csv_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+def layers_from_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All layers from CSV files; mart row counts."""
-    folder = work_folder(spark, "csv-pipeline")
+    folder = work_folder(spark, "csv-layers")
     orders, logs = orders_csv(spark, sf_dir, folder), logs_csv(spark, sf_dir, folder)
     return run_csv_pipeline(spark, orders, logs, layer_path(folder, "lake", "tables"))
 
@@ -434,8 +434,8 @@ TABLE_QUERIES = {
     "compact_and_cluster": cluster_items,
     "layout_stats": items_layout,
     "mart_row_counts": mart_row_counts,
-    "run_pipeline": pipeline,
-    "run_csv_pipeline": csv_pipeline,
+    "all_layers_from_tables": layers_from_tables,
+    "all_layers_from_csv": layers_from_csv,
 }
 
 
