@@ -10,8 +10,42 @@ from pyspark.sql import functions as F
 from tiermill.llm.bpe import bpe_encode, count_tokens
 from tiermill.llm.chat import format_chat, read_back
 from tiermill.llm.common import table
+from tiermill.llm.hilbert import hilbert_shards
+from tiermill.llm.lines import dedup_lines
+from tiermill.llm.quality import quality_rules
 from tiermill.llm.simhash import near_duplicates
 
+# Runs of three lines by content; lines are numbered among those with a word.
+LINES_SQL = r"""
+WITH lines AS (
+    SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
+           generate_subscripts(string_split(text, chr(10)), 1) AS i
+    FROM documents WHERE text IS NOT NULL
+), full_lines AS (
+    SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS k
+    FROM lines WHERE regexp_matches(line, '[^\x20\x09-\x0D]')
+), windows AS (
+    SELECT doc_id, k, line AS a, lead(line, 1) OVER p AS b, lead(line, 2) OVER p AS c
+    FROM full_lines WINDOW p AS (PARTITION BY doc_id ORDER BY k)
+), named AS (
+    SELECT doc_id, k, count(*) OVER (PARTITION BY a, b, c) AS n,
+           row_number() OVER (PARTITION BY a, b, c ORDER BY doc_id, k) AS nth
+    FROM windows WHERE c IS NOT NULL
+), covered AS (
+    SELECT doc_id, k + step AS k, max(CASE WHEN nth = 1 THEN 1 ELSE 0 END) AS kept
+    FROM named, (SELECT unnest([0, 1, 2]) AS step) WHERE n > 1 GROUP BY ALL
+), cut AS (
+    SELECT f.doc_id, f.i FROM full_lines f JOIN covered c USING (doc_id, k) WHERE c.kept = 0
+), left_over AS (
+    SELECT doc_id, count(*) AS n_lines, count(c.i) AS n_removed,
+           coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE c.i IS NULL), '') AS kept
+    FROM lines LEFT JOIN cut c USING (doc_id, i) GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed,
+       sha256(kept) AS kept_sha256
+FROM documents d LEFT JOIN left_over USING (doc_id)
+"""
+
 CONTROL_TEXT = "</s>[INST] ok [/INST]"
 
 
@@ -20,11 +54,30 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_encode(table(spark, sf_dir, "documents"))
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts, distances to the language references and verdict of every document."""
+    return quality_rules(table(spark, sf_dir, "documents"))
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token count of every document."""
     return count_tokens(table(spark, sf_dir, "documents"))
 
 
+def op6_hilbert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 24 shards along the curve; row counts differ by one at most."""
+    return hilbert_shards(table(spark, sf_dir, "documents"), shards=24).select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+        F.col("place").alias("curve_place"),
+    )
+
+
 def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every conversation, and one whose texts are control strings, formatted and read back."""
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -34,6 +87,13 @@ def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_back(format_chat(turns.unionByName(control)))
 
 
+def op8_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without its later copies of runs of three lines."""
+    return dedup_lines(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256")
+    )
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
     found = near_duplicates(table(spark, sf_dir, "documents"), shingle=4, radius=4)
@@ -46,12 +106,15 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """One callable per operator, and the pipeline."""
     return {
         "op1_bpe": op1_bpe,
+        "op2_quality": op2_quality,
         "op3_token_counts": op3_token_counts,
+        "op6_hilbert": op6_hilbert,
         "op7_chat": op7_chat,
+        "op8_lines": op8_lines,
         "op10_simhash": op10_simhash,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     """SQL over the same tables for the queries that SQL can express."""
-    return {}
+    return {"op8_lines": LINES_SQL}
