@@ -13,7 +13,9 @@ from tiermill.llm.common import table
 from tiermill.llm.hilbert import hilbert_shards
 from tiermill.llm.lines import dedup_lines
 from tiermill.llm.quality import quality_rules
+from tiermill.llm.recompression import remove_repeats
 from tiermill.llm.simhash import near_duplicates
+from tiermill.llm.toxicity import toxicity
 
 # Runs of three lines by content; lines are numbered among those with a word.
 LINES_SQL = r"""
@@ -64,6 +66,11 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"))
 
 
+def op5_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the words of windows of 35 words that start anywhere else too."""
+    return remove_repeats(table(spark, sf_dir, "documents"), window=35)
+
+
 def op6_hilbert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 24 shards along the curve; row counts differ by one at most."""
     return hilbert_shards(table(spark, sf_dir, "documents"), shards=24).select(
@@ -94,6 +101,11 @@ def op8_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document, learnt outside the held-out fold."""
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
     found = near_duplicates(table(spark, sf_dir, "documents"), shingle=4, radius=4)
@@ -108,9 +120,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_bpe": op1_bpe,
         "op2_quality": op2_quality,
         "op3_token_counts": op3_token_counts,
+        "op5_repeats": op5_repeats,
         "op6_hilbert": op6_hilbert,
         "op7_chat": op7_chat,
         "op8_lines": op8_lines,
+        "op9_toxicity": op9_toxicity,
         "op10_simhash": op10_simhash,
     }
 
