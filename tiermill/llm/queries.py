@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tiermill.llm.bpe import bpe_encode, count_tokens
 from tiermill.llm.chat import format_chat, read_back
 from tiermill.llm.common import table
+from tiermill.llm.decontaminate import find_leaks
 from tiermill.llm.hilbert import hilbert_shards
 from tiermill.llm.lines import dedup_lines
 from tiermill.llm.quality import quality_rules
@@ -66,6 +67,11 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"))
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every benchmark item that a document holds, as a copy or a paraphrase."""
+    return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op5_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the words of windows of 35 words that start anywhere else too."""
     return remove_repeats(table(spark, sf_dir, "documents"), window=35)
@@ -114,18 +120,27 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages of ``corpus_pipeline`` over all documents."""
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """One callable per operator, and the pipeline."""
     return {
         "op1_bpe": op1_bpe,
         "op2_quality": op2_quality,
         "op3_token_counts": op3_token_counts,
+        "op4_decontamination": op4_decontamination,
         "op5_repeats": op5_repeats,
         "op6_hilbert": op6_hilbert,
         "op7_chat": op7_chat,
         "op8_lines": op8_lines,
         "op9_toxicity": op9_toxicity,
         "op10_simhash": op10_simhash,
+        "pipeline": pipeline,
     }
 
 

@@ -26,7 +26,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -174,11 +174,36 @@ def near_duplicates(
 ) -> DataFrame:
     """``doc_id, fp, component_id``: the least ``doc_id`` that links reach from a document."""
     rows = stored(fingerprints(docs, shingle), "fingerprints")
+    return rows.join(_components(rows, radius, bucket), "fp").select("doc_id", "fp", "component_id")
+
+
+def representatives(docs: DataFrame, shingle: int = 4, radius: int = 4, bucket: int = BUCKET) -> DataFrame:
+    """One document of every component, the one with the least ``doc_id``; columns unchanged.
+
+    Rows that share that ``doc_id`` are one document if their texts are equal too, and the least
+    text stays otherwise. Rows without an id stay only where no row of their component has one.
+    """
+    rows = stored(fingerprints(docs, shingle), "fingerprints")
+    ids = (
+        _components(rows, radius, bucket)
+        .select(F.col("component_id").alias("__id"))
+        .distinct()
+    )
+    order = Window.partitionBy("doc_id").orderBy("text")
+    return (
+        docs.join(ids, docs["doc_id"].eqNullSafe(ids["__id"]), "left_semi")
+        .withColumn("__nth", F.row_number().over(order))
+        .filter("__nth = 1")
+        .drop("__nth")
+    )
+
+
+def _components(rows: DataFrame, radius: int, bucket: int) -> DataFrame:
+    """``fp, component_id`` of all distinct fingerprints."""
     nodes = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("first")), "nodes")
     roots = components(links(nodes, radius, bucket))
     rooted = nodes.join(roots, nodes["fp"] == roots["node"], "left").select(
         "fp", "first", F.coalesce("root", "fp").alias("root")
     )
     named = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    of_node = stored(rooted.join(named, "root").select("fp", "component_id"), "components")
-    return rows.join(of_node, "fp").select("doc_id", "fp", "component_id")
+    return stored(rooted.join(named, "root").select("fp", "component_id"), "components")

@@ -276,3 +276,19 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
         "n_segments",
         "best_segment",
     )
+
+
+def drop_toxic(docs: DataFrame, labels: DataFrame, bound: float = 0.5) -> DataFrame:
+    """The documents that score below ``bound``; columns unchanged, nothing is shuffled."""
+    model = learn(docs, labels)
+    fitted = replace(model, gains={})
+    gains = docs.sparkSession.sparkContext.broadcast(model.gains)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = _Gains(gains.value)
+        for batch in batches:
+            scans = [_scan(text.as_py() or "", table) for text in batch.column("text")]
+            keep = [fitted.probability(fitted.evidence(*scan)) < bound for scan in scans]
+            yield batch.filter(pa.array(keep, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
