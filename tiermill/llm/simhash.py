@@ -20,7 +20,7 @@ fewer words than a shingle are one shingle. Repeated rows share a component; a c
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from itertools import combinations
 
 import numpy as np
@@ -59,18 +59,21 @@ def fingerprint(text: str, shingle: int, seed: int = 42) -> int:
     return int(np.packbits(counts * 2 > len(hashes), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = 4) -> DataFrame:
-    """``doc_id, fp`` for every document; ``fp`` is the fingerprint as a signed long."""
+def fingerprints(docs: DataFrame, shingle: int = 4, also: Sequence[str] = ()) -> DataFrame:
+    """``doc_id, fp`` and the long columns ``also``; ``fp`` is the fingerprint as a signed long."""
+    names = ["doc_id", *also]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [fingerprint(text.as_py() or "", shingle) for text in batch.column("text")]
             signed = np.array(found, np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(signed)], names=["doc_id", "fp"]
+                [*(batch.column(name) for name in names), pa.array(signed)], names=[*names, "fp"]
             )
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, fp long")
+    fields = ", ".join(f"{name} long" for name in [*names, "fp"])
+    longs = [F.col(name).cast("long").alias(name) for name in names]
+    return docs.select(*longs, "text").mapInArrow(run, fields)
 
 
 def covering_masks(radius: int) -> list[int]:
@@ -180,30 +183,36 @@ def near_duplicates(
 def representatives(docs: DataFrame, shingle: int = 4, radius: int = 4, bucket: int = BUCKET) -> DataFrame:
     """One document of every component, the one with the least ``doc_id``; columns unchanged.
 
-    Rows that share that ``doc_id`` are one document if their texts are equal too, and the least
-    text stays otherwise. Rows without an id stay only where no row of their component has one.
+    Rows without an id stay only where no row of their component has one. Of rows with one id, that
+    with the least text hash stays, and of equal rows one.
     """
-    rows = stored(fingerprints(docs, shingle), "fingerprints")
-    ids = (
-        _components(rows, radius, bucket)
-        .select(F.col("component_id").alias("__id"))
-        .distinct()
+    keyed = docs.withColumn("__id", F.coalesce(F.col("doc_id").cast("long"), F.lit(-1))).withColumn(
+        "__hash", F.xxhash64(F.col("doc_id").isNull(), "text")
+    )
+    rows = stored(fingerprints(keyed, shingle, ["__id", "__hash"]), "fingerprints")
+    place = F.struct(F.col("doc_id").isNull(), "__id", "__hash")
+    kept = (
+        rows.join(_components(rows, radius, bucket), "fp")
+        .groupBy("root")
+        .agg(F.min(place).alias("kept"))
+        .select("kept.__id", "kept.__hash")
     )
-    order = Window.partitionBy("doc_id").orderBy("text")
+    # The join and the choice among equal rows need the same partitioning.
+    order = Window.partitionBy("__id", "__hash").orderBy("__id")
     return (
-        docs.join(ids, docs["doc_id"].eqNullSafe(ids["__id"]), "left_semi")
+        keyed.join(kept, ["__id", "__hash"], "left_semi")
         .withColumn("__nth", F.row_number().over(order))
         .filter("__nth = 1")
-        .drop("__nth")
+        .drop("__id", "__hash", "__nth")
     )
 
 
 def _components(rows: DataFrame, radius: int, bucket: int) -> DataFrame:
-    """``fp, component_id`` of all distinct fingerprints."""
+    """``fp, root, component_id`` of all distinct fingerprints."""
     nodes = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("first")), "nodes")
     roots = components(links(nodes, radius, bucket))
     rooted = nodes.join(roots, nodes["fp"] == roots["node"], "left").select(
         "fp", "first", F.coalesce("root", "fp").alias("root")
     )
     named = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    return stored(rooted.join(named, "root").select("fp", "component_id"), "components")
+    return stored(rooted.join(named, "root").select("fp", "root", "component_id"), "components")
