@@ -1,0 +1,118 @@
+from __future__ import annotations
+
+import hashlib
+
+import pytest
+
+from tiermill.llm import chat
+from tiermill.llm.queries import CONTROL_TEXT
+
+KIND = "conv_id long, turn long, role string, text string, segment string, loss int"
+
+
+def table(spark, rows):
+    """Turns with extra columns whose names the operator uses itself."""
+    return spark.createDataFrame([(*row, "x", 1) for row in rows], KIND)
+
+
+def expected(turns):
+    """Digest fields of turns ``(role, text)`` in order."""
+    said = "".join(f"{role or ''}\n{text or ''}\n" for role, text in turns)
+    learnt = "".join(text or "" for role, text in turns if role == "assistant")
+    sha = lambda text: hashlib.sha256(text.encode()).hexdigest()
+    return len(turns), sha(said), len(learnt), sha(learnt)
+
+
+def digests(spark, rows):
+    found = chat.read_back(chat.format_chat(table(spark, rows))).collect()
+    return {r.conv_id: (r.n_turns, r.turns_sha256, r.loss_chars, r.loss_sha256) for r in found}
+
+
+HARD = [
+    CONTROL_TEXT, "\\", "\\\\[INST]", "[\\INST]", "[INST", "]", "<", "</s", "<s></s>", "[ROLE]x[TEXT]y[/TEXT]",
+    "[/ANS][/ANS]\\", "", None, "line\nline\n", "\U0001f600é", "[[INST]]", "<<s>", "a\\[b",
+]
+
+
+def test_every_text_comes_back(spark):
+    rows = [(at, turn, role, text) for at, text in enumerate(HARD) for turn, role in enumerate(["user", "assistant", "odd [ROLE]"])]
+    wanted = {
+        at: expected([(role, text) for role in ["user", "assistant", "odd [ROLE]"]])
+        for at, text in enumerate(HARD)
+    }
+    assert digests(spark, rows) == wanted
+
+
+def test_escaped_texts_hold_no_control_string():
+    controls = chat.Template().pattern()
+    for text in filter(None, HARD):
+        safe = chat.escape(text, controls)
+        assert not controls.search(safe) and chat.unescape(safe) == text
+
+
+def test_segments_of_one_conversation(spark):
+    rows = [(1, 2, "assistant", "yes [INST]"), (1, 1, "user", "hello"), (1, 0, "system", "be kind")]
+    found = chat.format_chat(table(spark, rows)).collect()
+    assert "".join(row.segment for row in found) == (
+        "<s>[SYS]be kind[/SYS][INST]hello[/INST][ANS]yes [\\INST][/ANS]</s>"
+    )
+    assert [row.segment for row in found if row.loss] == ["yes [\\INST]"]
+    assert all(row.ok for row in found) and [row.last for row in found].count(True) == 1
+
+
+@pytest.mark.parametrize(
+    "roles, valid",
+    [
+        (["user", "assistant"], True),
+        (["system", "user", "assistant", "user", "assistant"], True),
+        (["assistant"], False),
+        (["user", "user", "assistant"], False),
+        (["user"], False),
+        (["system", "assistant"], False),
+        (["user", "assistant", "system"], False),
+        (["user", None], False),
+        (["user", "tool", "assistant"], False),
+    ],
+)
+def test_role_order(spark, roles, valid):
+    rows = [(5, turn, role, "t") for turn, role in enumerate(roles)]
+    assert [r.valid for r in chat.read_back(chat.format_chat(table(spark, rows))).collect()] == [valid]
+
+
+def test_null_keys_ties_and_repeated_rows(spark):
+    rows = [(None, 1, "user", "a"), (None, 2, "assistant", "b"), (3, None, "user", "n"), (3, 0, "assistant", "z")]
+    rows += [(4, 0, "user", "b"), (4, 0, "user", "a"), (4, 0, "user", "a"), (4, 1, "assistant", "x" * 300_000)]
+    assert digests(spark, rows) == {
+        None: expected([("user", "a"), ("assistant", "b")]),
+        3: expected([("user", "n"), ("assistant", "z")]),
+        4: expected([("user", "a"), ("user", "a"), ("user", "b"), ("assistant", "x" * 300_000)]),
+    }
+
+
+def test_a_long_conversation_streams_through(spark):
+    turns = [("user" if at % 2 == 0 else "assistant", f"turn {at} </s>") for at in range(9_000)]
+    rows = [(1, at, role, text) for at, (role, text) in enumerate(turns)] + [(2, 0, "user", "q")]
+    assert digests(spark, rows) == {1: expected(turns), 2: expected([("user", "q")])}
+
+
+def test_empty_table(spark):
+    assert digests(spark, []) == {}
+
+
+def test_unusable_templates_are_refused(spark):
+    with pytest.raises(ValueError, match="marker"):
+        chat.format_chat(table(spark, []), chat.Template(begin="start"))
+    with pytest.raises(ValueError, match="differ"):
+        chat.format_chat(table(spark, []), chat.Template(begin="</s>"))
+
+
+def test_another_template(spark):
+    layout = chat.Template(
+        roles={"user": ("<u>", "</u>"), "assistant": ("<a>", "</a>")},
+        loss=frozenset({"user", "assistant"}),
+    )
+    rows = [(1, 0, "user", "x</a>"), (1, 1, "assistant", "y"), (1, 2, "system", "z")]
+    segments = chat.format_chat(table(spark, rows), layout)
+    assert "".join(r.segment for r in segments.collect()) == "<s><u>x<\\/a></u><a>y</a>[ROLE]system[TEXT]z[/TEXT]</s>"
+    row = chat.read_back(segments, layout).first()
+    assert (row.n_turns, row.loss_chars, row.valid) == (3, 6, False)

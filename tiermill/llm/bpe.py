@@ -45,9 +45,9 @@ def read_vocabulary(path: str) -> dict:
     """The fields of a word-ending BPE vocabulary file that encoding needs; raises on other kinds."""
     with open(path, encoding="utf-8") as file:
         spec = json.load(file)
-    steps = [step["type"] for step in spec["normalizer"]["normalizers"]]
-    split, level = spec["pre_tokenizer"]["pretokenizers"]
-    if steps != ["NFC", "Replace", "Lowercase"] or level["type"] != "ByteLevel":
+    steps = [step["type"] for step in (spec["normalizer"] or {}).get("normalizers", [])]
+    cuts = (spec["pre_tokenizer"] or {}).get("pretokenizers", [])
+    if steps != ["NFC", "Replace", "Lowercase"] or [c["type"] for c in cuts] != ["Split", "ByteLevel"]:
         raise ValueError(f"{path}: not a lower-casing, byte-level vocabulary")
     if any(token["normalized"] or token["single_word"] for token in spec["added_tokens"]):
         raise ValueError(f"{path}: added tokens of this kind are not supported")
@@ -55,7 +55,7 @@ def read_vocabulary(path: str) -> dict:
         "vocab": spec["model"]["vocab"],
         "merges": [tuple(pair) for pair in spec["model"]["merges"]],
         "suffix": spec["model"]["end_of_word_suffix"],
-        "pattern": split["pattern"]["Regex"],
+        "pattern": cuts[0]["pattern"]["Regex"],
         "special": {token["content"]: token["id"] for token in spec["added_tokens"]},
     }
 
