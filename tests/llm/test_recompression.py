@@ -100,7 +100,7 @@ def test_equal_windows_choose_equal_anchors():
     for _ in range(40):
         left = [rng.choice("abcd") for _ in range(rng.randint(0, 30))]
         right = [rng.choice("abcd") for _ in range(rng.randint(0, 30))]
-        words = rc.Words([" ".join(left + window + right)], rc._Hashes())
+        words = rc.Words(rc.split_words([" ".join(left + window + right)])[0], rc._Hashes())
         found = rc.blocks_of(words)
         at = int(np.searchsorted(found.first, len(left), side="right")) - 1
         assert found.first[at] <= len(left) <= found.last[at]

@@ -150,7 +150,8 @@ def _word_counts(plain: Column, words: Column) -> Column:
             (F.octet_length(plain) - F.octet_length(F.replace(plain, F.concat(F.lit(" "), w, F.lit(" "))))) / (F.octet_length(w) + 2)
         ).cast("long"),
     )
-    total = (F.octet_length(plain) - F.octet_length(F.replace(plain, F.lit(" ")))) / 2 - 1
+    gaps = (F.octet_length(plain) - F.octet_length(F.replace(plain, F.lit(" ")))) / 2
+    total = F.when(F.trim(plain) == "", F.lit(0.0)).otherwise(gaps - 1)
     return let(
         found,
         lambda n: F.concat(
@@ -178,7 +179,11 @@ def js_distance(left: Column, right: Column) -> Column:
         terms = F.zip_with(p, q, lambda a, b: (part(a, (a + b) / 2) + part(b, (a + b) / 2)) / 2)
         return F.sqrt(F.greatest(F.lit(0.0), F.aggregate(terms, F.lit(0.0), lambda a, x: a + x)))
 
-    return let(shares(left), lambda p: let(shares(right), lambda q: distance(p, q)))
+    # `greatest` skips nulls, so missing shares are kept out of it.
+    return let(
+        shares(left),
+        lambda p: let(shares(right), lambda q: F.when(p.isNotNull() & q.isNotNull(), distance(p, q))),
+    )
 
 
 def _summed(features: DataFrame, name: str) -> DataFrame:

@@ -31,6 +31,7 @@ import hashlib
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
@@ -74,13 +75,10 @@ class _Hashes(dict):
 class Words:
     """The words of some texts in one flat array of two 64-bit hashes each."""
 
-    def __init__(self, texts: list[str], hashes: _Hashes) -> None:
-        coded = [text.encode() for text in texts]
-        self.words = [text.split() for text in coded]  # bytes: only ASCII white space parts
-        self.checks = [zlib.crc32(text) for text in coded]
-        self.counts = np.array([len(words) for words in self.words], np.int64)
+    def __init__(self, texts: list[list[bytes]], hashes: _Hashes) -> None:
+        self.counts = np.array([len(words) for words in texts], np.int64)
         self.starts = np.r_[0, np.cumsum(self.counts)]
-        flat = b"".join(b"".join(map(hashes.__getitem__, words)) for words in self.words)
+        flat = b"".join(b"".join(map(hashes.__getitem__, words)) for words in texts)
         self.lanes = np.frombuffer(flat, "<u8").reshape(-1, 2)
         self._sums: list[tuple[np.ndarray, np.ndarray]] = []
 
@@ -204,19 +202,34 @@ def _longs(values: np.ndarray) -> pa.Array:
     return pa.array(values.astype(np.uint64).view(np.int64))
 
 
+def split_words(texts: list[str]) -> tuple[list[list[bytes]], np.ndarray]:
+    """The words of each text, and its checksum. Of bytes, only ASCII white space parts words."""
+    coded = [text.encode() for text in texts]
+    return [text.split() for text in coded], np.array([zlib.crc32(text) for text in coded], np.int64)
+
+
 def _tags(checks: np.ndarray, places: np.ndarray) -> np.ndarray:
     """A place in a text, with the text's checksum above it."""
     return ((checks.astype(np.uint64) << np.uint64(32)) | places.astype(np.uint64)).view(np.int64)
 
 
+def _ranges(lists: pa.Array, *fields: str) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Offsets of a list column, and its values' fields (or the values) as flat arrays."""
+    offsets = lists.offsets.to_numpy()
+    flat = lists.values
+    columns = [flat.field(name) for name in fields] if fields else [flat]
+    return offsets, [column.to_numpy(zero_copy_only=False) for column in columns]
+
+
 def _anchor_rows(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
     hashes = _Hashes()
     for batch in batches:
         for start, texts in text_chunks(batch, "text"):
-            words = Words(texts, hashes)
+            lists, checks = split_words(texts)
+            words = Words(lists, hashes)
             found = blocks_of(words, window)
             ids = batch.column("doc_id").slice(start, len(texts))
-            tags = _tags(np.array(words.checks)[found.owner], found.first - words.starts[found.owner])
+            tags = _tags(checks[found.owner], found.first - words.starts[found.owner])
             for at in range(0, len(tags), OUT_ROWS):
                 part = slice(at, at + OUT_ROWS)
                 yield pa.RecordBatch.from_arrays(
@@ -232,112 +245,128 @@ def _digest(words: list[bytes]) -> str:
 def _block_rows(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
     """Per text: word count and digest, and, where anchors recur, the text and those blocks."""
     hashes = _Hashes()
-    kind = pa.list_(
-        pa.struct([("anchor", pa.int64()), ("block", pa.int64()), ("first", pa.int64()), ("last", pa.int64()), ("tag", pa.int64())])
-    )
     for batch in batches:
-        unique = batch.column("tags")
+        offsets, (unique,) = _ranges(batch.column("tags"))
         for start, texts in text_chunks(batch, "text"):
-            words = Words(texts, hashes)
+            lists, checks = split_words(texts)
+            words = Words(lists, hashes)
             found = blocks_of(words, window)
-            checks = np.array(words.checks, np.int64)
             tags = _tags(checks[found.owner], found.first - words.starts[found.owner])
-            names = words.names(found.first, found.last + window, 1).view(np.int64)
-            anchors = found.anchor.view(np.int64)
             bounds = np.searchsorted(found.owner, np.arange(len(texts) + 1))
-            held, digests, lists = [], [], []
-            for at, text in enumerate(texts):
-                part = slice(bounds[at], bounds[at + 1])
-                alone = unique[start + at].values if unique[start + at].is_valid else None
-                known = np.sort(alone.to_numpy(zero_copy_only=False)) if alone is not None else np.zeros(0, np.int64)
+            again = np.ones(len(tags), bool)
+            for at in range(len(texts)):
+                known = np.sort(unique[offsets[start + at] : offsets[start + at + 1]])
                 if len(known):
-                    place = np.minimum(np.searchsorted(known, tags[part]), len(known) - 1)
-                    again = np.flatnonzero(known[place] != tags[part]) + bounds[at]
-                else:
-                    again = np.arange(bounds[at], bounds[at + 1])
-                held.append(text if len(again) else None)
-                digests.append(None if len(again) else _digest(words.words[at]))
-                base = words.starts[at]
-                lists.append(
-                    [
-                        dict(zip(("anchor", "block", "first", "last", "tag"), row))
-                        for row in zip(
-                            anchors[again].tolist(),
-                            names[again].tolist(),
-                            (found.first[again] - base).tolist(),
-                            (found.last[again] - base).tolist(),
-                            tags[again].tolist(),
-                        )
-                    ]
-                )
+                    mine = tags[bounds[at] : bounds[at + 1]]
+                    place = np.minimum(np.searchsorted(known, mine), len(known) - 1)
+                    again[bounds[at] : bounds[at + 1]] = known[place] != mine
+            first, last, owner = found.first[again], found.last[again], found.owner[again]
+            base = words.starts[owner]
+            fields = {
+                "anchor": found.anchor[again].view(np.int64),
+                "block": words.names(first, last + window, 1).view(np.int64),
+                "first": first - base,
+                "last": last - base,
+                "tag": tags[again],
+            }
+            structs = pa.StructArray.from_arrays([pa.array(x) for x in fields.values()], list(fields))
+            stops = np.searchsorted(owner, np.arange(len(texts) + 1)).astype(np.int32)
+            whole = (np.diff(stops) == 0).tolist()
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id").slice(start, len(texts)),
                     pa.array(words.counts),
-                    pa.array(digests, pa.string()),
-                    pa.array(held, pa.string()),
-                    pa.array(lists, kind),
+                    pa.array([_digest(one) if done else None for one, done in zip(lists, whole)], pa.string()),
+                    pa.array([None if done else text for text, done in zip(texts, whole)], pa.string()),
+                    pa.ListArray.from_arrays(pa.array(stops), structs),
                 ],
                 names=["doc_id", "n_words", "kept_sha256", "text", "blocks"],
             )
 
 
 def _window_rows(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
-    """Names of all windows of the listed blocks."""
+    """Names of all windows of the listed blocks; only their words are hashed."""
     hashes = _Hashes()
     for batch in batches:
+        block_at, (firsts, lasts, tags) = _ranges(batch.column("blocks"), "first", "last", "tag")
+        list_at, (wanted, weights) = _ranges(batch.column("listed"), "tag", "weight")
         for start, texts in text_chunks(batch, "text"):
-            words = Words(texts, hashes)
-            for at in range(len(texts)):
-                listed = {one["tag"]: one["weight"] for one in batch.column("listed")[start + at].as_py()}
-                for block in batch.column("blocks")[start + at].as_py():
-                    weight = listed.get(block["tag"])
-                    if weight is None:
-                        continue
-                    places = np.arange(block["first"], block["last"] + 1)
-                    first = places + words.starts[at]
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            _longs(words.names(first, first + window, 0)),
-                            _longs(words.names(first, first + window, 1)),
-                            pa.array(np.full(len(places), weight, np.int64)),
-                            pa.array([batch.column("doc_id")[start + at].as_py()] * len(places), pa.int64()),
-                            pa.array(_tags(np.full(len(places), words.checks[at]), places)),
-                        ],
-                        names=["a", "b", "weight", "doc_id", "tag"],
-                    )
+            lists, checks = split_words(texts)
+            pieces, starts, places, values, owners = [], [], [], [], []
+            size = 0
+            for at, words in enumerate(lists):
+                row = start + at
+                blocks = slice(block_at[row], block_at[row + 1])
+                some = slice(list_at[row], list_at[row + 1])
+                order = np.argsort(wanted[some])
+                known, weight = wanted[some][order], weights[some][order]
+                spot = np.minimum(np.searchsorted(known, tags[blocks]), len(known) - 1)
+                hit = np.flatnonzero(known[spot] == tags[blocks])
+                first, last, weight = firsts[blocks][hit], lasts[blocks][hit], weight[spot[hit]]
+                if not len(hit):
+                    continue
+                # Blocks that follow each other share words, so they make one piece.
+                heads = np.flatnonzero(np.r_[True, first[1:] != last[:-1] + 1])
+                tails = np.r_[heads[1:], len(hit)] - 1
+                for a, b in zip(first[heads].tolist(), last[tails].tolist()):
+                    pieces.append(words[a : b + window])
+                    starts.append(np.arange(size, size + b - a + 1))
+                    places.append(np.arange(a, b + 1))
+                    size += b - a + window
+                counts = last - first + 1
+                values.append(np.repeat(weight, counts))
+                owners.append(np.full(int(counts.sum()), at))
+            if not pieces:
+                continue
+            words = Words(pieces, hashes)
+            flat, owner = np.concatenate(starts), np.concatenate(owners)
+            columns = [
+                _longs(words.names(flat, flat + window, 0)),
+                _longs(words.names(flat, flat + window, 1)),
+                pa.array(np.concatenate(values)),
+                batch.column("doc_id").slice(start, len(texts)).take(pa.array(owner)),
+                pa.array(_tags(checks[owner], np.concatenate(places))),
+            ]
+            whole = pa.RecordBatch.from_arrays(columns, names=["a", "b", "weight", "doc_id", "tag"])
+            for at in range(0, whole.num_rows, OUT_ROWS):
+                yield whole.slice(at, OUT_ROWS)
 
 
 def _kept_rows(batches: Iterator[pa.RecordBatch], window: int, texts_out: bool) -> Iterator[pa.RecordBatch]:
     """What is left of the texts with recurring anchors."""
     for batch in batches:
+        block_at, (firsts, lasts) = _ranges(batch.column("blocks"), "first", "last")
+        tag_at, (tags,) = _ranges(batch.column("tags"))
         counts, removed, digests, kept_texts = [], [], [], []
-        for text, blocks, tags in zip(batch.column("text"), batch.column("blocks"), batch.column("tags")):
+        for row, text in enumerate(batch.column("text")):
             coded = text.as_py().encode()
             words = coded.split()
-            cover = np.zeros(len(words) + 1, np.int64)
-            for block in blocks.as_py():
-                # Every window from first to last covers `window` words.
-                cover[block["first"]] += 1
-                cover[block["last"] + 1] -= 1
-            repeated = np.cumsum(cover)[:-1] > 0
-            if tags.is_valid:
-                check = zlib.crc32(coded)
-                alone = np.array(tags.as_py(), np.int64).view(np.uint64)
-                alone = alone[(alone >> np.uint64(32)) == check] & np.uint64(0xFFFFFFFF)
-                repeated[alone.astype(np.int64)] = False
+            blocks = slice(block_at[row], block_at[row + 1])
+            # Windows from first to last start a repeat each, but for those found to be alone.
+            steps = np.zeros(len(words) + 1, np.int64)
+            steps[firsts[blocks]] += 1
+            np.subtract.at(steps, lasts[blocks] + 1, 1)
+            repeated = np.cumsum(steps)[:-1] > 0
+            alone = tags[tag_at[row] : tag_at[row + 1]].view(np.uint64)
+            alone = alone[(alone >> np.uint64(32)) == zlib.crc32(coded)] & np.uint64(0xFFFFFFFF)
+            repeated[alone.astype(np.int64)] = False
             starts = np.flatnonzero(repeated)
-            cover = np.zeros(len(words) + 1, np.int64)
-            cover[starts] += 1
-            np.subtract.at(cover, starts + window, 1)
-            gone = np.cumsum(cover)[:-1] > 0
-            kept = [word for word, out in zip(words, gone.tolist()) if not out]
+            steps = np.zeros(len(words) + 1, np.int64)
+            steps[starts] += 1
+            np.subtract.at(steps, starts + window, 1)
+            gone = np.cumsum(steps)[:-1] > 0
+            kept = list(compress(words, (~gone).tolist()))
             counts.append(len(words))
             removed.append(int(gone.sum()))
             digests.append(_digest(kept))
             if texts_out:
                 kept_texts.append(b" ".join(kept).decode())
-        columns = [batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array(removed, pa.int64()), pa.array(digests, pa.string())]
+        columns = [
+            batch.column("doc_id"),
+            pa.array(counts, pa.int64()),
+            pa.array(removed, pa.int64()),
+            pa.array(digests, pa.string()),
+        ]
         names = ["doc_id", "n_words", "n_removed", "kept_sha256"]
         if texts_out:
             columns.append(pa.array(kept_texts, pa.string()))

@@ -31,8 +31,10 @@ from tiermill.llm.common import stored
 
 SAMPLE = 20_000
 MODEL_UNITS = 50_000
-PRIOR_DOCS = 200.0
-MIN_Z = 4.0
+# The prior weighs as much as this share of the sample, and at least so many documents.
+PRIOR_SHARE = 0.01
+PRIOR_LEAST = 10.0
+MIN_Z = 3.0
 # Odds a unit must at least multiply by; below, copies and topics of a few documents look toxic.
 MIN_GAIN = math.log(20.0)
 STEMS = (6, 5, 4)
@@ -168,9 +170,10 @@ def _unit_counts(sample: DataFrame) -> DataFrame:
 
 
 def _log_odds(counts: DataFrame, n_toxic: int, n_clean: int) -> DataFrame:
-    prior = F.lit(PRIOR_DOCS) * (F.col("toxic") + F.col("clean")) / (n_toxic + n_clean)
-    odds = F.log((F.col("toxic") + prior) / (n_toxic + PRIOR_DOCS - F.col("toxic") - prior + 1)) - F.log(
-        (F.col("clean") + prior) / (n_clean + PRIOR_DOCS - F.col("clean") - prior + 1)
+    weight = max(PRIOR_LEAST, PRIOR_SHARE * (n_toxic + n_clean))
+    prior = F.lit(weight) * (F.col("toxic") + F.col("clean")) / (n_toxic + n_clean)
+    odds = F.log((F.col("toxic") + prior) / (n_toxic + weight - F.col("toxic") - prior + 1)) - F.log(
+        (F.col("clean") + prior) / (n_clean + weight - F.col("clean") - prior + 1)
     )
     spread = F.sqrt(1 / (F.col("toxic") + prior) + 1 / (F.col("clean") + prior))
     return counts.select("unit", odds.alias("gain"), (odds / spread).alias("z"))
