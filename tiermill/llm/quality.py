@@ -1,8 +1,9 @@
 """Quality rules: repetition and length counts, and divergence from the language's usual text.
 
 A document's histograms of character classes and of its language's common words are compared, by
-Jensen-Shannon distance, with the histograms of all documents of that language that pass the base
-rules. Distances are judged only from a minimum length on, as short texts scatter.
+Jensen-Shannon distance, with the language's usual ones: the median share of every bin over all its
+documents that pass the base rules. Distances are judged only from minimum lengths on, as short texts
+scatter.
 
 Only DataFrame functions; a text is read in one task and never leaves it. Common words come from
 exact counts over all documents; a language has at most `COMMON_WORDS` of them, so the reference
@@ -13,6 +14,9 @@ of its own; repeated rows give equal results. Only ``doc_id, text, lang`` are re
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,12 +29,12 @@ MAX_REPEAT_PERCENT = 30
 COMMON_WORDS = 32
 # A common word makes up at least this share of its language's words.
 COMMON_SHARE = 0.004
-# Distances (0 to 1) beyond which a document is unlike its language, and the lengths from which
-# they are judged. Measured on labelled documents, see README.
-MAX_CLASS_DISTANCE = 0.2
-MIN_CLASS_WORDS = 20
+# Distances (0 to 1) beyond which a document is unlike its language, and the numbers of words from
+# which they are judged: one address or key moves a short text far. Measured, see README.
+MAX_CLASS_DISTANCE = ((60, 0.2), (20, 0.4))
 MAX_WORD_DISTANCE = 0.45
 MIN_COMMON_WORDS = 100
+REFERENCE_ACCURACY = 1000
 CLASSES = ("lower", "upper", "digit", "gap", "symbol", "other")
 
 
@@ -113,7 +117,8 @@ def common_words(docs: DataFrame) -> DataFrame:
         .agg(F.count("*").alias("n"))
     )
     kept = stored(counts.filter("n > 1"), "word_counts")
-    totals = kept.groupBy("lang").agg(F.sum("n").alias("total"))
+    # One row per language. Written, so that its size is known and the join below moves no words.
+    totals = stored(kept.groupBy("lang").agg(F.sum("n").alias("total")), "word_totals")
     # At most 1 / COMMON_SHARE words of a language pass.
     return (
         kept.join(totals, "lang")
@@ -166,12 +171,6 @@ def _word_counts(plain: Column, words: Column) -> Column:
 def js_distance(left: Column, right: Column) -> Column:
     """Jensen-Shannon distance (base 2) of two count arrays; null if either is empty or all zero."""
 
-    def shares(counts: Column) -> Column:
-        return let(
-            F.aggregate(counts, F.lit(0.0), lambda a, x: a + x),
-            lambda total: F.when(total > 0, F.transform(counts, lambda x: x / total)),
-        )
-
     def part(p: Column, m: Column) -> Column:
         return F.when(p > 0, p * F.log2(p / m)).otherwise(F.lit(0.0))
 
@@ -181,19 +180,28 @@ def js_distance(left: Column, right: Column) -> Column:
 
     # `greatest` skips nulls, so missing shares are kept out of it.
     return let(
-        shares(left),
-        lambda p: let(shares(right), lambda q: F.when(p.isNotNull() & q.isNotNull(), distance(p, q))),
+        _shares(left),
+        lambda p: let(_shares(right), lambda q: F.when(p.isNotNull() & q.isNotNull(), distance(p, q))),
+    )
+
+
+def _shares(counts: Column) -> Column:
+    """A count array divided by its sum; null if that is zero."""
+    return let(
+        F.aggregate(counts, F.lit(0.0), lambda a, x: a + x),
+        lambda total: F.when(total > 0, F.transform(counts, lambda x: x / total)),
     )
 
 
-def _summed(features: DataFrame, name: str) -> DataFrame:
+def _usual(features: DataFrame, name: str) -> DataFrame:
+    """Each language's median share of every bin, over its documents: junk hardly moves it."""
     return (
-        features.select("lang", F.posexplode(name))
+        features.select("lang", F.posexplode(_shares(F.col(name))))
         .groupBy("lang", "pos")
-        .agg(F.sum("col").cast("double").alias("n"))
+        .agg(F.percentile_approx("col", 0.5, REFERENCE_ACCURACY).alias("share"))
         .groupBy("lang")
-        .agg(F.sort_array(F.collect_list(F.struct("pos", "n"))).alias("all"))
-        .select("lang", F.col("all.n").alias(f"{name}_reference"))
+        .agg(F.sort_array(F.collect_list(F.struct("pos", "share"))).alias("all"))
+        .select("lang", F.col("all.share").alias(f"{name}_reference"))
     )
 
 
@@ -232,8 +240,9 @@ def quality_rules(docs: DataFrame) -> DataFrame:
         "features",
     )
     good = features.filter(~F.col("base_failed"))
+    long = good.filter(F.col("n_words") >= MIN_COMMON_WORDS)
     reference = stored(
-        _summed(good, "classes").join(_summed(good, "commons"), "lang"), "language_references"
+        _usual(good, "classes").join(_usual(long, "commons"), "lang", "left"), "language_references"
     )
     judged = features.join(reference, "lang", "left").select(
         "doc_id",
@@ -253,6 +262,6 @@ def quality_rules(docs: DataFrame) -> DataFrame:
     return judged.withColumn(
         "kept",
         ~F.col("base_failed")
-        & ~far("class_distance", MAX_CLASS_DISTANCE, MIN_CLASS_WORDS)
+        & ~reduce(or_, (far("class_distance", bound, least) for least, bound in MAX_CLASS_DISTANCE))
         & ~far("word_distance", MAX_WORD_DISTANCE, MIN_COMMON_WORDS),
     )
