@@ -46,6 +46,34 @@ def database(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
+# Results that are handed out in an order: their sort columns, descending ones marked "-".
+SORTED = {
+    "monthly_financials": ["order_month"],
+    "top_markets_by_sales": ["-total_sales"],
+    "top_categories_by_profit": ["-total_profit"],
+    "late_rate_by_market": ["-avg_late_rate"],
+    "revenue_trend": ["order_month"],
+    "late_by_shipping_mode": ["-total_late"],
+    "late_rate_by_region": ["-late_rate"],
+    "revenue_by_segment": ["-revenue"],
+    "market_scorecard": ["-revenue"],
+    "best_months_by_profit": ["-profit"],
+}
+
+
+def disorder(name: str, ours: pd.DataFrame) -> str | None:
+    """Where a sorted result leaves its order, or None. Nulls come first."""
+    columns = SORTED.get(name)
+    if not columns:
+        return None
+    column = columns[0]
+    down, column = column.startswith("-"), column.lstrip("-")
+    values = [(value is not None and value == value, value) for value in ours[column]]
+    pairs = [(a, b) if not down else (b, a) for a, b in zip(values, values[1:])]
+    wrong = [(a, b) for a, b in pairs if (a[0] and not b[0]) or (a[0] and b[0] and a[1] > b[1])]
+    return f"not sorted by {column}: {wrong[:2]}" if wrong else None
+
+
 def _kind(dtype: object) -> str:
     name = str(dtype).lower()
     if name.startswith(("int", "uint")):
@@ -65,9 +93,13 @@ def _sorted(frame: pd.DataFrame) -> pd.DataFrame:
     return shown.loc[order].reset_index(drop=True)
 
 
-def difference(result: DataFrame, con: duckdb.DuckDBPyConnection, statement: str) -> str | None:
-    """What differs between a result and a statement's, or None."""
+def difference(
+    result: DataFrame, con: duckdb.DuckDBPyConnection, statement: str, name: str = ""
+) -> str | None:
+    """What differs between a result and a statement's, or None; the order too for sorted ones."""
     ours, theirs = result.toPandas(), con.execute(statement).df()
+    if problem := disorder(name, ours):
+        return problem
     if sorted(ours.columns) != sorted(theirs.columns):
         return f"columns {sorted(ours.columns)} != {sorted(theirs.columns)}"
     if len(ours) != len(theirs):
@@ -97,7 +129,7 @@ def main(arguments: list[str]) -> int:
         start = time.perf_counter()
         try:
             result = query(spark, sf_dir)
-            problem = difference(result, con, sqls[name]) if name in sqls else None
+            problem = difference(result, con, sqls[name], name) if name in sqls else None
         except Exception as error:
             problem = f"{type(error).__name__}: {str(error)[:600]}"
         failed += problem is not None

@@ -27,9 +27,9 @@ facts AS (
   JOIN part ON l_partkey = p_partkey
 ),
 copied AS (
-  SELECT * FROM facts
+  SELECT *, 1 AS copy FROM facts
   UNION ALL
-  SELECT * FROM facts WHERE l_partkey % 97 = 0
+  SELECT *, 2 AS copy FROM facts WHERE l_partkey % 97 = 0
 ),
 measured AS (
   SELECT *,
@@ -64,9 +64,10 @@ raw_orders AS (
     p_type AS category_name,
     p_brand AS department_name,
     p_name AS product_description,
-    'http://images.example.com/' || p_brand AS product_image,
-    CASE o_orderstatus WHEN 'F' THEN ' COMPLETE ' WHEN 'O' THEN 'Closed' ELSE 'PENDING' END
-      AS order_status,
+    'http://images.example.com/' || p_brand
+      || CASE WHEN copy = 2 AND l_linenumber = 1 THEN '?v=2' ELSE '' END AS product_image,
+    CASE WHEN l_partkey % 89 = 0 THEN NULL WHEN o_orderstatus = 'F' THEN ' COMPLETE '
+      WHEN o_orderstatus = 'O' THEN 'Closed' ELSE 'PENDING' END AS order_status,
     CASE WHEN l_quantity = 13 THEN NULL WHEN l_quantity = 17 THEN cast(0 AS double)
       ELSE l_extendedprice END AS sales,
     CASE WHEN l_quantity = 19 THEN 0 ELSE cast(trunc(l_quantity) AS integer) END
@@ -81,9 +82,9 @@ raw_orders AS (
     c_nationkey * cast(-2.5 AS double) AS longitude,
     cast(actual_days AS integer) AS days_for_shipping_real,
     planned_days AS days_for_shipment_scheduled,
-    CASE WHEN actual_days > planned_days THEN 1 ELSE 0 END AS late_delivery_risk,
-    CASE WHEN l_partkey % 101 = 0 THEN NULL ELSE strftime(o_orderdate, '{TIME}') END
-      AS order_date_dateorders,
+    CASE WHEN l_suppkey % 3 = 0 THEN 1 ELSE 0 END AS late_delivery_risk,
+    CASE WHEN l_partkey % 101 = 0 THEN NULL WHEN l_partkey % 107 = 0 THEN '13/45/2001 9:99'
+      ELSE strftime(o_orderdate, '{TIME}') END AS order_date_dateorders,
     CASE WHEN l_partkey % 103 = 0 THEN NULL ELSE strftime(l_shipdate, '{TIME}') END
       AS shipping_date_dateorders
   FROM measured
@@ -115,6 +116,7 @@ bronze_orders AS (
 )"""
 
 LETTERS = "trim(regexp_replace({0}, '[^a-zA-Z\\s]', '', 'g'))"
+# The country rules and the text columns, stated here on their own.
 COUNTRY = """CASE
     WHEN {0} LIKE '%Turqu%' THEN 'Turkey'
     WHEN {0} LIKE '%replica%congo%' THEN 'Democratic Republic of the Congo'
@@ -157,26 +159,29 @@ FIRST_OF_KEY = (
 )
 
 SILVER_ORDERS = f"""
+chosen AS (
+  SELECT * FROM bronze_orders
+  WHERE order_date_dateorders IS NOT NULL AND shipping_date_dateorders IS NOT NULL
+  QUALIFY {FIRST_OF_KEY}
+),
 lettered AS (
   SELECT * EXCLUDE (order_zipcode, customer_email) REPLACE (
     coalesce(customer_lname, 'unknown') AS customer_lname,
     {LETTERS.format("order_country")} AS order_country,
     {LETTERS.format("order_city")} AS order_city)
-  FROM bronze_orders
+  FROM chosen
 ),
 named AS (
   SELECT * REPLACE (
     {COUNTRY.format("order_country")} AS order_country,
     {", ".join(f"lower(trim({name})) AS {name}" for name in TEXT_COLUMNS)})
   FROM lettered
-  WHERE order_date_dateorders IS NOT NULL AND shipping_date_dateorders IS NOT NULL
 ),
 kept AS (
   SELECT *,
     try_strptime(order_date_dateorders, '{TIME}') AS order_date,
     try_strptime(shipping_date_dateorders, '{TIME}') AS shipping_date
   FROM named
-  QUALIFY {FIRST_OF_KEY}
 ),
 silver_orders AS (
   SELECT * FROM kept
@@ -344,7 +349,7 @@ COLUMN_SQL = {
     "cast_columns": sql(
         TEXT,
         f"""SELECT {KEY}, try_cast(sales AS double) AS sales,
-          cast(try_cast(trunc(try_cast(order_item_quantity AS double)) AS integer) AS varchar)
+          cast(try_cast(trunc(try_cast(order_item_quantity AS decimal(38,10))) AS integer) AS varchar)
             AS order_item_quantity,
           try_cast(order_item_product_price AS double) AS order_item_product_price,
           {stable("try_cast(order_profit_per_order AS double)")} AS order_profit_per_order,
@@ -620,13 +625,61 @@ TABLE_SQL = {
     "layout_stats": """SELECT count(*) AS "rows",
           strftime(min(l_shipdate), '%Y-%m-%d') AS low,
           strftime(max(l_shipdate), '%Y-%m-%d') AS high,
-          cast(0 AS bigint) AS overlaps FROM lineitem""",
+          cast(0 AS bigint) AS overlaps,
+          cast(8 AS bigint) AS files FROM lineitem""",
     "mart_row_counts": MART_COUNTS,
     "all_layers_from_tables": MART_COUNTS,
     "all_layers_from_csv": MART_COUNTS,
 }
 
 
+# The remainders at which the bad order file has a value that does not convert.
+BAD_VALUES = {
+    "order_id": 1,
+    "order_item_id": 2,
+    "customer_id": 3,
+    "late_delivery_risk": 4,
+    "days_for_shipping_real": 5,
+    "days_for_shipment_scheduled": 6,
+    "order_item_discount_rate": 7,
+    "order_item_profit_ratio": 8,
+    "sales_per_customer": 9,
+    "sales": 10,
+    "order_item_quantity": 11,
+    "order_item_product_price": 12,
+    "order_profit_per_order": 13,
+    "latitude": 14,
+    "longitude": 15,
+    "order_date_dateorders": 16,
+    "shipping_date_dateorders": 17,
+}
+
+
+def _bad_count(name: str, at: int) -> str:
+    marked = f"(order_id + order_item_id) % 31 = {at}"
+    wrong = marked
+    if name == "order_date_dateorders":
+        wrong += f" OR {name} = '13/45/2001 9:99'"
+    return f"""SELECT '{name}' AS rule, count(*) FILTER (WHERE {wrong}) AS "rows" FROM raw_orders"""
+
+
+TABLE_SQL |= {
+    "order_rejects_from_csv": sql(
+        RAW,
+        "\nUNION ALL\n".join(
+            [_bad_count(name, at) for name, at in BAD_VALUES.items()]
+            + ["""SELECT 'all rows' AS rule, count(*) AS "rows" FROM raw_orders"""]
+            + ["""SELECT 'lost rows' AS rule, cast(0 AS bigint) AS "rows" """]
+        ),
+    ),
+    **{f"pipeline_{name}": MART_SQL[name] for name in MARTS},
+    "pipeline_silver_orders": LAYER_SQL["silver_orders"],
+    "pipeline_silver_logs": LAYER_SQL["silver_logs"],
+    "tables_pipeline_kpi_summary": MART_SQL["kpi_summary"],
+    "tables_pipeline_silver_logs": LAYER_SQL["silver_logs"],
+}
+
+
 def oracle_sql() -> dict[str, str]:
     """SQL per query name."""
     return {

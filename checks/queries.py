@@ -21,8 +21,10 @@ from tiermill.plans import gold, layers, reports
 from tiermill.plans.pipeline import run_csv_pipeline, run_pipeline
 from tiermill.sources import (
     compact_and_cluster,
+    data_bytes,
     layer_path,
     layout_stats,
+    partitions_for,
     read_access_log_csv,
     read_layer,
     read_orders_csv,
@@ -30,6 +32,7 @@ from tiermill.sources import (
     write_layer,
     write_marts,
 )
+from tiermill.sources.layout import TARGET_FILE_BYTES
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -276,18 +279,10 @@ LAYER_QUERIES = {
     "silver_logs": on(log_bronze, layers.silver_logs),
 }
 
-MART_BUILDERS = {
-    "kpi_summary": gold.kpi_summary,
-    "monthly_financials": gold.monthly_financials,
-    "shipping_performance": gold.shipping_performance,
-    "customer_analytics": gold.customer_analytics,
-}
-
 
-def _mart(build: Callable[[DataFrame], DataFrame]) -> Query:
+def _mart(name: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        mart = build(silver(spark, sf_dir))
-        return settle(mart)
+        return settle(gold.mart(name, silver(spark, sf_dir)))
 
     return query
 
@@ -309,7 +304,7 @@ def _growth(grain: str) -> Query:
     return _report("monthly_financials", lambda mart: reports.month_over_month(mart, grain))
 
 
-MART_QUERIES = {name: _mart(build) for name, build in MART_BUILDERS.items()}
+MART_QUERIES = {name: _mart(name) for name in gold.MARTS}
 REPORT_QUERIES = {
     **{name: _report(mart, build) for name, (mart, build) in reports.REPORTS.items()},
     "revenue_growth_by_market": _growth("market"),
@@ -377,13 +372,15 @@ def replace_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     return settle(_read_named(spark, name))
 
 
-CLUSTER_FILES = 8
+# So many files even where the size asks for fewer, so that there are ranges to compare.
+LEAST_FILES = 8
 
 
 def _clustered_items(spark: SparkSession, sf_dir: str) -> str:
     target = f"{work_folder(spark, 'cluster')}/lineitem"
     source = f"{sf_dir}/lineitem.parquet"
-    return compact_and_cluster(spark, source, target, "l_shipdate", files=CLUSTER_FILES)
+    files = max(LEAST_FILES, partitions_for(data_bytes(spark, source), TARGET_FILE_BYTES))
+    return compact_and_cluster(spark, source, target, "l_shipdate", files=files)
 
 
 def cluster_items(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -403,6 +400,7 @@ def items_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.date_format(F.min("low"), "yyyy-MM-dd").alias("low"),
         F.date_format(F.max("high"), "yyyy-MM-dd").alias("high"),
         F.count_if("overlap").alias("overlaps"),
+        F.count("*").alias("files"),
     )
 
 
@@ -415,15 +413,62 @@ def mart_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def layers_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All layers from raw frames; mart row counts."""
-    orders, logs = star.raw_orders(spark, sf_dir), star.raw_logs(spark, sf_dir)
-    return run_pipeline(spark, orders, logs, work_folder(spark, "layers"))
+    return _table_lake(spark, sf_dir)[1]
 
 
 def layers_from_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All layers from CSV files; mart row counts."""
+    return _csv_lake(spark, sf_dir)[1]
+
+
+def _csv_lake(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
+    """All layers from CSV files: where they are, and the mart row counts."""
     folder = work_folder(spark, "csv-layers")
     orders, logs = orders_csv(spark, sf_dir, folder), logs_csv(spark, sf_dir, folder)
-    return run_csv_pipeline(spark, orders, logs, layer_path(folder, "lake", "tables"))
+    root = layer_path(folder, "lake", "tables")
+    return root, run_csv_pipeline(spark, orders, logs, root)
+
+
+def _table_lake(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
+    """All layers from raw frames: where they are, and the mart row counts."""
+    root = work_folder(spark, "layers")
+    orders, logs = star.raw_orders(spark, sf_dir), star.raw_logs(spark, sf_dir)
+    return root, run_pipeline(spark, orders, logs, root)
+
+
+def _stored_by(lake: Callable[..., tuple[str, DataFrame]], layer: str, name: str) -> Query:
+    """A table as a whole pipeline run left it."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        root, _ = lake(spark, sf_dir)
+        rows = read_layer(spark, root, layer, name)
+        if "order_item_id" in rows.columns:
+            rows = op.cast_columns(rows, {"order_item_id": "int"})
+        return settle(rows) if layer == "gold" else settle(rows, NOISY)
+
+    return query
+
+
+def order_rejects_from_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bad values in every converted column of an order file, counted per column.
+
+    Two more rows account for the file: all its rows, and those that bronze lacks although they
+    are neither equal to another nor short of a required value.
+    """
+    path = f"{work_folder(spark, 'bad-csv')}/orders_csv"
+    star.bad_orders_with_headers(spark, sf_dir).write.options(**CSV_OPTIONS).csv(path)
+    raw = read_orders_csv(spark, path)
+    counts = layers.order_rejects(raw)
+    named = op.normalize_names(raw)
+    typed = op.cast_columns(named, layers.order_casts(named))
+    kept = op.drop_columns(
+        op.require(typed, rules.ORDER_REQUIRED).distinct(), rules.ORDER_PRIVATE_COLUMNS
+    )
+    lost = kept.exceptAll(layers.bronze_orders(raw)).agg(F.count("*").alias("rows"))
+    rows = raw.agg(F.count("*").alias("rows"))
+    return counts.unionByName(rows.select(F.lit("all rows").alias("rule"), "rows")).unionByName(
+        lost.select(F.lit("lost rows").alias("rule"), "rows")
+    )
 
 
 TABLE_QUERIES = {
@@ -436,6 +481,12 @@ TABLE_QUERIES = {
     "mart_row_counts": mart_row_counts,
     "all_layers_from_tables": layers_from_tables,
     "all_layers_from_csv": layers_from_csv,
+    "order_rejects_from_csv": order_rejects_from_csv,
+    **{f"pipeline_{name}": _stored_by(_csv_lake, "gold", name) for name in gold.MARTS},
+    "pipeline_silver_orders": _stored_by(_csv_lake, "silver", "orders"),
+    "pipeline_silver_logs": _stored_by(_csv_lake, "silver", "logs"),
+    "tables_pipeline_kpi_summary": _stored_by(_table_lake, "gold", "kpi_summary"),
+    "tables_pipeline_silver_logs": _stored_by(_table_lake, "silver", "logs"),
 }
 
 

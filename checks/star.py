@@ -24,6 +24,8 @@ COUNTRIES = [
     "replica x congo",
 ]
 
+UNPARSEABLE_TIME = "13/45/2001 9:99"
+
 # Original-style header -> normal name, for the columns whose header is not just the name in
 # words.
 ODD_HEADERS = {
@@ -46,9 +48,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _with_copies(df: DataFrame, copied: Column) -> DataFrame:
-    """Rows for which ``copied`` holds appear twice; one scan, no union."""
+    """Rows for which ``copied`` holds appear twice, told apart by ``copy``; one scan, no union."""
     times = F.when(copied, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
-    return df.withColumn("copy", F.explode(times)).drop("copy")
+    return df.withColumn("copy", F.explode(times))
 
 
 def _null_when(test: Column, value: Column) -> Column:
@@ -107,7 +109,8 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     for index, name in enumerate(COUNTRIES):
         country = F.when(c("n_nationkey") % 11 == index, name).otherwise(country)
     status = (
-        F.when(c("o_orderstatus") == "F", " COMPLETE ")
+        F.when(c("l_partkey") % 89 == 0, F.lit(None))
+        .when(c("o_orderstatus") == "F", " COMPLETE ")
         .when(c("o_orderstatus") == "O", "Closed")
         .otherwise("PENDING")
     )
@@ -137,7 +140,12 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         c("p_type").alias("category_name"),
         c("p_brand").alias("department_name"),
         c("p_name").alias("product_description"),
-        F.concat(F.lit("http://images.example.com/"), c("p_brand")).alias("product_image"),
+        # Some second copies differ in this private column only.
+        F.concat(
+            F.lit("http://images.example.com/"),
+            c("p_brand"),
+            F.when((c("copy") == 2) & (c("l_linenumber") == 1), "?v=2").otherwise(""),
+        ).alias("product_image"),
         status.alias("order_status"),
         _null_when(
             c("l_quantity") == 13, F.when(c("l_quantity") == 17, 0.0).otherwise(price)
@@ -154,10 +162,12 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         (c("c_nationkey") * -2.5).cast("double").alias("longitude"),
         real.alias("days_for_shipping_real"),
         scheduled.alias("days_for_shipment_scheduled"),
-        F.when(real > scheduled, 1).otherwise(0).alias("late_delivery_risk"),
-        _null_when(
-            c("l_partkey") % 101 == 0, F.date_format("o_orderdate", RAW_TIME_FORMAT)
-        ).alias("order_date_dateorders"),
+        # Not the same as late: real > scheduled.
+        F.when(c("l_suppkey") % 3 == 0, 1).otherwise(0).alias("late_delivery_risk"),
+        F.when(c("l_partkey") % 101 == 0, F.lit(None))
+        .when(c("l_partkey") % 107 == 0, UNPARSEABLE_TIME)
+        .otherwise(F.date_format("o_orderdate", RAW_TIME_FORMAT))
+        .alias("order_date_dateorders"),
         _null_when(
             c("l_partkey") % 103 == 0, F.date_format("l_shipdate", RAW_TIME_FORMAT)
         ).alias("shipping_date_dateorders"),
@@ -185,13 +195,52 @@ def raw_orders_as_text(spark: SparkSession, sf_dir: str) -> DataFrame:
             "order_profit_per_order": F.col("order_profit_per_order").cast("string"),
             "latitude": F.when(bad, "").otherwise(F.col("latitude").cast("string")),
             "longitude": F.col("longitude").cast("string"),
-            "order_date_dateorders": F.when(bad, "13/45/2001 9:99").otherwise(
+            "order_date_dateorders": F.when(bad, UNPARSEABLE_TIME).otherwise(
                 F.col("order_date_dateorders")
             ),
         }
     ).drop("l_mark")
 
 
+# Every converted column of an order file, with the remainder of ``l_partkey`` by 31 at which its
+# value does not convert.
+BAD_VALUES = {
+    "order_id": 1,
+    "order_item_id": 2,
+    "customer_id": 3,
+    "late_delivery_risk": 4,
+    "days_for_shipping_real": 5,
+    "days_for_shipment_scheduled": 6,
+    "order_item_discount_rate": 7,
+    "order_item_profit_ratio": 8,
+    "sales_per_customer": 9,
+    "sales": 10,
+    "order_item_quantity": 11,
+    "order_item_product_price": 12,
+    "order_profit_per_order": 13,
+    "latitude": 14,
+    "longitude": 15,
+    "order_date_dateorders": 16,
+    "shipping_date_dateorders": 17,
+}
+
+
+def bad_orders_with_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw orders as text, each converted column with some values that are no numbers or times."""
+    raw = raw_orders(spark, sf_dir)
+    # The order's own key picks the rows, so that SQL can pick the same ones.
+    mark = (F.col("order_id") + F.col("order_item_id")) % 31
+    marked = raw.withColumn("__mark", mark)
+    bad = marked.withColumns(
+        {
+            name: F.when(F.col("__mark") == at, F.concat(F.lit("X"), F.col("__mark").cast("string")))
+            .otherwise(F.col(name).cast("string"))
+            for name, at in BAD_VALUES.items()
+        }
+    ).drop("__mark")
+    return bad.toDF(*[header_of(name) for name in bad.columns])
+
+
 def raw_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw access log, eight text columns in file order under file-style headers, with dirt."""
     c = F.col

@@ -187,3 +187,11 @@ def test_text_steps_twice_equal_once(spark, texts):
         ]
     )
     assert changed.first().asDict() == {"text": 0, "letters": 0, "country": 0}
+
+
+def test_integers_are_exact_and_suffixes_are_no_numbers(values):
+    texts = ["5d", "7f", "3.0", "9007199254740993", "1e3", "x", "", None, " 4 "]
+    for kind in ("int", "bigint", "smallint"):
+        found = values(texts, lambda df: op.cast_columns(df, {"x": kind}))
+        big = 2**53 + 1 if kind == "bigint" else None
+        assert found == [None, None, 3, big, 1000, None, None, None, 4], kind

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from tests.plans import physical_plan
@@ -47,7 +48,24 @@ def test_keys_only_frames_and_maps_work(spark):
     keys = spark.createDataFrame([(1,), (1,), (2,)], "k int")
     assert op.dedup_by_key(keys, ["k"]).count() == 2
     maps = spark.createDataFrame([(1, {"a": 1}, 5), (1, {"b": 2}, 4)], "k int, m map<string,int>, v int")
-    assert op.dedup_by_key(maps, ["k"]).collect()[0].v == 4
+    assert op.dedup_by_key(maps, ["k"]).collect()[0].v == 5
+    assert op.dedup_by_key(maps, ["k"], ["v"]).collect()[0].v == 4
+
+
+def test_rows_that_differ_in_a_map_are_ordered_too(spark):
+    rows = [(i % 3, {"x": i % 7, "y": (i * 5) % 11}) for i in range(200)]
+    df = spark.createDataFrame(rows, "k int, m map<string,int>")
+    kept = [
+        sorted((r.k, sorted(r.m.items())) for r in op.dedup_by_key(df.repartition(n, F.rand(n)), ["k"]).collect())
+        for n in (1, 2, 5, 9)
+    ]
+    assert kept[0] == kept[1] == kept[2] == kept[3]
+
+
+def test_rows_without_an_order_are_refused(spark):
+    odd = spark.sql("SELECT 1 AS k, parse_json('{}') AS v")
+    with pytest.raises(TypeError, match="ordered by v"):
+        op.dedup_by_key(odd, ["k"])
 
 
 def test_kept_rows_do_not_depend_on_partitioning(spark):

@@ -4,8 +4,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from checks import queries as catalog
+from checks import star
 from tests.plans import physical_plan
-from tiermill.plans import gold
+from tiermill.plans import gold, layers
 from tiermill.schemas import MARTS
 
 COLUMNS = (
@@ -118,3 +119,22 @@ def test_groups_are_combined_before_the_shuffle(silver):
     # The distinct count spreads a group over (group, customer) first.
     full = physical_plan(gold.kpi_summary(silver))
     assert "hashpartitioning(market" in full and "customer_id" in full
+
+
+def test_a_fifth_mart_is_a_declaration(spark, sf_dir):
+    silver = layers.silver_orders(layers.bronze_orders(star.raw_orders(spark, sf_dir)))
+    by_status = gold.Mart(
+        keys=gold.by("order_status"),
+        measures={"revenue": "revenue", "orders": "items", "late": "late_items"},
+        ratios={"late_pct": gold.share_of("late", "orders")},
+        columns=("order_status", "late_pct", "revenue"),
+        sort="order_status",
+    ).build(silver)
+    assert by_status.columns == ["order_status", "late_pct", "revenue"]
+    assert [row.order_status for row in by_status.collect()] == ["closed", "complete"]
+
+
+def test_published_names_and_order(spark, sf_dir):
+    silver = layers.silver_orders(layers.bronze_orders(star.raw_orders(spark, sf_dir)))
+    for name, mart in gold.all_marts(silver).items():
+        assert ", ".join(f"{c} {kind}" for c, kind in mart.dtypes) == MARTS[name]

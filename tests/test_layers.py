@@ -178,9 +178,9 @@ def test_silver_has_one_row_per_key_and_only_cleaned_values(spark, sf_dir):
         F.count_if(~(F.col("sales") > 0)).alias("unsold"),
         F.count_if(~F.col("order_status").isin("complete", "closed")).alias("open"),
     ).first()
-    assert counts.rows == 2897
+    assert counts.rows == 2869
     assert (counts.unsold, counts.open) == (0, 0)
-    assert silver.select(*rules.ORDER_KEY).distinct().count() == 2897
+    assert silver.select(*rules.ORDER_KEY).distinct().count() == 2869
 
 
 def test_cleaning_is_one_stage_without_a_shuffle(spark, sf_dir):

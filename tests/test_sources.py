@@ -24,16 +24,16 @@ def csv(tmp_path):
     return write
 
 
-def test_order_types_follow_header_names_in_any_order(spark, csv):
-    path = csv("Sales,Order Id,Late_delivery_risk,Extra (x)\n1.5,7,1,z\nn/a,x,,\n")
+def test_orders_are_read_as_text_under_their_headers(spark, csv):
+    path = csv("Sales,Order Id,Late_delivery_risk,Extra (x)\n1.5,7,1,z\nn/a,X2,1.0,\n")
     df = src.read_orders_csv(spark, path)
     assert df.dtypes == [
         ("Sales", "string"),
-        ("Order Id", "bigint"),
-        ("Late_delivery_risk", "int"),
+        ("Order Id", "string"),
+        ("Late_delivery_risk", "string"),
         ("Extra (x)", "string"),
     ]
-    assert [tuple(r) for r in df.collect()] == [("1.5", 7, 1, "z"), ("n/a", None, None, None)]
+    assert [tuple(r) for r in df.collect()] == [("1.5", "7", "1", "z"), ("n/a", "X2", "1.0", None)]
 
 
 def test_inference_and_explicit_schemas(spark, csv):
@@ -73,10 +73,42 @@ def test_log_is_eight_text_columns_by_position(spark, csv):
     assert src.read_access_log_csv(spark, path, "infer").dtypes[4] == ("H", "int")
 
 
+@pytest.mark.parametrize(
+    "text", ["P,C,Date,M,H,D,ip\na,b,c,d,e,f,g\n", "P,C,Date,M,H,D,user,ip,url\na,b,c,d,e,f,g,h,i\n"]
+)
+def test_a_log_of_another_width_raises(spark, csv, text):
+    with pytest.raises(ValueError, match="8 names for [79] columns"):
+        layers.bronze_logs(src.read_access_log_csv(spark, csv(text)))
+
+
+def test_log_files_with_other_headers_raise(spark, csv, tmp_path):
+    csv("P,C,Date,M,H,D,ip,url\n1,2,3,4,5,6,7,8\n", "a.csv")
+    csv("P,C,Date,M,H,D,url,ip\n1,2,3,4,5,6,7,8\n", "b.csv")
+    with pytest.raises(Exception, match="(?i)header"):
+        src.read_access_log_csv(spark, str(tmp_path)).collect()
+
+
+def test_bad_keys_are_counted_not_lost_unseen(spark, csv):
+    path = csv(
+        "Order Id,Order Item Id,Customer Id,Sales,Order Item Quantity,Order Item Product Price,"
+        "Order Profit Per Order,Latitude,Longitude,order date (DateOrders),"
+        "shipping date (DateOrders)\n"
+        "X2,1,5,1.0,1,1,1,1,1,1/9/2018 6:05,1/9/2018 6:05\n"
+        "3,1,5d,1.0,1,1,1,1,1,1/9/2018 6:05,1/9/2018 6:05\n"
+        "4,1.0,9007199254740993,1.0,1,1,1,1,1,never,1/9/2018 6:05\n"
+    )
+    raw = src.read_orders_csv(spark, path)
+    bronze = layers.bronze_orders(raw).collect()
+    assert [(r.order_id, r.order_item_id, r.customer_id) for r in bronze] == [(4, 1, 2**53 + 1)]
+    counts = {row["rule"]: row["rows"] for row in layers.order_rejects(raw).collect() if row["rows"]}
+    assert counts == {"order_id": 1, "customer_id": 1, "order_date_dateorders": 1}
+
+
 def test_layer_tables_are_overwritten_whole(spark, tmp_path):
     root = str(tmp_path)
     path = src.write_layer(spark.range(5), root, "bronze", "t")
-    assert path == src.layer_path(root + "/", "bronze", "t")
+    base = src.layer_path(root + "/", "bronze", "t")
+    assert path.startswith(f"{base}/run-") and src.current_path(spark, base) == path
     src.write_layer(spark.range(2).withColumnRenamed("id", "k"), root, "bronze", "t")
     assert rows(src.read_layer(spark, root, "bronze", "t")) == ["Row(k=0)", "Row(k=1)"]
 
@@ -87,8 +119,6 @@ def test_registered_names_follow_a_replaced_schema(spark, tmp_path):
     assert spark.table(name).columns == ["id"]
     src.register(spark, name, src.layer_path(root, "silver", "t"))
     wider = spark.range(4).withColumn("x", F.lit(1))
-    src.write_layer(wider, root, "silver", "t", table=name)
-    assert spark.table(name).columns == ["id"]
     src.write_layer(wider, root, "silver", "t", replace_schema=True, table=name)
     assert spark.table(name).columns == ["id", "x"]
     assert spark.table(name).count() == 4
@@ -96,6 +126,41 @@ def test_registered_names_follow_a_replaced_schema(spark, tmp_path):
     assert src.read_layer(spark, root, "silver", "t").count() == 4
 
 
+def test_a_write_that_fails_leaves_the_last_table(spark, tmp_path):
+    root, name = str(tmp_path), "last_table"
+    src.write_layer(spark.range(3), root, "silver", "t", table=name)
+    half = spark.range(0, 100, 1, 4).select(
+        F.when(F.col("id") > 90, F.raise_error(F.lit("lost"))).otherwise(F.col("id")).alias("id")
+    )
+    with pytest.raises(Exception, match="lost"):
+        src.write_layer(half, root, "silver", "t", table=name)
+    assert spark.table(name).count() == src.read_layer(spark, root, "silver", "t").count() == 3
+    open_reader = src.read_layer(spark, root, "silver", "t")
+    src.write_layer(spark.range(9), root, "silver", "t", table=name)
+    spark.catalog.refreshTable(name)
+    assert spark.table(name).count() == src.read_layer(spark, root, "silver", "t").count() == 9
+    assert open_reader.count() == 3
+    src.write_layer(spark.range(10), root, "silver", "t", table=name)
+    # The run before the last stays, older ones and the failed one are gone.
+    assert len(list((tmp_path / "silver/t").glob("run-*"))) == 2
+    spark.sql(f"DROP TABLE {name}")
+
+
+def test_a_name_that_holds_something_else_is_left_alone(spark, tmp_path):
+    root = str(tmp_path)
+    spark.range(7).write.mode("overwrite").saveAsTable("kept_whole")
+    with pytest.raises(ValueError, match="managed"):
+        src.write_layer(spark.range(1), root, "gold", "kept_whole", replace_schema=True, table="kept_whole")
+    with pytest.raises(ValueError, match="managed"):
+        src.register(spark, "kept_whole", root, replace=True)
+    assert spark.table("kept_whole").count() == 7
+    spark.sql("DROP TABLE kept_whole")
+    spark.range(2).createOrReplaceTempView("a_view")
+    with pytest.raises(ValueError, match="temporary"):
+        src.register(spark, "a_view", root)
+    spark.catalog.dropTempView("a_view")
+
+
 def test_rows_are_counted_by_the_write(spark, tmp_path):
     root = str(tmp_path)
     assert src.write_counted(spark.range(1234).repartition(7), root, "l", "many") == 1234
@@ -121,22 +186,50 @@ def test_a_failing_mart_is_reported(spark, tmp_path):
 
 def test_bytes_and_partitions(spark, tmp_path):
     path = src.write_layer(spark.range(1000).repartition(3), str(tmp_path), "l", "t")
-    size = sum(file.stat().st_size for file in (tmp_path / "l/t").glob("*.parquet"))
+    size = sum(file.stat().st_size for file in (tmp_path / "l/t").rglob("*.parquet"))
     assert src.data_bytes(spark, path) == size
     assert [src.partitions_for(n, 10) for n in (0, 1, 10, 11)] == [1, 1, 1, 2]
 
 
+def test_packed_text_counts_as_unpacked(spark, tmp_path):
+    (tmp_path / "a.csv.gz").write_bytes(b"x" * 100)
+    (tmp_path / "b.csv").write_bytes(b"x" * 10)
+    assert src.data_bytes(spark, str(tmp_path)) == 810
+    assert src.data_bytes(spark, str(tmp_path), unpacked=False) == 110
+
+
+def test_task_size_and_count_grow_together(spark):
+    assert src.task_bytes(2**40) == 128 * 2**20
+    big = 100 * 2**40
+    tasks = src.partitions_for(big, src.task_bytes(big))
+    assert 100_000 < tasks < 200_000 and src.task_bytes(big) < 2**30
+
+
+def test_scanned_bytes_are_those_of_the_files(spark, sf_dir):
+    items = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    parts = spark.read.parquet(f"{sf_dir}/part.parquet")
+    joined = items.join(parts, items["l_partkey"] == parts["p_partkey"])
+    sizes = [src.data_bytes(spark, f"{sf_dir}/{name}.parquet") for name in ("lineitem", "part")]
+    assert src.scanned_bytes(joined) == sum(sizes)
+
+
 def test_shuffle_partitions_only_rise_and_come_back(spark):
     key = "spark.sql.shuffle.partitions"
     before = spark.conf.get(key)
+    scan = spark.conf.get("spark.sql.files.maxPartitionBytes")
     with src.shuffle_sized_for(spark, 1):
         assert spark.conf.get(key) == before
     with pytest.raises(RuntimeError), src.shuffle_sized_for(spark, 2**40, growth=1) as count:
         assert count == int(spark.conf.get(key)) == 2**13
         raise RuntimeError
     assert spark.conf.get(key) == before
-    with src.shuffle_sized_for(spark, 100 * 2**40) as count:
+    # 100 TiB is not cut off: no partition is expected to exceed what `task_bytes` says.
+    with src.shuffle_sized_for(spark, 100 * 2**40, growth=1) as count:
+        assert count * src.task_bytes(100 * 2**40) >= 100 * 2**40
+        assert int(spark.conf.get("spark.sql.files.maxPartitionBytes")) == src.task_bytes(100 * 2**40)
+    with src.shuffle_sized_for(spark, 100 * 2**40, maximum=40_000) as count:
         assert count == 40_000
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == scan
 
 
 def test_clustered_files_have_disjoint_ranges_and_the_same_rows(spark, sf_dir, tmp_path):
@@ -188,6 +281,12 @@ def test_work_folder_is_in_the_shared_folder(spark):
     assert one.startswith(f"{base}/x-") and one != two
 
 
+def test_a_work_folder_can_be_removed(spark):
+    path = work_folder(spark, "gone")
+    spark.range(3).write.parquet(path)
+    assert src.remove_folder(spark, path) and not src.remove_folder(spark, path)
+
+
 class Settings:
     def __init__(self, **values):
         self.values = values
@@ -200,8 +299,13 @@ class Settings:
 def test_work_folder_needs_shared_storage_on_a_cluster():
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         work_folder(Settings(**{"spark.master": "yarn"}), "x")
-    local = work_folder(Settings(**{"spark.master": "local[2]"}), "x")
-    assert "tiermill-" in local
+    warehouse = {"spark.sql.warehouse.dir": "file:/warehouse"}
+    local = work_folder(Settings(**{"spark.master": "local[2]"}, **warehouse), "x")
+    assert local.startswith("file:/warehouse/x-")
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        work_folder(Settings(**{"spark.master": "yarn"}, **warehouse), "x")
+    far = {"spark.master": "yarn", "spark.sql.warehouse.dir": "s3a://lake/warehouse"}
+    assert work_folder(Settings(**far), "x").startswith("s3a://lake/warehouse/x-")
     shared = Settings(**{"spark.master": "yarn", "spark.checkpoint.dir": "hdfs:///work/"})
     assert work_folder(shared, "x").startswith("hdfs:///work/x-")
 

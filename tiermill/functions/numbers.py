@@ -11,11 +11,11 @@ INTEGERS = {"tinyint", "smallint", "int", "bigint"}
 def as_type(column: Column, target: str) -> Column:
     """Cast, with null for a value that does not convert.
 
-    Narrow integers go through double, so text such as ``3.0`` counts as 3. ``bigint`` does not:
-    a double cannot hold every key.
+    Integers go through an exact decimal: text such as ``3.0`` counts as 3, every key of a
+    ``bigint`` stays what it is, and a type suffix (``5d``) is no number.
     """
-    if target in INTEGERS - {"bigint"}:
-        return column.try_cast("double").try_cast(target)
+    if target in INTEGERS:
+        return column.try_cast("decimal(38,10)").try_cast(target)
     return column.try_cast(target)
 
 

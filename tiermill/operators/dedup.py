@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, MapType, StructType, VariantType
 
@@ -20,6 +20,15 @@ def dedup_rows(df: DataFrame) -> DataFrame:
     return df.dropDuplicates()
 
 
+def _ordering(name: str, kind: DataType) -> Column:
+    """The column as something rows can be ordered by: a map as its sorted entries."""
+    if isinstance(kind, MapType) and _orderable(kind.keyType) and _orderable(kind.valueType):
+        return F.array_sort(F.map_entries(name))
+    if not _orderable(kind):
+        raise TypeError(f"rows cannot be ordered by {name} ({kind.simpleString()}); drop or cast it")
+    return F.col(name)
+
+
 def _orderable(kind: DataType) -> bool:
     if isinstance(kind, ArrayType):
         return _orderable(kind.elementType)
@@ -33,17 +42,13 @@ def dedup_by_key(
 ) -> DataFrame:
     """Keep one row per key: the smallest by ``order_by``, then by all other columns, nulls last.
 
-    The order is total, so the same rows survive on every run and on every retry. ``row_number()
-    = 1`` lets Spark cut each task to one row per key *before* the shuffle (WindowGroupLimit), so
+    The order is total, so the same rows survive on every run and on every retry; a column that has
+    no order, such as a variant, raises. ``row_number() = 1`` lets Spark cut each task to one row per key *before* the shuffle (WindowGroupLimit), so
     a key that holds a large share of the rows never lands in one task whole.
     """
     first = [name for name in order_by or [] if name not in keys]
-    others = [
-        field.name
-        for field in df.schema.fields
-        if field.name not in keys and field.name not in first and _orderable(field.dataType)
-    ]
-    order = [F.col(name).asc_nulls_last() for name in first + others]
+    others = [name for name in df.columns if name not in keys and name not in first]
+    order = [_ordering(name, df.schema[name].dataType).asc_nulls_last() for name in first + others]
     if not order:
         return df.dropDuplicates(list(keys))
     window = Window.partitionBy(*keys).orderBy(*order)

@@ -15,11 +15,19 @@ from tiermill import operators as op
 from tiermill import rules
 
 
+def order_casts(named: DataFrame) -> dict[str, str]:
+    """The columns bronze converts: some always, others where they are text."""
+    texts = {name for name, kind in named.dtypes if kind == "string"}
+    extra = {name: to for name, to in rules.ORDER_TEXT_CASTS.items() if name in texts}
+    return rules.ORDER_CASTS | extra
+
+
 def bronze_orders(raw: DataFrame) -> DataFrame:
     """Normal names, pinned types, required keys, no equal rows, no private columns."""
-    typed = op.normalize_names(raw).transform(op.cast_columns, rules.ORDER_CASTS)
+    named = op.normalize_names(raw)
     return (
-        typed.transform(op.require, rules.ORDER_REQUIRED)
+        named.transform(op.cast_columns, order_casts(named))
+        .transform(op.require, rules.ORDER_REQUIRED)
         .transform(op.dedup_rows)
         .transform(op.drop_columns, rules.ORDER_PRIVATE_COLUMNS)
     )
@@ -47,21 +55,30 @@ def clean_orders(bronze: DataFrame) -> DataFrame:
 
 
 def silver_orders(bronze: DataFrame) -> DataFrame:
-    """Cleaned orders, one row per order item, finished statuses only."""
+    """Cleaned orders, one row per order item, finished statuses only.
+
+    The rows are chosen first, by their bronze values, as cleaning text is the dear part and half
+    of the rows go. Of the cleaning, only the status decides about a row.
+    """
     tie_break = [name for name in rules.ORDER_TIE_BREAK if name in bronze.columns]
     return (
-        clean_orders(bronze)
+        bronze.transform(op.require, list(rules.ORDER_TIMES.values()))
         .transform(op.dedup_by_key, rules.ORDER_KEY, tie_break)
         .transform(op.keep_positive, rules.ORDER_POSITIVE)
+        .transform(op.normalize_text, ["order_status"])
         .transform(op.keep_in, "order_status", rules.ORDER_STATUSES)
+        .transform(clean_orders)
     )
 
 
 def order_rejects(raw: DataFrame) -> DataFrame:
-    """Values of the raw order table that casting or parsing turns into null, per column."""
+    """Values of the raw order table that casting or parsing turns into null, per column.
+
+    Covers every column that bronze converts for this input, and the two dates.
+    """
     named = op.normalize_names(raw)
     checks = {
-        name: (name, fn.as_type(F.col(name), to)) for name, to in rules.ORDER_CASTS.items()
+        name: (name, fn.as_type(F.col(name), to)) for name, to in order_casts(named).items()
     }
     for source in rules.ORDER_TIMES.values():
         checks[source] = (source, fn.parse_time(F.col(source)))

@@ -2,43 +2,31 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from tiermill.plans.gold import all_marts
 from tiermill.plans.layers import bronze_logs, bronze_orders, silver_logs, silver_orders
 from tiermill.sources import (
     data_bytes,
-    layer_path,
     read_access_log_csv,
     read_layer,
     read_orders_csv,
+    scanned_bytes,
     shuffle_sized_for,
     write_layer,
     write_marts,
 )
-from tiermill.sources.sizing import TEXT_GROWTH
+from tiermill.sources.sizing import COLUMNAR_GROWTH, TEXT_GROWTH
 from tiermill.sources.tables import DEFAULT_FORMAT
 
 ORDERS, LOGS = "orders", "logs"
 
 
-def _write_all(
-    layers: dict[str, DataFrame], layer: str, root: str, fmt: str, tables: bool
-) -> None:
-    """Write independent tables of one layer at once; raise what any write raised."""
-
-    def write(name: str) -> None:
-        table = f"{name}_{layer}" if tables else None
-        write_layer(layers[name], root, layer, name, fmt, replace_schema=True, table=table)
-
-    spark = next(iter(layers.values())).sparkSession
-    with ThreadPoolExecutor(len(layers)) as pool:
-        list(pool.map(inheritable_thread_target(spark)(write), layers))
-
-
 def run_pipeline(
     spark: SparkSession,
     raw_orders: DataFrame,
@@ -46,28 +34,45 @@ def run_pipeline(
     root: str,
     fmt: str = DEFAULT_FORMAT,
     tables: bool = False,
+    input_bytes: int | None = None,
 ) -> DataFrame:
     """Write every layer under ``root`` and return the mart row counts ``(mart, rows)``.
 
     Each layer is read back from storage by the next, which keeps plans short and lets a lost
-    executor cost one stage, not the whole run. Orders and log run side by side. The first,
-    unfiltered silver orders are not written: the cleaned ones replace them at the same path.
+    executor cost one stage, not the whole run. Orders to marts and the log are two chains that run
+    side by side and wait for each other only at the end. The first, unfiltered silver orders are
+    not written: the cleaned ones replace them at the same path.
+
+    Shuffles of all layers are sized for ``input_bytes`` shuffled bytes; by default three times
+    what the larger input's files hold.
     """
 
-    bronze = {ORDERS: bronze_orders(raw_orders)}
-    if raw_logs is not None:
-        bronze[LOGS] = bronze_logs(raw_logs)
-    _write_all(bronze, "bronze", root, fmt, tables)
+    def write(rows: DataFrame, layer: str, name: str) -> DataFrame:
+        table = f"{name}_{layer}" if tables else None
+        write_layer(rows, root, layer, name, fmt, replace_schema=True, table=table)
+        return read_layer(spark, root, layer, name, fmt)
+
+    def orders_to_marts() -> DataFrame:
+        bronze = write(bronze_orders(raw_orders), "bronze", ORDERS)
+        silver = write(silver_orders(bronze), "silver", ORDERS)
+        return write_marts(all_marts(silver), root, fmt, tables=tables)
 
-    size = max(data_bytes(spark, layer_path(root, "bronze", name)) for name in bronze)
-    with shuffle_sized_for(spark, size):
-        silver = {ORDERS: silver_orders(read_layer(spark, root, "bronze", ORDERS, fmt))}
+    def logs() -> None:
         if raw_logs is not None:
-            stored = read_layer(spark, root, "bronze", LOGS, fmt)
-            silver[LOGS] = silver_logs(stored, distinct_input=True)
-        _write_all(silver, "silver", root, fmt, tables)
-        clean = read_layer(spark, root, "silver", ORDERS, fmt)
-        return write_marts(all_marts(clean), root, fmt, tables=tables)
+            bronze = write(bronze_logs(raw_logs), "bronze", LOGS)
+            write(silver_logs(bronze, distinct_input=True), "silver", LOGS)
+
+    if input_bytes is None:
+        inputs = [raw_orders] if raw_logs is None else [raw_orders, raw_logs]
+        input_bytes = COLUMNAR_GROWTH * max(map(scanned_bytes, inputs))
+    chains: list[Callable] = [orders_to_marts, logs]
+    with (
+        shuffle_sized_for(spark, input_bytes, growth=1),
+        ThreadPoolExecutor(len(chains)) as pool,
+    ):
+        running = [pool.submit(inheritable_thread_target(spark)(chain)) for chain in chains]
+        audit, _ = [chain.result() for chain in running]
+    return audit
 
 
 def run_csv_pipeline(
@@ -78,16 +83,21 @@ def run_csv_pipeline(
     fmt: str = DEFAULT_FORMAT,
     tables: bool = False,
     encoding: str = "UTF-8",
+    schema: StructType | str | None = None,
 ) -> DataFrame:
-    """`run_pipeline` from CSV files, with shuffles sized for them."""
+    """`run_pipeline` from CSV files, with shuffles sized for them.
+
+    ``schema`` is that of the order file, or ``"infer"`` for both files; all text by default.
+    """
     paths = [path for path in (orders_path, logs_path) if path]
-    size = max(data_bytes(spark, path) for path in paths)
-    with shuffle_sized_for(spark, size, growth=TEXT_GROWTH):
-        return run_pipeline(
-            spark,
-            read_orders_csv(spark, orders_path, encoding=encoding),
-            read_access_log_csv(spark, logs_path, encoding=encoding) if logs_path else None,
-            root,
-            fmt,
-            tables,
-        )
+    size = TEXT_GROWTH * max(data_bytes(spark, path) for path in paths)
+    log_schema = schema if isinstance(schema, str) and schema == "infer" else None
+    return run_pipeline(
+        spark,
+        read_orders_csv(spark, orders_path, schema, encoding),
+        read_access_log_csv(spark, logs_path, log_schema, encoding) if logs_path else None,
+        root,
+        fmt,
+        tables,
+        input_bytes=size,
+    )

@@ -19,6 +19,18 @@ ORDER_CASTS = {
     "latitude": "double",
     "longitude": "double",
 }
+# Converted where a source gives them as text, as a file does.
+ORDER_TEXT_CASTS = {
+    "order_id": "bigint",
+    "order_item_id": "bigint",
+    "customer_id": "bigint",
+    "late_delivery_risk": "int",
+    "days_for_shipping_real": "int",
+    "days_for_shipment_scheduled": "int",
+    "order_item_discount_rate": "double",
+    "order_item_profit_ratio": "double",
+    "sales_per_customer": "double",
+}
 ORDER_REQUIRED = ["customer_id", "order_id", "sales"]
 ORDER_PRIVATE_COLUMNS = ["customer_password", "product_description", "product_image"]
 ORDER_UNUSED_COLUMNS = ["order_zipcode", "customer_email"]

@@ -1,28 +1,7 @@
-"""Explicit schemas: raw order and log files at the CSV edge, and the four marts."""
+"""Explicit schemas of the four marts: fixed names, types and order of columns."""
 
 from __future__ import annotations
 
-from pyspark.sql.types import DoubleType, IntegerType, LongType
-
-from tiermill.rules import LOG_COLUMNS
-
-# Column name after normalisation -> type in the raw file. The columns that bronze casts are read
-# as text, so that bad values reach the cast (and `rejects`) instead of vanishing in the reader.
-# A header that is not listed is read as text.
-ORDER_FILE_TYPES = {
-    "order_id": LongType(),
-    "order_item_id": LongType(),
-    "customer_id": LongType(),
-    "late_delivery_risk": IntegerType(),
-    "days_for_shipping_real": IntegerType(),
-    "days_for_shipment_scheduled": IntegerType(),
-    "order_item_discount_rate": DoubleType(),
-    "order_item_profit_ratio": DoubleType(),
-    "sales_per_customer": DoubleType(),
-}
-
-LOG_FILE = ", ".join(f"{name} string" for name in LOG_COLUMNS)
-
 MARTS = {
     "kpi_summary": (
         "market string, category_name string, total_sales double, total_profit double,"

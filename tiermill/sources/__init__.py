@@ -2,9 +2,16 @@
 
 from tiermill.sources.csv_files import read_access_log_csv, read_orders_csv
 from tiermill.sources.layout import cluster, compact_and_cluster, layout_stats
-from tiermill.sources.sizing import data_bytes, partitions_for, shuffle_sized_for
+from tiermill.sources.sizing import (
+    data_bytes,
+    partitions_for,
+    scanned_bytes,
+    shuffle_sized_for,
+    task_bytes,
+)
 from tiermill.sources.tables import (
     MART_LAYER,
+    current_path,
     layer_path,
     read_layer,
     register,
@@ -12,12 +19,13 @@ from tiermill.sources.tables import (
     write_layer,
     write_marts,
 )
-from tiermill.sources.workspace import work_folder
+from tiermill.sources.workspace import remove_folder, work_folder
 
 __all__ = [
     "MART_LAYER",
     "cluster",
     "compact_and_cluster",
+    "current_path",
     "data_bytes",
     "layer_path",
     "layout_stats",
@@ -26,7 +34,10 @@ __all__ = [
     "read_layer",
     "read_orders_csv",
     "register",
+    "remove_folder",
+    "scanned_bytes",
     "shuffle_sized_for",
+    "task_bytes",
     "work_folder",
     "write_counted",
     "write_layer",

@@ -5,23 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StringType, StructType
 
-from tiermill.operators.columns import normal_name
-from tiermill.schemas import LOG_FILE, ORDER_FILE_TYPES
-
 INFER = "infer"
 
 
-def _reader(spark: SparkSession, encoding: str):
-    return spark.read.option("header", True).option("encoding", encoding)
-
-
-def _order_schema(spark: SparkSession, path: str, encoding: str) -> StructType:
-    # Reads one header line, not the data: types come from the header names.
-    headers = _reader(spark, encoding).csv(path).columns
-    schema = StructType()
-    for header in headers:
-        schema = schema.add(header, ORDER_FILE_TYPES.get(normal_name(header), StringType()))
-    return schema
+def _read_csv(
+    spark: SparkSession, path: str, schema: StructType | str | None, encoding: str
+) -> DataFrame:
+    reader = spark.read.option("header", True).option("encoding", encoding)
+    if schema == INFER:
+        return reader.csv(path, inferSchema=True)
+    if schema is None:
+        # Reads one header line, not the data.
+        headers = reader.csv(path).columns
+        schema = StructType()
+        for header in headers:
+            schema = schema.add(header, StringType())
+    return reader.csv(path, schema=schema, enforceSchema=False)
 
 
 def read_orders_csv(
@@ -30,16 +29,13 @@ def read_orders_csv(
     schema: StructType | str | None = None,
     encoding: str = "UTF-8",
 ) -> DataFrame:
-    """Order CSV, headers as in the file.
+    """Order CSV, headers as in the file, every column as text.
 
-    The default schema follows the header names, whatever their order and number; the columns
-    that bronze casts stay text. ``schema="infer"`` scans the data for types instead. Every file
-    under the path must have the same header.
+    Bronze converts, so that a bad value reaches the cast (and `order_rejects`) instead of vanishing
+    in the reader. ``schema="infer"`` scans the data for types instead. Files under one path whose
+    headers differ raise.
     """
-    if schema == INFER:
-        return _reader(spark, encoding).csv(path, inferSchema=True)
-    pinned = _order_schema(spark, path, encoding) if schema is None else schema
-    return _reader(spark, encoding).csv(path, schema=pinned, enforceSchema=False)
+    return _read_csv(spark, path, schema, encoding)
 
 
 def read_access_log_csv(
@@ -48,7 +44,9 @@ def read_access_log_csv(
     schema: StructType | str | None = None,
     encoding: str = "UTF-8",
 ) -> DataFrame:
-    """Access log CSV: eight columns by position, all text unless a schema says otherwise."""
-    if schema == INFER:
-        return _reader(spark, encoding).csv(path, inferSchema=True)
-    return _reader(spark, encoding).csv(path, schema=LOG_FILE if schema is None else schema)
+    """Access log CSV, the columns its header names, all text unless a schema says otherwise.
+
+    Bronze renames by position and raises unless there are eight columns; files under one path whose
+    headers differ raise too.
+    """
+    return _read_csv(spark, path, schema, encoding)

@@ -1,54 +1,95 @@
-"""Sizes of stored data, and shuffle partitions that fit them."""
+"""Sizes of stored data, and task sizes that fit them."""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 MIB = 1024 * 1024
-SHUFFLE_PARTITION_BYTES = 128 * MIB
-# More reducers than this cost the driver and the shuffle service more than they help. Beyond it
-# partitions get larger instead, and aggregates, sorts and windows spill.
-MAX_SHUFFLE_PARTITIONS = 40_000
+PARTITION_BYTES = 128 * MIB
+# Up to so many tasks a side, partitions keep their size; beyond, both sides' grow together, so that
+# map times reduce tasks, the shuffle's blocks, stay bounded. No partition is cut off.
+COMFORTABLE_TASKS = 20_000
 # How many bytes of shuffled rows come from a byte of stored data.
 TEXT_GROWTH = 1
 COLUMNAR_GROWTH = 3
+# Bytes of text in a byte of a compressed file, by suffix.
+PACKED_GROWTH = {".gz": 8, ".bz2": 10, ".zst": 8, ".xz": 12, ".lz4": 4, ".snappy": 4, ".deflate": 8}
 
 
-def data_bytes(spark: SparkSession, path: str) -> int:
-    """Bytes of the data files under a path, from file listings; no file is opened."""
+def data_bytes(spark: SparkSession, path: str, unpacked: bool = True) -> int:
+    """Bytes of the data files under a path, from file listings; no file is opened.
+
+    Compressed text counts as the bytes it is likely to unpack to, unless ``unpacked`` is false.
+    """
+    size = F.col("length")
+    if unpacked:
+        for suffix, growth in PACKED_GROWTH.items():
+            size = F.when(F.lower("path").endswith(suffix), F.col("length") * growth).otherwise(size)
     files = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
         .load(path)
-        .agg(F.sum("length").alias("bytes"))
+        .agg(F.sum(size).alias("bytes"))
     )
     return files.first()["bytes"] or 0
 
 
-def partitions_for(size: int, partition_bytes: int = SHUFFLE_PARTITION_BYTES) -> int:
+def scanned_bytes(df: DataFrame) -> int:
+    """Bytes of the files, or other sources, that a frame reads, by Spark's own estimate."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(
+        int(str(leaves.apply(at).stats().sizeInBytes())) for at in range(leaves.size())
+    )
+
+
+def partitions_for(size: int, partition_bytes: int = PARTITION_BYTES) -> int:
     """Partitions needed so that none exceeds the given size on average."""
     return max(1, -(-size // partition_bytes))
 
 
+def task_bytes(size: int, partition_bytes: int = PARTITION_BYTES) -> int:
+    """Bytes a task should read: the given size, and more for inputs of very many such tasks.
+
+    Beyond `COMFORTABLE_TASKS` it grows as the square root of the input, shared between task size
+    and task count. 100 TiB thus give about 128,000 tasks of 820 MiB.
+    """
+    tasks = partitions_for(size, partition_bytes)
+    if tasks <= COMFORTABLE_TASKS:
+        return partition_bytes
+    return int(partition_bytes * (tasks / COMFORTABLE_TASKS) ** 0.5)
+
+
 @contextmanager
 def shuffle_sized_for(
-    spark: SparkSession, size: int, growth: int = COLUMNAR_GROWTH
+    spark: SparkSession,
+    size: int,
+    growth: int = COLUMNAR_GROWTH,
+    partition_bytes: int = PARTITION_BYTES,
+    maximum: int | None = None,
 ) -> Iterator[int]:
-    """Raise ``spark.sql.shuffle.partitions`` to fit the input for the time of a block.
+    """Fit ``spark.sql.shuffle.partitions`` and the bytes of a scan task to the input for a block.
 
     Adaptive execution merges partitions that turn out small but cannot split an aggregate's
-    partition that turns out large, so the number must start high enough. Never lowers it.
+    partition that turns out large, so the number must start high enough. Neither setting is ever
+    lowered, and both hold for everything else that runs in the session meanwhile. ``maximum`` bounds
+    the number where a cluster needs that; there is none by default.
     """
-    key = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(key)
-    fitting = min(partitions_for(size * growth), MAX_SHUFFLE_PARTITIONS)
-    wanted = max(int(before), fitting)
-    spark.conf.set(key, str(wanted))
+    shuffle, scan = "spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes"
+    before = {key: spark.conf.get(key) for key in (shuffle, scan)}
+    wide = task_bytes(size * growth, partition_bytes)
+    fitting = partitions_for(size * growth, wide)
+    if maximum is not None:
+        fitting = min(fitting, maximum)
+    wanted = max(int(before[shuffle]), fitting)
+    spark.conf.set(shuffle, str(wanted))
+    if wide > partition_bytes:
+        spark.conf.set(scan, str(wide))
     try:
         yield wanted
     finally:
-        spark.conf.set(key, before)
+        for key, value in before.items():
+            spark.conf.set(key, value)

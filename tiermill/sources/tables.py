@@ -1,9 +1,17 @@
-"""Layer tables at a path: ``<root>/<layer>/<name>``."""
+"""Layer tables at a path: ``<root>/<layer>/<name>``.
+
+A plain-file table is replaced without a gap. Every write goes to a new ``run-…`` folder under the
+table's path; the newest one that a write completed is the table. A run that dies leaves the last
+complete one in place, by path and by name, and readers of the old folder can finish: the run before
+the last stays until the next write.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
+from time import time_ns
+from uuid import uuid4
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -16,16 +24,59 @@ DEFAULT_FORMAT = "parquet"
 MART_LAYER = "gold"
 
 
+# Formats that replace a table in one commit of their own.
+COMMITTING_FORMATS = {"delta", "iceberg", "hudi"}
+DONE = "_SUCCESS"
+
+
 def layer_path(root: str, layer: str, name: str) -> str:
     """Where a layer table lives."""
     return f"{root.rstrip('/')}/{layer}/{name}"
 
 
+def _folder(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    return target, target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def _runs(spark: SparkSession, path: str) -> tuple[list[str], list[str]]:
+    """Run folders of a table, oldest first: the complete ones and all of them."""
+    target, files = _folder(spark, path)
+    if not files.exists(target):
+        return [], []
+    names = sorted(
+        status.getPath().getName()
+        for status in files.listStatus(target)
+        if status.getPath().getName().startswith("run-")
+    )
+    marks = [_folder(spark, f"{path}/{name}/{DONE}")[0] for name in names]
+    return [name for name, mark in zip(names, marks) if files.exists(mark)], names
+
+
+def current_path(spark: SparkSession, path: str) -> str:
+    """The folder that holds a table's rows now; the path itself if nothing was written by runs."""
+    complete, _ = _runs(spark, path)
+    return f"{path}/{complete[-1]}" if complete else path
+
+
+def _drop_old_runs(spark: SparkSession, path: str) -> None:
+    complete, every = _runs(spark, path)
+    kept = complete[-2:]
+    for name in every:
+        if name < kept[0]:
+            target, files = _folder(spark, f"{path}/{name}")
+            files.delete(target, True)
+
+
 def read_layer(
     spark: SparkSession, root: str, layer: str, name: str, fmt: str = DEFAULT_FORMAT
 ) -> DataFrame:
     """A layer table. ``fmt`` may be any installed source, such as delta."""
-    return spark.read.format(fmt).load(layer_path(root, layer, name))
+    path = layer_path(root, layer, name)
+    return spark.read.format(fmt).load(
+        path if fmt in COMMITTING_FORMATS else current_path(spark, path)
+    )
 
 
 def write_layer(
@@ -37,20 +88,39 @@ def write_layer(
     replace_schema: bool = False,
     table: str | None = None,
 ) -> str:
-    """Overwrite a layer table and return its path.
+    """Replace a layer table and return the folder that holds its rows.
 
     ``replace_schema`` allows new columns where the format guards the old ones. With ``table``
-    the catalog entry follows: it is made when absent and, as an entry keeps the columns it was
-    made with, made anew when the schema is replaced.
+    the catalog entry follows once the rows are complete.
     """
-    path = layer_path(root, layer, name)
-    writer = df.write.format(fmt).mode("overwrite")
-    if replace_schema and fmt == "delta":
-        writer = writer.option("overwriteSchema", True)
-    writer.save(path)
+    spark, path = df.sparkSession, layer_path(root, layer, name)
+    if table:
+        _check_entry(spark, table)
+    if fmt in COMMITTING_FORMATS:
+        writer = df.write.format(fmt).mode("overwrite")
+        if replace_schema and fmt == "delta":
+            writer = writer.option("overwriteSchema", True)
+        writer.save(path)
+        if table:
+            register(spark, table, path, fmt, replace=replace_schema)
+        return path
+    # Names sort by time; two writers of one table at once would both complete, and the later win.
+    run = f"{path}/run-{time_ns():020d}-{uuid4().hex[:8]}"
+    df.write.format(fmt).save(run)
     if table:
-        register(df.sparkSession, table, path, fmt, replace=replace_schema)
-    return path
+        register(spark, table, run, fmt, replace=True)
+    _drop_old_runs(spark, path)
+    return run
+
+
+def _check_entry(spark: SparkSession, name: str) -> bool:
+    """Whether the name has an external entry; raises if something else holds it."""
+    if not spark.catalog.tableExists(name):
+        return False
+    kind = spark.catalog.getTable(name).tableType
+    if kind != "EXTERNAL":
+        raise ValueError(f"{name} is {kind.lower()}, not a layer table")
+    return True
 
 
 def register(
@@ -62,14 +132,15 @@ def register(
 ) -> None:
     """Name a path in the catalog if the name is free; ``replace`` makes the entry anew.
 
-    The table is external, so dropping an entry leaves the files alone.
+    Only an external entry is ever dropped, which leaves its files alone. A view, or a table that
+    owns its files, holds the name for itself: that raises.
     """
-    if replace:
-        spark.sql("DROP TABLE IF EXISTS IDENTIFIER(:name)", {"name": name})
-    if spark.catalog.tableExists(name):
-        spark.catalog.refreshTable(name)
-    else:
-        spark.catalog.createTable(name, path=path, source=fmt)
+    if _check_entry(spark, name):
+        if not replace:
+            spark.catalog.refreshTable(name)
+            return
+        spark.sql("DROP TABLE IDENTIFIER(:name)", {"name": name})
+    spark.catalog.createTable(name, path=path, source=fmt)
 
 
 def write_counted(

@@ -2,29 +2,31 @@
 
 from __future__ import annotations
 
-import tempfile
-from functools import cache
 from uuid import uuid4
 
 from pyspark.sql import SparkSession
 
 SHARED_DIR = "spark.checkpoint.dir"
-
-
-@cache
-def _local_base() -> str:
-    return tempfile.mkdtemp(prefix="tiermill-")
+WAREHOUSE_DIR = "spark.sql.warehouse.dir"
 
 
 def work_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder in the shared storage the session names in ``spark.checkpoint.dir``.
 
-    Only a local session may go without that setting; it then gets a temporary folder. On a
-    cluster a machine-local folder would be invisible to the other machines, so that raises.
+    Without that setting the session's warehouse serves. On a cluster a warehouse on a local disk
+    would be invisible to the other machines, so that raises.
     """
     base = spark.conf.get(SHARED_DIR, None)
     if not base:
-        if not spark.conf.get("spark.master", "").startswith("local"):
+        base = spark.conf.get(WAREHOUSE_DIR, None) or ""
+        cluster = not spark.conf.get("spark.master", "").startswith("local")
+        if not base or cluster and (base.startswith("file:") or "://" not in base):
             raise ValueError(f"set {SHARED_DIR} to a folder all executors can reach")
-        base = _local_base()
     return f"{base.rstrip('/')}/{purpose}-{uuid4().hex[:12]}"
+
+
+def remove_folder(spark: SparkSession, path: str) -> bool:
+    """Delete a work folder wherever it is stored; false if there is none."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
