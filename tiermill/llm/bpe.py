@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Regex, normalizers, pre_tokenizers
 
-from tiermill.llm.common import text_chunks
+from tiermill.llm.common import text_chunks, to_python
 
 CACHED_WORDS = 200_000
 NO_RANK = np.iinfo(np.int32).max
@@ -247,7 +247,7 @@ def bpe_encode(docs: DataFrame, path: str | None = None, ids: bool = False) -> D
                     columns["decoded"] = pa.array(decoded, pa.string())
                 yield pa.RecordBatch.from_pydict(columns)
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text")).mapInArrow(run, schema)
+    return to_python(docs.select(F.col("doc_id").cast("long"), "text")).mapInArrow(run, schema)
 
 
 def whole_tokens(bpe: WordBpe) -> frozenset[str]:
@@ -315,4 +315,4 @@ def count_tokens(docs: DataFrame, path: str | None = None, limit: int = 2048) ->
                     }
                 )
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text")).mapInArrow(run, schema)
+    return to_python(docs.select(F.col("doc_id").cast("long"), "text")).mapInArrow(run, schema)

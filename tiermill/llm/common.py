@@ -15,6 +15,10 @@ WORD = r"[^\x20\x09-\x0D]+"
 GAP = r"[\x20\x09-\x0D]+"
 # Texts handed to one numpy step: bounds a Python worker's memory whatever the batch holds.
 CHUNK_CHARS = 4_000_000
+ARROW_BOUNDS = {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": 1000,
+    "spark.sql.execution.arrow.maxBytesPerBatch": 8 * 1024 * 1024,
+}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,6 +33,20 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def to_python(rows: DataFrame) -> DataFrame:
+    """The rows, with the session's Arrow batches bounded before they go to Python tasks.
+
+    Texts differ a thousandfold in length, and a batch is held several times over: in the JVM, on
+    its way, and in Python. Lowers two session settings, and never raises them.
+    """
+    conf = rows.sparkSession.conf
+    for key, most in ARROW_BOUNDS.items():
+        now = int(conf.get(key).rstrip("b"))
+        if now <= 0 or now > most:
+            conf.set(key, str(most))
+    return rows
+
+
 def words_of(text: Column | str) -> Column:
     """The words of a text as an array; a null text has none."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), GAP), "")

@@ -39,7 +39,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tiermill.llm.common import stored, text_chunks
+from tiermill.llm.common import stored, text_chunks, to_python
 
 WINDOW = 35
 ROUNDS = 2
@@ -384,7 +384,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, texts: bool = False) -
     A word goes if a window over it also starts anywhere else in the corpus. ``texts=True`` adds the
     kept words, joined by blanks, of documents that have any recurring anchor (null: nothing was removed).
     """
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    rows = to_python(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
     anchors = rows.mapInArrow(
         lambda b: _anchor_rows(b, window), "anchor long, doc_id long, tag long"
     )

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tiermill.llm.common import stored
+from tiermill.llm.common import stored, to_python
 from tiermill.llm.components import components
 
 BITS = 64
@@ -73,7 +73,7 @@ def fingerprints(docs: DataFrame, shingle: int = 4, also: Sequence[str] = ()) ->
 
     fields = ", ".join(f"{name} long" for name in [*names, "fp"])
     longs = [F.col(name).cast("long").alias(name) for name in names]
-    return docs.select(*longs, "text").mapInArrow(run, fields)
+    return to_python(docs.select(*longs, "text")).mapInArrow(run, fields)
 
 
 def covering_masks(radius: int) -> list[int]:

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tiermill.llm.common import stored
+from tiermill.llm.common import stored, to_python
 
 SAMPLE = 20_000
 MODEL_UNITS = 50_000
@@ -40,7 +40,7 @@ MIN_GAIN = math.log(20.0)
 STEMS = (6, 5, 4)
 DRIFT = 0.05
 FOLDS = 5
-CACHED_WORDS = 300_000
+CACHED_WORDS = 200_000
 TOKEN = re.compile(r"[^\W\d_]+")
 
 
@@ -163,7 +163,7 @@ def _unit_counts(sample: DataFrame) -> DataFrame:
             )
 
     return (
-        sample.mapInArrow(run, "unit string, toxic long, clean long")
+        to_python(sample).mapInArrow(run, "unit string, toxic long, clean long")
         .groupBy("unit")
         .agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
     )
@@ -196,7 +196,7 @@ def _scans(docs: DataFrame, gains, keep: list[str]) -> DataFrame:
                 names=[*keep, "scores", "words"],
             )
 
-    return docs.select(*keep, "text").mapInArrow(run, f"{fields}, scores array<double>, words long")
+    return to_python(docs.select(*keep, "text")).mapInArrow(run, f"{fields}, scores array<double>, words long")
 
 
 def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
@@ -294,4 +294,4 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, bound: float = 0.5) -> DataFr
             keep = [fitted.probability(fitted.evidence(*scan)) < bound for scan in scans]
             yield batch.filter(pa.array(keep, pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return to_python(docs).mapInArrow(run, docs.schema)
