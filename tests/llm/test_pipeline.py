@@ -1,0 +1,139 @@
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+
+import __spark_entry__ as contract
+import corpus_pipeline as cp
+from checks.compare import database, difference
+from tests.llm.test_lines import brute as brute_lines
+from tests.llm.test_simhash import groups, plain_fingerprint
+from tiermill.llm import queries as llm
+from tiermill.llm.bpe import default_vocabulary
+from tiermill.llm.common import stored, table
+from tiermill.llm.decontaminate import find_leaks
+from tiermill.llm.toxicity import toxicity
+
+MIDDLE = "/root/testdata/sf0.01"
+
+
+def texts(df):
+    return {row.doc_id: row.text for row in df.select("doc_id", "text").collect()}
+
+
+@pytest.fixture(scope="module")
+def stages(spark):
+    """The output of every stage over the middle data set, each on its predecessor's."""
+    docs = [table(spark, MIDDLE, "documents")]
+    for _, stage in cp.STAGES:
+        docs.append(stored(stage(spark, docs[-1], MIDDLE), "tested-stage"))
+    return docs
+
+
+def test_stages_are_the_stated_ones():
+    assert [name for name, _ in cp.STAGES] == [
+        "toxicity",
+        "line dedup",
+        "SimHash near-dedup",
+        "benchmark decontamination",
+        "BPE encoding and decoding",
+    ]
+    assert cp.ORACLE_SQL is None
+
+
+def test_all_but_the_last_return_documents(stages):
+    for out in stages[1:-1]:
+        assert out.dtypes == stages[0].dtypes
+
+
+def test_toxic_documents_go(spark, stages):
+    clean = toxicity(stages[0], table(spark, MIDDLE, "labels")).filter("predicted = 0")
+    kept, before = texts(stages[1]), texts(stages[0])
+    assert set(kept) == {row.doc_id for row in clean.collect()} and len(kept) < len(before)
+    assert all(before[key] == text for key, text in kept.items())
+    labels = table(spark, MIDDLE, "labels").filter("toxic = 0")
+    lost = labels.join(stages[1], "doc_id", "left_anti").count()
+    assert lost <= 0.03 * labels.count()
+
+
+def test_later_line_runs_go_and_documents_stay(stages):
+    before, after = texts(stages[1]), texts(stages[2])
+    assert after == brute_lines(list(before.items()))
+    sizes = stages[2].filter(F.length("text") != F.col("n_chars")).count()
+    assert sizes == 0
+
+
+def test_one_document_of_each_group_stays(stages):
+    before, after = texts(stages[2]), texts(stages[3])
+    prints = {key: plain_fingerprint(text) for key, text in before.items()}
+    root = groups(set(prints), lambda a, b: (prints[a] ^ prints[b]).bit_count() <= 4)
+    assert set(after) == set(root.values())
+    assert all(before[key] == text for key, text in after.items())
+
+
+def test_leaks_go_and_the_rest_stays(spark, stages):
+    before, after = texts(stages[3]), texts(stages[4])
+    leaks = {row.doc_id for row in find_leaks(stages[3], table(spark, MIDDLE, "benchmark")).collect()}
+    assert leaks and after == {key: text for key, text in before.items() if key not in leaks}
+
+
+def test_ids_are_the_library_s(stages):
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(default_vocabulary())
+    before = texts(stages[4])
+    found = {row.doc_id: row.ids for row in stages[5].collect()}
+    assert found == {
+        key: library.encode(text, add_special_tokens=False).ids for key, text in before.items()
+    }
+
+
+def test_run_is_the_stages_in_order(spark, stages):
+    assert sorted(cp.run(spark, MIDDLE).select("doc_id", "ids_sha256").collect()) == sorted(
+        stages[5].select("doc_id", "ids_sha256").collect()
+    )
+
+
+def test_the_pipeline_takes_hard_texts_and_an_empty_table(spark, make_docs, hard_texts):
+    for docs in (make_docs(hard_texts), make_docs([])):
+        for _, stage in cp.STAGES:
+            docs = stored(stage(spark, docs, MIDDLE), "hard-stage")
+        assert docs.count() <= len(hard_texts)
+
+
+def test_every_operator_and_the_pipeline_are_registered():
+    names = contract.queries()
+    for number in range(1, 11):
+        assert len([name for name in names if name.startswith(f"op{number}_")]) == 1
+    assert "pipeline" in names
+    assert set(llm.oracle_sql()) <= set(llm.queries())
+
+
+@pytest.mark.parametrize("name", llm.oracle_sql())
+def test_queries_equal_their_sql(spark, sf_dir, name):
+    con = database(sf_dir)
+    assert difference(llm.queries()[name](spark, sf_dir), con, llm.oracle_sql()[name]) is None
+
+
+@pytest.mark.parametrize(
+    "name, columns",
+    [
+        ("op1_bpe", ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]),
+        ("op2_quality", ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]),
+        ("op3_token_counts", ["doc_id", "n_bytes", "n_tokens", "over_limit"]),
+        ("op5_repeats", ["doc_id", "n_words", "n_removed", "kept_sha256"]),
+        ("op6_hilbert", ["doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard"]),
+        ("op7_chat", ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]),
+        ("op9_toxicity", ["doc_id", "held_out", "score", "predicted"]),
+        ("op10_simhash", ["doc_id", "fingerprint", "component_id"]),
+    ],
+)
+def test_queries_return_the_stated_columns(spark, sf_dir, name, columns):
+    result = llm.queries()[name](spark, sf_dir)
+    assert set(columns) <= set(result.columns)
+    source = "conversations" if name == "op7_chat" else "documents"
+    rows = table(spark, sf_dir, source)
+    expected = rows.select("conv_id").distinct().count() + 1 if name == "op7_chat" else rows.count()
+    assert result.count() == expected
+    kinds = dict(result.dtypes)
+    assert {kinds[c] for c in columns if c.startswith("n_") or c in ("slot", "size", "word_chars")} <= {"bigint"}
