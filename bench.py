@@ -2,8 +2,9 @@
 
 The raw order and log CSV files are written first, untimed. Then each layer is timed from the
 stored layer below it, each report from the stored marts, and the whole pipeline from CSV.
-``top_markets_from_tables`` is the flagship query straight from the driver's tables. Every figure
-is the median of three runs after one warm-up.
+``top_markets_from_tables`` is the flagship query straight from the driver's tables, ``dedup_hot_key``
+a keyed dedup with a third of the rows on one key. Every figure is the median of three runs after one
+warm-up. The written files are removed at the end.
 
 Environment: ``BENCH_SF_DIR`` (default /root/testdata/sf0.1), ``BENCH_CPUS`` (default 8).
 """
@@ -18,16 +19,20 @@ import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from checks import queries as catalog
 from checks.compare import local_session
+from tiermill import operators as op
 from tiermill.plans import gold, layers, reports
 from tiermill.plans.pipeline import run_csv_pipeline
 from tiermill.sources import (
+    compact_and_cluster,
     layer_path,
     read_access_log_csv,
     read_layer,
     read_orders_csv,
+    remove_folder,
     work_folder,
     write_layer,
 )
@@ -94,6 +99,16 @@ def main() -> None:
         catalog.queries()["top_markets_by_sales"](spark, sf_dir)
     )
 
+    items = f"{sf_dir}/lineitem.parquet"
+    runs["compact_and_cluster"] = lambda: compact_and_cluster(
+        spark, items, f"{root}/clustered", "l_shipdate"
+    )
+    # A third of the rows under one key.
+    hot = F.when(F.col("l_partkey") % 3 == 0, 7).otherwise(F.col("l_orderkey"))
+    runs["dedup_hot_key"] = lambda: evaluate(
+        op.dedup_by_key(spark.read.parquet(items).withColumn("l_orderkey", hot), ["l_orderkey"])
+    )
+
     times = {}
     for name, run in runs.items():
         times[name] = seconds(run)
@@ -105,6 +120,7 @@ def main() -> None:
         "queries": times,
         "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf"),
     }
+    remove_folder(spark, root)
     print(json.dumps(report))
     spark.stop()
 
