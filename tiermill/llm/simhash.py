@@ -158,7 +158,7 @@ def links(nodes: DataFrame, radius: int = 4, bucket: int = BUCKET) -> DataFrame:
     )
     large = (
         met.filter(F.col("n") > bucket)
-        .join(flip_rows, "t")
+        .join(F.broadcast(flip_rows), "t")  # a row per mask, of a few hundred longs each
         .select("t", "key", "fp", F.explode("flips").alias("flip"))
         .withColumn("middle", F.col("fp").bitwiseXOR(F.col("flip")))
     )
