@@ -484,6 +484,15 @@ FILTER_SQL = {
           {stable("order_profit_per_order")} AS order_profit_per_order, order_status, order_city
         FROM raw_orders QUALIFY {FIRST_OF_KEY}""",
     ),
+    "order_quarantine": sql(
+        TEXT,
+        f"""SELECT * FROM (SELECT {KEY}, sales, concat_ws('|',
+          CASE WHEN sales = 'n/a' THEN 'sales' END,
+          CASE WHEN order_item_quantity = 'many' THEN 'order_item_quantity' END,
+          CASE WHEN latitude = '' THEN 'latitude' END,
+          CASE WHEN order_date_dateorders = '13/45/2001 9:99' THEN 'order_date_dateorders' END)
+          AS rejected_by FROM text_orders) WHERE rejected_by <> ''""",
+    ),
     "order_rejects": sql(
         TEXT,
         "\nUNION ALL\n".join(

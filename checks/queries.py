@@ -266,6 +266,9 @@ FILTER_QUERIES = {
         "order_city",
     ),
     "order_rejects": on(star.raw_orders_as_text, layers.order_rejects),
+    "order_quarantine": on(
+        star.raw_orders_as_text, layers.order_quarantine, *KEY, "sales", "rejected_by"
+    ),
 }
 
 # --- layers, marts, reports ------------------------------------------------------------------

@@ -58,3 +58,11 @@ def test_rejects_count_values_lost_by_conversion(spark):
     assert {row.rule: row.rows for row in lost.collect()} == {"n": 2, "t": 2}
     with pytest.raises(ValueError, match="no rules"):
         op.rejects(df, {})
+
+
+def test_rejected_rows_are_set_aside_with_their_reasons(spark):
+    rows = [("1", "2"), ("x", "3"), ("y", "z"), (None, "4"), (None, None)]
+    df = spark.createDataFrame(rows, "a string, b string")
+    rules = {name: (name, F.col(name).try_cast("int")) for name in ("a", "b")}
+    found = {(r.a, r.b): r.rejected_by for r in op.rejected_rows(df, rules).collect()}
+    assert found == {("x", "3"): ["a"], ("y", "z"): ["a", "b"]}

@@ -18,7 +18,14 @@ from tiermill.operators.columns import (
     strip_non_letters,
 )
 from tiermill.operators.dedup import dedup_by_key, dedup_rows
-from tiermill.operators.quality import keep_between, keep_in, keep_positive, rejects, require
+from tiermill.operators.quality import (
+    keep_between,
+    keep_in,
+    keep_positive,
+    rejected_rows,
+    rejects,
+    require,
+)
 
 __all__ = [
     "canonicalize",
@@ -38,6 +45,7 @@ __all__ = [
     "normalize_text",
     "null_if_numeric",
     "parse_timestamps",
+    "rejected_rows",
     "rejects",
     "rename_positional",
     "require",

@@ -42,6 +42,25 @@ def keep_between(df: DataFrame, name: str, low: object, high: object) -> DataFra
     return df.filter(F.col(name).between(low, high))
 
 
+REJECTED_BY = "rejected_by"
+
+
+def _lost(source: str, converted: Column) -> Column:
+    return F.col(source).isNotNull() & converted.isNull()
+
+
+def rejected_rows(df: DataFrame, rules: Mapping[str, tuple[str, Column]]) -> DataFrame:
+    """The rows, as given, with a value that is present but comes out null, to set aside.
+
+    ``rules`` is that of `rejects`; ``rejected_by`` lists the rules a row breaks, in their order.
+    One filter over one scan, no shuffle.
+    """
+    broken = F.array_compact(
+        F.array(*[F.when(_lost(*rule), F.lit(name)) for name, rule in rules.items()])
+    )
+    return df.withColumn(REJECTED_BY, broken).filter(F.size(REJECTED_BY) > 0)
+
+
 def rejects(df: DataFrame, rules: Mapping[str, tuple[str, Column]]) -> DataFrame:
     """Count, per rule, the values that are present but come out null.
 
@@ -52,8 +71,7 @@ def rejects(df: DataFrame, rules: Mapping[str, tuple[str, Column]]) -> DataFrame
         raise ValueError("no rules given")
     counts = df.agg(
         *[
-            F.count_if(F.col(source).isNotNull() & converted.isNull()).alias(rule)
-            for rule, (source, converted) in rules.items()
+            F.count_if(_lost(*sides)).alias(rule) for rule, sides in rules.items()
         ]
     )
     return counts.unpivot([], list(rules), "rule", "rows")

@@ -7,7 +7,7 @@ value and status filters. Moving one changes which rows survive.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tiermill import functions as fn
@@ -71,18 +71,26 @@ def silver_orders(bronze: DataFrame) -> DataFrame:
     )
 
 
-def order_rejects(raw: DataFrame) -> DataFrame:
-    """Values of the raw order table that casting or parsing turns into null, per column.
-
-    Covers every column that bronze converts for this input, and the two dates.
-    """
-    named = op.normalize_names(raw)
+def _conversions(named: DataFrame) -> dict[str, tuple[str, Column]]:
+    """Every column that bronze or silver converts for this input, and how."""
     checks = {
         name: (name, fn.as_type(F.col(name), to)) for name, to in order_casts(named).items()
     }
     for source in rules.ORDER_TIMES.values():
         checks[source] = (source, fn.parse_time(F.col(source)))
-    return op.rejects(named, checks)
+    return checks
+
+
+def order_rejects(raw: DataFrame) -> DataFrame:
+    """How many values of the raw order table casting or parsing turns into null, per column."""
+    named = op.normalize_names(raw)
+    return op.rejects(named, _conversions(named))
+
+
+def order_quarantine(raw: DataFrame) -> DataFrame:
+    """The raw order rows that hold such a value, with the columns concerned."""
+    named = op.normalize_names(raw)
+    return op.rejected_rows(named, _conversions(named))
 
 
 def clean_logs(raw: DataFrame) -> DataFrame:
