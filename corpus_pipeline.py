@@ -1,7 +1,7 @@
 """Preparing a training corpus: five stages over ``documents``, each written and read again.
 
-A stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame over everything its predecessor kept. All but
-the last return the columns of ``documents``. ``ORACLE_SQL`` is None: learnt scores, fingerprints and
+A stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame over everything its predecessor kept.
+All but the last return the columns of ``documents``. ``ORACLE_SQL`` is None: learnt scores, fingerprints and
 the vocabulary are beyond SQL; the tests compare every stage with a brute-force version.
 """
 

@@ -62,7 +62,9 @@ def hilbert_index(axes: list[Column], bits: int) -> Column:
         # Each axis becomes the exclusive or of itself and all before it.
         return F.transform(
             point,
-            lambda _, j: F.aggregate(F.slice(point, F.lit(1), j + 1), F.lit(0).cast("long"), lambda a, x: a.bitwiseXOR(x)),
+            lambda _, j: F.aggregate(
+                F.slice(point, F.lit(1), j + 1), F.lit(0).cast("long"), lambda a, x: a.bitwiseXOR(x)
+            ),
         )
 
     def twist(point: Column) -> Column:
@@ -70,7 +72,9 @@ def hilbert_index(axes: list[Column], bits: int) -> Column:
         turn = reduce(
             lambda a, b: a.bitwiseXOR(b),
             (
-                F.when(last.bitwiseAND(F.lit(1 << b)) != 0, F.lit((1 << b) - 1).cast("long")).otherwise(F.lit(0).cast("long"))
+                F.when(
+                    last.bitwiseAND(F.lit(1 << b)) != 0, F.lit((1 << b) - 1).cast("long")
+                ).otherwise(F.lit(0).cast("long"))
                 for b in range(bits - 1, 0, -1)
             ),
             F.lit(0).cast("long"),
@@ -81,7 +85,10 @@ def hilbert_index(axes: list[Column], bits: int) -> Column:
         return reduce(
             lambda a, b: a + b,
             (
-                F.shiftleft(F.shiftright(F.get(point, F.lit(i)), b).bitwiseAND(F.lit(1).cast("long")), b * n + n - 1 - i)
+                F.shiftleft(
+                    F.shiftright(F.get(point, F.lit(i)), b).bitwiseAND(F.lit(1).cast("long")),
+                    b * n + n - 1 - i,
+                )
                 for b in range(bits)
                 for i in range(n)
             ),
@@ -97,7 +104,9 @@ def _codes(df: DataFrame, dims: list[str]) -> dict[str, Column]:
     texts = [name for name in dims if kinds[name] == "string"]
     codes = {name: F.col(name).cast("double") for name in dims if name not in texts}
     if texts:
-        ends = df.agg(*(f(name).alias(f"{f.__name__}_{name}") for name in texts for f in (F.min, F.max))).first()
+        ends = df.agg(
+            *(f(name).alias(f"{f.__name__}_{name}") for name in texts for f in (F.min, F.max))
+        ).first()
         for name in texts:
             low, high = ((ends[f"{f}_{name}"] or "").encode() for f in ("min", "max"))
             shared = len(commonprefix([low, high]))
@@ -111,7 +120,10 @@ def _steps(df: DataFrame, dims: list[str], bits: int) -> list[Column]:
     codes = _codes(df, dims)
     shares = [k / 2**bits for k in range(1, 2**bits)]
     found = df.agg(
-        *(F.percentile_approx(codes[name], shares, QUANTILE_ACCURACY).alias(f"cut{k}") for k, name in enumerate(dims))
+        *(
+            F.percentile_approx(codes[name], shares, QUANTILE_ACCURACY).alias(f"cut{k}")
+            for k, name in enumerate(dims)
+        )
     ).first()
     steps = []
     for k, name in enumerate(dims):

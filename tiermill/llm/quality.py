@@ -78,7 +78,9 @@ def _repeat_words(words: Column) -> Column:
         F.size(words) >= WINDOW,
         let(
             windows(words),
-            lambda h: F.when(F.size(F.array_distinct(h)) < F.size(h), covered(h)).otherwise(F.lit(0).cast("long")),
+            lambda h: F.when(F.size(F.array_distinct(h)) < F.size(h), covered(h)).otherwise(
+                F.lit(0).cast("long")
+            ),
         ),
     ).otherwise(F.lit(0).cast("long"))
 
@@ -93,7 +95,9 @@ def base_counts(text: Column) -> Column:
             F.size(words).cast("long").alias("n_words"),
             F.length(F.array_join(words, "")).cast("long").alias("word_chars"),
             F.length(F.regexp_replace(whole, f"[^{SYMBOLS}]+", "")).cast("long").alias("n_symbols"),
-            let(lines, lambda l: F.size(l) - F.size(F.array_distinct(l))).cast("long").alias("n_dup_lines"),
+            let(lines, lambda l: F.size(l) - F.size(F.array_distinct(l)))
+            .cast("long")
+            .alias("n_dup_lines"),
             _repeat_words(words).alias("n_repeat_words"),
         ),
     )
@@ -135,7 +139,11 @@ def _class_counts(text: Column, n_words_chars: Column, n_symbols: Column) -> Col
 
     size = F.length(text).cast("long")
     return let(
-        F.struct(left(r"\P{L}+").alias("letters"), left(r"\P{Lu}+").alias("upper"), left(r"\P{N}+").alias("digits")),
+        F.struct(
+            left(r"\P{L}+").alias("letters"),
+            left(r"\P{Lu}+").alias("upper"),
+            left(r"\P{N}+").alias("digits"),
+        ),
         lambda c: F.array(
             c["letters"] - c["upper"],
             c["upper"],
@@ -152,7 +160,11 @@ def _word_counts(plain: Column, words: Column) -> Column:
     found = F.transform(
         words,
         lambda w: (
-            (F.octet_length(plain) - F.octet_length(F.replace(plain, F.concat(F.lit(" "), w, F.lit(" "))))) / (F.octet_length(w) + 2)
+            (
+                F.octet_length(plain)
+                - F.octet_length(F.replace(plain, F.concat(F.lit(" "), w, F.lit(" "))))
+            )
+            / (F.octet_length(w) + 2)
         ).cast("long"),
     )
     gaps = (F.octet_length(plain) - F.octet_length(F.replace(plain, F.lit(" ")))) / 2
@@ -162,7 +174,10 @@ def _word_counts(plain: Column, words: Column) -> Column:
         lambda n: F.concat(
             n,
             F.array(
-                F.greatest(F.lit(0), total.cast("long") - F.aggregate(n, F.lit(0).cast("long"), lambda a, x: a + x))
+                F.greatest(
+                    F.lit(0),
+                    total.cast("long") - F.aggregate(n, F.lit(0).cast("long"), lambda a, x: a + x),
+                )
             ),
         ),
     )

@@ -233,7 +233,11 @@ def _anchor_rows(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.
             for at in range(0, len(tags), OUT_ROWS):
                 part = slice(at, at + OUT_ROWS)
                 yield pa.RecordBatch.from_arrays(
-                    [_longs(found.anchor[part]), ids.take(pa.array(found.owner[part])), pa.array(tags[part])],
+                    [
+                        _longs(found.anchor[part]),
+                        ids.take(pa.array(found.owner[part])),
+                        pa.array(tags[part]),
+                    ],
                     names=["anchor", "doc_id", "tag"],
                 )
 
@@ -276,7 +280,10 @@ def _block_rows(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.R
                 [
                     batch.column("doc_id").slice(start, len(texts)),
                     pa.array(words.counts),
-                    pa.array([_digest(one) if done else None for one, done in zip(lists, whole)], pa.string()),
+                    pa.array(
+                        [_digest(one) if done else None for one, done in zip(lists, whole)],
+                        pa.string(),
+                    ),
                     pa.array([None if done else text for text, done in zip(texts, whole)], pa.string()),
                     pa.ListArray.from_arrays(pa.array(stops), structs),
                 ],
@@ -332,7 +339,9 @@ def _window_rows(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.
                 yield whole.slice(at, OUT_ROWS)
 
 
-def _kept_rows(batches: Iterator[pa.RecordBatch], window: int, texts_out: bool) -> Iterator[pa.RecordBatch]:
+def _kept_rows(
+    batches: Iterator[pa.RecordBatch], window: int, texts_out: bool
+) -> Iterator[pa.RecordBatch]:
     """What is left of the texts with recurring anchors."""
     for batch in batches:
         block_at, (firsts, lasts) = _ranges(batch.column("blocks"), "first", "last")
@@ -419,7 +428,9 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, texts: bool = False) -
         kinds.join(mixed_anchors, "anchor")
         .select(
             F.col("at.doc_id").alias("doc_id"),
-            F.struct(F.col("at.tag").alias("tag"), F.least(F.col("n"), F.lit(2)).alias("weight")).alias("one"),
+            F.struct(
+                F.col("at.tag").alias("tag"), F.least(F.col("n"), F.lit(2)).alias("weight")
+            ).alias("one"),
         )
         .groupBy(F.col("doc_id").alias("of_id"))
         .agg(F.collect_list("one").alias("listed"))

@@ -128,7 +128,10 @@ def links(nodes: DataFrame, radius: int = 4, bucket: int = BUCKET) -> DataFrame:
     """Edges ``(u, v)`` that connect all distinct ``fp`` within ``radius`` bits of each other."""
     masks = [_signed(mask) for mask in covering_masks(radius)]
     tables = F.array(
-        *(F.struct(F.lit(t).alias("t"), F.col("fp").bitwiseAND(F.lit(m)).alias("key")) for t, m in enumerate(masks))
+        *(
+            F.struct(F.lit(t).alias("t"), F.col("fp").bitwiseAND(F.lit(m)).alias("key"))
+            for t, m in enumerate(masks)
+        )
     )
     rows = nodes.select("fp", F.explode(tables).alias("b")).select("b.t", "b.key", "fp")
     shared = rows.groupBy("t", "key").agg(F.count("*").alias("n")).filter("n > 1")
@@ -154,7 +157,9 @@ def links(nodes: DataFrame, radius: int = 4, bucket: int = BUCKET) -> DataFrame:
     spark = nodes.sparkSession
     flip_rows = spark.createDataFrame(
         list(enumerate(flips)),
-        T.StructType([T.StructField("t", T.IntegerType()), T.StructField("flips", T.ArrayType(T.LongType()))]),
+        T.StructType(
+            [T.StructField("t", T.IntegerType()), T.StructField("flips", T.ArrayType(T.LongType()))]
+        ),
     )
     large = (
         met.filter(F.col("n") > bucket)
@@ -180,7 +185,9 @@ def near_duplicates(
     return rows.join(_components(rows, radius, bucket), "fp").select("doc_id", "fp", "component_id")
 
 
-def representatives(docs: DataFrame, shingle: int = 4, radius: int = 4, bucket: int = BUCKET) -> DataFrame:
+def representatives(
+    docs: DataFrame, shingle: int = 4, radius: int = 4, bucket: int = BUCKET
+) -> DataFrame:
     """One document of every component, the one with the least ``doc_id``; columns unchanged.
 
     Rows without an id stay only where no row of their component has one. Of rows with one id, that

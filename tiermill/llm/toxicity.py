@@ -9,8 +9,8 @@ good in a text of the same length; the evidence of all significant segments is a
 mapped to a probability by a logistic fit on the sample.
 
 Bounds: `SAMPLE` labelled documents, `MODEL_UNITS` units; both are parameters. Scoring reads every
-document. Labels, language, source and id are no inputs of a score. Null and empty texts have no evidence and get
-the lowest score; a document labelled twice counts as toxic if either label says so; null labels are
+document. Labels, language, source and id are no inputs of a score. Null and empty texts have no
+evidence and get the lowest score; a document labelled twice counts as toxic if either label says so; null labels are
 ignored; without labels of both kinds every score is 0.
 """
 
@@ -152,7 +152,9 @@ def _unit_counts(sample: DataFrame) -> DataFrame:
             counts = (Counter(), Counter())
             for text, toxic in zip(batch.column("text"), batch.column("toxic")):
                 words = set(TOKEN.findall((text.as_py() or "").lower()))
-                counts[1 if toxic.as_py() else 0].update({unit for word in words for unit in units_of(word)})
+                counts[1 if toxic.as_py() else 0].update(
+                    {unit for word in words for unit in units_of(word)}
+                )
             names = list(counts[0].keys() | counts[1].keys())
             yield pa.RecordBatch.from_pydict(
                 {
@@ -196,7 +198,9 @@ def _scans(docs: DataFrame, gains, keep: list[str]) -> DataFrame:
                 names=[*keep, "scores", "words"],
             )
 
-    return to_python(docs.select(*keep, "text")).mapInArrow(run, f"{fields}, scores array<double>, words long")
+    return to_python(docs.select(*keep, "text")).mapInArrow(
+        run, f"{fields}, scores array<double>, words long"
+    )
 
 
 def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
@@ -217,7 +221,10 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 def learn(docs: DataFrame, labels: DataFrame, size: int = SAMPLE, units: int = MODEL_UNITS) -> Model:
     """Fit on labelled documents outside the held-out fold."""
     sample = _sample(docs, labels, size)
-    kinds = {row["toxic"]: row["n"] for row in sample.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    kinds = {
+        row["toxic"]: row["n"]
+        for row in sample.groupBy("toxic").agg(F.count("*").alias("n")).collect()
+    }
     n_toxic, n_clean = sum(n for k, n in kinds.items() if k), kinds.get(0, 0)
     if not n_toxic or not n_clean:
         return Model({}, offset=-30.0, slope=0.0)
