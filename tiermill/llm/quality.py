@@ -69,9 +69,13 @@ def _repeat_words(words: Column) -> Column:
         )
 
     def windows(found: Column) -> Column:
-        return F.transform(
-            F.sequence(F.lit(1), F.size(found) - (WINDOW - 1)),
-            lambda i: F.xxhash64(F.slice(found, i, F.lit(WINDOW))),
+        # Words are hashed once; a window is the hash of its words' hashes.
+        return let(
+            F.transform(found, lambda word: F.xxhash64(word)),
+            lambda h: F.transform(
+                F.sequence(F.lit(0), F.size(h) - WINDOW),
+                lambda i: F.xxhash64(*(F.get(h, i + k) for k in range(WINDOW))),
+            ),
         )
 
     return F.when(
