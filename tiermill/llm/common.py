@@ -14,7 +14,7 @@ from tiermill.sources.workspace import work_folder
 WORD = r"[^\x20\x09-\x0D]+"
 GAP = r"[\x20\x09-\x0D]+"
 # Texts handed to one numpy step: bounds a Python worker's memory whatever the batch holds.
-CHUNK_CHARS = 4_000_000
+CHUNK_CHARS = 1_000_000
 ARROW_BOUNDS = {
     "spark.sql.execution.arrow.maxRecordsPerBatch": 1000,
     "spark.sql.execution.arrow.maxBytesPerBatch": 8 * 1024 * 1024,

@@ -44,7 +44,7 @@ from tiermill.llm.common import stored, text_chunks, to_python
 WINDOW = 35
 ROUNDS = 2
 SPAN = 4
-CACHED_WORDS = 300_000
+CACHED_WORDS = 100_000
 SALT = 0x9E3779B97F4A7C15
 BASES = (0xD1342543DE82EF95, 0xAF251AF3B0F025B5)
 OUT_ROWS = 100_000
