@@ -43,7 +43,8 @@ def dedup_by_key(
     """Keep one row per key: the smallest by ``order_by``, then by all other columns, nulls last.
 
     The order is total, so the same rows survive on every run and on every retry; a column that has
-    no order, such as a variant, raises. ``row_number() = 1`` lets Spark cut each task to one row per key *before* the shuffle (WindowGroupLimit), so
+    no order, such as a variant, raises. ``row_number() = 1`` lets Spark cut each task to one row per key
+    *before* the shuffle (WindowGroupLimit), so
     a key that holds a large share of the rows never lands in one task whole.
     """
     first = [name for name in order_by or [] if name not in keys]
