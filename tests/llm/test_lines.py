@@ -78,3 +78,40 @@ def test_a_hot_run_and_an_empty_table(make_docs):
 def test_no_python_in_the_plan(make_docs):
     plan = dedup_lines(make_docs(["a\nb\nc"]))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def brute_words(rows, run, words):
+    """As `brute`, with windows of fewer lines that have enough words."""
+    places = {}
+    for key, text in sorted(rows, key=lambda row: row[0]):
+        lines = text.split("\n")
+        full = [at for at, line in enumerate(lines) if line.split()]
+        for size in range(1, run + 1):
+            for at in range(len(full) - size + 1):
+                window = [lines[i] for i in full[at : at + size]]
+                if size == run or sum(len(line.split()) for line in window) >= words:
+                    places.setdefault(tuple(window), []).append((key, full[at : at + size]))
+    gone, kept = set(), set()
+    for found in places.values():
+        for nth, (key, window) in enumerate(found if len(found) > 1 else []):
+            (kept if nth == 0 else gone).update((key, i) for i in window)
+    cut = gone - kept
+    return {
+        key: "\n".join(line for i, line in enumerate(text.split("\n")) if (key, i) not in cut) for key, text in rows
+    }
+
+
+def test_long_passages_of_one_or_two_lines_go(make_docs):
+    one, half = " ".join(f"w{k}" for k in range(300)), " ".join(f"v{k}" for k in range(30))
+    rows = [(key, f"top {key}\n{one}\nend {key}") for key in range(100)]
+    rows += [(100 + key, f"{half}\n\n{half} more") for key in range(50)] + [(200, one), (201, "short"), (202, "short")]
+    found = {row.doc_id: row.n_removed for row in dedup_lines(make_docs(rows), words=50).collect()}
+    removed = {key: 1 for key in (*range(1, 100), 200)} | {key: 2 for key in range(101, 150)}
+    assert found == {key: 0 for key, _ in rows} | removed
+
+
+@pytest.mark.parametrize("run", [2, 3])
+def test_random_lines_with_words(make_docs, run):
+    rows = random_rows(run, ["a", "b c", "d e f", "", "g h i j k", *map(str, range(20))])
+    found = {row.doc_id: row.text for row in dedup_lines(make_docs(rows), run, words=5).collect()}
+    assert found == brute_words(rows, run, 5)

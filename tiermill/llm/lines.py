@@ -7,10 +7,12 @@ chose it is named by its content, and overlapping windows make up maximal runs.
 occurrence of a window, by ``(doc_id, text hash, line)``, keeps its lines whole; lines that only later
 occurrences cover are removed.
 
+With ``words``, fewer lines than ``run`` are a run too if they have that many words together, so that
+a long passage goes though it is one line. It is off by default, as the SQL twin knows lines only.
+
 Only DataFrame functions. A hot line costs one aggregate row per task, not pairs. Line and window
 names are 128 bits. Blank lines are no part of runs and stay. A null text stays null; an
-empty text, and one with fewer than ``run`` lines that are not blank, stays as it is; a text may become
-empty. Equal rows with the same ``doc_id`` are one document. Extra columns pass through.
+empty text, and one without a run, stays as it is; a text may become empty. Equal rows with the same ``doc_id`` are one document. Extra columns pass through.
 """
 
 from __future__ import annotations
@@ -18,13 +20,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tiermill.llm.common import let
+from tiermill.llm.common import let, words_of
 
 RUN_LINES = 3
 
 
-def _windows(docs: DataFrame, run: int) -> DataFrame:
-    """One row per window: its document, first line, fingerprint and name."""
+def _windows(docs: DataFrame, run: int, words: int | None = None) -> DataFrame:
+    """One row per window, of at least ``words`` words if given: its document, first line, fingerprint and name."""
+    counted = [] if words is None else [lambda line: F.size(words_of(line)).alias("n")]
     lines = F.filter(
         F.transform(
             F.split(F.col("text"), "\n"),
@@ -33,6 +36,7 @@ def _windows(docs: DataFrame, run: int) -> DataFrame:
                 F.xxhash64(line).alias("a"),
                 F.xxhash64(line, F.lit(1)).alias("b"),
                 line.rlike(r"[^\x20\x09-\x0D]").alias("full"),
+                *(count(line) for count in counted),
             ),
         ),
         lambda line: line["full"],
@@ -51,6 +55,7 @@ def _windows(docs: DataFrame, run: int) -> DataFrame:
                     F.xxhash64(w["a"]).alias("name_a"),
                     F.xxhash64(w["b"]).alias("name_b"),
                     w["i"].alias("at"),
+                    *(F.aggregate(w["n"], F.lit(0), lambda a, n: a + n).alias("n") for _ in counted),
                 ),
             ),
         )
@@ -62,14 +67,17 @@ def _windows(docs: DataFrame, run: int) -> DataFrame:
             F.transform(F.sequence(F.lit(0), F.size(found) - run), lambda s: window(found, s)),
         ),
     )
-    return docs.select(
+    rows = docs.select(
         F.col("doc_id").alias("__id"), F.xxhash64("text").alias("__hash"), F.explode(windows).alias("w")
     ).select("__id", "__hash", "w.*")
+    return rows if words is None else rows.filter(F.col("n") >= words).drop("n")
 
 
-def removed_lines(docs: DataFrame, run: int = RUN_LINES) -> DataFrame:
+def removed_lines(docs: DataFrame, run: int = RUN_LINES, words: int | None = None) -> DataFrame:
     """``__id, __hash, cut``: the places of the lines to remove, for documents that lose any."""
     rows = _windows(docs, run)
+    for fewer in range(1, run if words is not None else 1):
+        rows = rows.unionByName(_windows(docs, fewer, words))
     mark_place = F.struct("__id", "__hash", "mark_at")
     marks = (
         rows.groupBy("mark")
@@ -95,13 +103,15 @@ def removed_lines(docs: DataFrame, run: int = RUN_LINES) -> DataFrame:
     )
 
 
-def dedup_lines(docs: DataFrame, run: int = RUN_LINES) -> DataFrame:
+def dedup_lines(docs: DataFrame, run: int = RUN_LINES, words: int | None = None) -> DataFrame:
     """The documents, with ``n_lines``, ``n_removed`` and the shortened ``text``.
 
+    A run has ``run`` lines, or if given, ``words`` words in fewer lines.
+
     Other columns are unchanged and none may be called ``__cut``, ``__id`` or ``__hash``, nor, as
     they are added here, ``n_lines`` or ``n_removed``: those are replaced.
     """
-    cut = removed_lines(docs, run).withColumnRenamed("cut", "__cut")
+    cut = removed_lines(docs, run, words).withColumnRenamed("cut", "__cut")
     left = docs.drop("n_lines", "n_removed")
     joined = left.join(
         cut,
