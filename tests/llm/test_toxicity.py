@@ -117,3 +117,23 @@ def test_dropping_keeps_columns_and_clean_documents(labelled):
 def test_the_sample_is_bounded(labelled):
     docs, labels = labelled
     assert tx._sample(docs, labels, 50).count() == 50
+
+
+def test_passages_know_their_places():
+    rng = random.Random(2)
+    for _ in range(200):
+        values = [rng.choice([0, 0, rng.uniform(0.5, 3)]) for _ in range(rng.randint(0, 24))]
+        places = [at for at, value in enumerate(values) if value]
+        for score, first, last in tx.passages(places, [values[at] for at in places], 0.3):
+            assert score == pytest.approx(sum(value or -0.3 for value in values[first : last + 1]))
+
+
+def test_spans_are_the_significant_passages(make_docs):
+    model = tx.Model({"vileword": 6.0, "odd": 1.0}, rate=0.01, decay=1.0)
+    texts = ["clean " * 30 + "VileWord, vileword" + " clean" * 400 + " odd", "\u0130\u0130 vileword x", "clean odd", None]
+    # A chance segment as good as "odd" is expected 1.6 times in 433 words, and 0.007 times in 2.
+    rows = {row.doc_id: row for row in tx.score_toxicity(make_docs(texts), model).collect()}
+    found = {key: [texts[key][span.begin : span.end] for span in row.spans] for key, row in rows.items()}
+    assert found == {0: ["VileWord, vileword"], 1: ["vileword"], 2: ["odd"], 3: []}
+    assert all(row.n_segments == len(row.spans) for row in rows.values())
+    assert rows[0].spans[0].score == rows[0].best_segment == 12.0

@@ -5,8 +5,9 @@ log-odds of occurring in toxic against clean documents, shrunk by a Dirichlet pr
 rate; only units whose log-odds are significant score, every other token costs a small drift. A
 linear-time scan finds all maximal-scoring segments of a whole text. Segment scores of clean
 documents have an exponential tail, which gives the expected number of chance segments at least as
-good in a text of the same length; the evidence of all significant segments is added up and
-mapped to a probability by a logistic fit on the sample.
+good in a text of the same length; the evidence of all significant segments, those expected less than
+once, is added up and mapped to a probability by a logistic fit on the sample. Their places in the
+text are returned as spans of characters.
 
 Bounds: `SAMPLE` labelled documents, `MODEL_UNITS` units; both are parameters. Scoring reads every
 document. Labels, language, source and id are no inputs of a score. Null and empty texts have no
@@ -50,28 +51,35 @@ def units_of(word: str) -> list[str]:
 
 
 def segments(places: Sequence[int], gains: Sequence[float], drift: float = DRIFT) -> list[float]:
-    """Scores of all maximal-scoring segments of a text, in one linear scan.
+    """Scores of all maximal-scoring segments of a text; see `passages`."""
+    return [score for score, _, _ in passages(places, gains, drift)]
+
+
+def passages(
+    places: Sequence[int], gains: Sequence[float], drift: float = DRIFT
+) -> list[tuple[float, int, int]]:
+    """Score, first and last place of all maximal-scoring segments of a text, in one linear scan.
 
     ``places`` are the token positions that score ``gains``; each other token scores ``-drift``.
     The usual stack of candidates: each keeps the running total before it and at its end, and a new
     candidate swallows those between it and the last one that starts lower and ends lower.
     """
-    found: list[tuple[float, float]] = []
+    found: list[tuple[float, float, int, int]] = []
     total, before = 0.0, -1
     for place, gain in zip(places, gains):
         total -= drift * (place - before - 1)
         left, total, before = total, total + gain, place
-        right = total
+        right, first = total, place
         while True:
             at = len(found) - 1
             while at >= 0 and found[at][0] >= left:
                 at -= 1
             if at < 0 or found[at][1] >= right:
-                found.append((left, right))
+                found.append((left, right, first, place))
                 break
-            left = found[at][0]
+            left, first = found[at][0], found[at][2]
             del found[at:]
-    return [right - left for left, right in found]
+    return [(right - left, first, last) for left, right, first, last in found]
 
 
 @dataclass
@@ -84,10 +92,13 @@ class Model:
     offset: float = -4.0
     slope: float = 1.0
 
+    def surprise(self, score: float, words: int) -> float:
+        """Log of one over the expected number of chance segments at least as good."""
+        return self.decay * score - math.log(max(words, 1) * self.rate)
+
     def evidence(self, scores: Sequence[float], words: int) -> float:
-        """Sum, over segments better than chance, of the log of one over the expected number."""
-        log_expected = math.log(max(words, 1) * self.rate)
-        return sum(max(0.0, self.decay * score - log_expected) for score in scores)
+        """Sum of the surprise over segments better than chance."""
+        return sum(max(0.0, self.surprise(score, words)) for score in scores)
 
     def probability(self, evidence: float) -> float:
         """The logistic map, kept inside the open interval."""
@@ -117,6 +128,29 @@ def _scan(text: str, gains: _Gains) -> tuple[list[float], int]:
     return (segments(places, [values[at] for at in places]) if places else []), len(words)
 
 
+def _spans(text: str, gains: _Gains, fitted: Model) -> tuple[list[dict], list[float], int]:
+    """Significant segments as characters ``begin`` to before ``end``, all scores, and the token count."""
+    words = TOKEN.findall(text.lower())
+    values = list(map(gains.__getitem__, words))
+    places = [at for at, value in enumerate(values) if value]
+    found = passages(places, [values[at] for at in places]) if places else []
+    good = [one for one in found if fitted.surprise(one[0], len(words)) > 0]
+    spans = []
+    if good:
+        lower = text.lower()
+        edges = [match.span() for match in TOKEN.finditer(lower)]
+        # A few letters become two in lower case; offsets are those of the text itself.
+        back = None
+        if len(lower) != len(text):
+            back = [at for at, letter in enumerate(text) for _ in letter.lower()]
+        for score, first, last in good:
+            begin, end = edges[first][0], edges[last][1]
+            if back:
+                begin, end = back[begin], back[end - 1] + 1
+            spans.append({"begin": begin, "end": end, "score": score})
+    return spans, [score for score, _, _ in found], len(words)
+
+
 def held_out(doc_id: Column) -> Column:
     """Whether a document's labels may not be learnt from."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % FOLDS == 0, F.lit(False))
@@ -252,26 +286,36 @@ def learn(docs: DataFrame, labels: DataFrame, size: int = SAMPLE, units: int = M
 
 
 def score_toxicity(docs: DataFrame, model: Model) -> DataFrame:
-    """``doc_id, score, n_segments, best_segment`` for every document."""
+    """``doc_id, score, n_segments, best_segment, spans`` for every document.
+
+    ``spans`` are the significant segments, in order, ``n_segments`` their number: characters ``begin``
+    to before ``end``, counted from 0, and the segment's score. ``best_segment`` is the best score of all.
+    """
     fitted = replace(model, gains={})
     gains = docs.sparkSession.sparkContext.broadcast(model.gains)
+    span = pa.list_(pa.struct([("begin", pa.int32()), ("end", pa.int32()), ("score", pa.float64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = _Gains(gains.value)
         for batch in batches:
-            found = list(zip(batch.column("scores").to_pylist(), batch.column("words").to_pylist()))
+            found = [_spans(text.as_py() or "", table, fitted) for text in batch.column("text")]
+            probable = [fitted.probability(fitted.evidence(scores, words)) for _, scores, words in found]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
-                    pa.array([fitted.probability(fitted.evidence(*one)) for one in found], pa.float64()),
-                    pa.array([len(scores) for scores, _ in found], pa.int64()),
-                    pa.array([max(scores, default=0.0) for scores, _ in found], pa.float64()),
+                    pa.array(probable, pa.float64()),
+                    pa.array([len(spans) for spans, _, _ in found], pa.int64()),
+                    pa.array([max(scores, default=0.0) for _, scores, _ in found], pa.float64()),
+                    pa.array([spans for spans, _, _ in found], span),
                 ],
-                names=["doc_id", "score", "n_segments", "best_segment"],
+                names=["doc_id", "score", "n_segments", "best_segment", "spans"],
             )
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return _scans(rows, gains, ["doc_id"]).mapInArrow(
-        run, "doc_id long, score double, n_segments long, best_segment double"
+    return to_python(rows).mapInArrow(
+        run,
+        "doc_id long, score double, n_segments long, best_segment double, "
+        "spans array<struct<begin:int,end:int,score:double>>",
     )
 
 
@@ -285,6 +329,7 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
         (F.col("score") >= 0.5).cast("int").alias("predicted"),
         "n_segments",
         "best_segment",
+        "spans",
     )
 
 
