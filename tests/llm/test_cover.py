@@ -1,0 +1,159 @@
+from __future__ import annotations
+
+import hashlib
+import random
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from tiermill.llm import cover as cv
+
+
+def brute(rows, length):
+    """The contract, byte for byte."""
+    coded = [(key, (text or "").encode()) for key, text in rows]
+    seen = Counter(
+        text[at : at + length] for _, text in coded for at in range(len(text) - length + 1)
+    )
+    found = []
+    for key, text in coded:
+        gone = [False] * len(text)
+        for at in range(len(text) - length + 1):
+            if seen[text[at : at + length]] > 1:
+                gone[at : at + length] = [True] * length
+        spans = sum(b and not a for a, b in zip([False, *gone], gone))
+        kept = bytes(c for c, out in zip(text, gone) if not out)
+        found.append((key, len(text), sum(gone), spans, hashlib.sha256(kept).hexdigest()))
+    return sorted(found, key=repr)
+
+
+def ours(docs, length, **options):
+    rows = cv.remove_repeated_bytes(docs, length, **options).collect()
+    return sorted(
+        ((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in rows), key=repr
+    )
+
+
+def corpus(seed, letters, sizes, count):
+    rng = random.Random(seed)
+    texts = ["".join(rng.choice(letters) for _ in range(rng.choice(sizes))) for _ in range(count)]
+    for _ in range(count):
+        text = rng.choice(texts)
+        at = rng.randrange(max(1, len(text)))
+        piece = text[at : at + rng.randint(1, 600)]
+        into = rng.randrange(count)
+        spot = rng.randrange(len(texts[into]) + 1)
+        texts[into] = texts[into][:spot] + piece + texts[into][spot:]
+    return texts
+
+
+@pytest.mark.parametrize("prime", [2, 3, 5, 7, 11, 13])
+def test_covers_hold_every_difference_once(prime):
+    period = prime * prime + prime + 1
+    found = cv.difference_cover(prime).tolist()
+    apart = Counter((a - b) % period for a in found for b in found if a != b)
+    assert len(found) == prime + 1 and set(apart) == set(range(1, period))
+    assert set(apart.values()) == {1}
+
+
+def test_any_two_places_reach_the_cover_together():
+    cover = cv.cover_for(200)
+    held = set(cover.residues)
+    for a in range(cover.period):
+        for b in range(cover.period):
+            steps = range(cover.period)
+            assert any((a + s) % cover.period in held and (b + s) % cover.period in held for s in steps)
+    assert cover.period + cover.seen - 1 == 200
+
+
+def test_too_short_strings_are_refused():
+    with pytest.raises(ValueError):
+        cv.cover_for(13)
+
+
+@pytest.mark.parametrize(
+    "seed, letters, length, chunk",
+    [
+        (1, "ab", 30, 300),
+        (2, "abcdefgh", 200, 900),
+        (3, "a", 40, 500),
+        (4, "abcdefghijklmnop", 200, 10_000),
+        (5, "aé\U0001f600b", 16, 700),
+        (6, "abcd", 64, 100),
+    ],
+)
+def test_random_texts_lose_what_brute_force_says(make_docs, seed, letters, length, chunk):
+    texts = corpus(seed, letters, [0, 5, length, 300, 900], 24)
+    rows = list(enumerate(texts))
+    assert ours(make_docs(rows), length, chunk_bytes=chunk) == brute(rows, length)
+
+
+def test_copies_near_copies_and_periods(make_docs, prose, hard_texts):
+    base = prose(4, 300, seed=1)
+    near = base[0][:700] + "#" + base[0][701:]
+    shifted = "xyz " + base[0]
+    part = base[0][531:731]
+    short = base[0][531:730]
+    texts = [*base, base[1], near, near, shifted, part, short, "ab" * 500, *hard_texts]
+    rows = list(enumerate(texts))
+    found = ours(make_docs(rows), 200, chunk_bytes=3000)
+    assert found == brute(rows, 200)
+    assert ours(make_docs(rows), 200) == found
+
+
+def test_edges_of_long_repeats_between_shifted_copies(make_docs, prose):
+    """Strings that only the third step can settle: near the ends of a repeat, and exactly as long."""
+    rng = random.Random(8)
+    base = prose(1, 1000, seed=21)[0]
+    rows = []
+    for at in range(60):
+        size = rng.choice([199, 200, 201, 260, 331, 332, 333, 500, 900])
+        begin = rng.randrange(len(base) - size)
+        fill = "".join(rng.choice("0123456789") for _ in range(rng.randint(0, 300)))
+        rows.append((at, fill + base[begin : begin + size] + fill[::-1]))
+    for chunk in (1500, 8000):
+        assert ours(make_docs(rows), 200, chunk_bytes=chunk) == brute(rows, 200)
+
+
+def test_a_hot_passage_between_unlike_neighbours(make_docs, prose):
+    passage = prose(1, 80, seed=9)[0][:260]
+    rows = [
+        (at, f"{a}{passage}{b}")
+        for at, (a, b) in enumerate(zip(prose(60, 40, seed=10), prose(60, 40, seed=11)))
+    ]
+    found = ours(make_docs(rows), 200, chunk_bytes=2000)
+    assert found == brute(rows, 200)
+    assert min(row[2] for row in found) >= 260
+
+
+def test_equal_ids_null_ids_and_equal_rows(make_docs, prose):
+    a, b, c = prose(3, 120, seed=4)
+    rows = [(1, a), (1, b), (1, b), (None, c), (None, f"{c} more"), (None, None), (2, "")]
+    assert ours(make_docs(rows), 200) == brute(rows, 200)
+
+
+def test_empty_table_and_kept_bytes(make_docs, prose):
+    assert cv.remove_repeated_bytes(make_docs([])).count() == 0
+    a = prose(1, 200, seed=6)[0]
+    rows = cv.remove_repeated_bytes(make_docs([f"1{a}2", a, "short"]), texts=True)
+    assert [bytes(row.kept) for row in rows.orderBy("doc_id").collect()] == [b"12", b"", b"short"]
+
+
+def test_fingerprints_do_not_depend_on_segments(monkeypatch):
+    data = np.frombuffer(random.Random(1).randbytes(5000), np.uint8)
+    first = np.arange(0, 4800, 3)
+    whole = cv.names(data, first, first + 150, 1)
+    monkeypatch.setattr(cv, "SEGMENT", 64)
+    assert (cv.names(data, first, first + 150, 1) == whole).all()
+    moved = np.r_[data[17:], data[:17]]
+    assert cv.names(moved, np.array([0]), np.array([150]), 1)[0] == cv.names(
+        data, np.array([17]), np.array([167]), 1
+    )[0]
+
+
+def test_union_of_ranges():
+    first, last = np.array([1, 2, 6, 7, 20]), np.array([3, 3, 6, 9, 22])
+    wanted = {1, 2, 3, 6, 7, 8, 9, 20, 21, 22}
+    assert set(np.flatnonzero(cv.union(first, last, 30)).tolist()) == wanted
+    assert not cv.union(first[:0], last[:0], 4).any()

@@ -33,6 +33,22 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def bucketed(df: DataFrame, key: str, buckets: int, purpose: str) -> DataFrame:
+    """`stored`, dealt by a key, so that later joins on the key need not move these rows again.
+
+    The catalog knows the table only while it is written; its files stay like those of `stored`.
+    """
+    spark = df.sparkSession
+    path = work_folder(spark, purpose)
+    name = path.rpartition("/")[2].replace("-", "_")
+    writer = df.repartition(buckets, key).write.format("parquet").bucketBy(buckets, key)
+    writer.option("path", path).saveAsTable(name)
+    try:
+        return spark.read.table(name)
+    finally:
+        spark.sql("DROP TABLE IDENTIFIER(:name)", {"name": name})
+
+
 def to_python(rows: DataFrame) -> DataFrame:
     """The rows, with the session's Arrow batches bounded before they go to Python tasks.
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tiermill.llm.bpe import bpe_encode, count_tokens
 from tiermill.llm.chat import format_chat, read_back
 from tiermill.llm.common import table
+from tiermill.llm.cover import remove_repeated_bytes
 from tiermill.llm.decontaminate import find_leaks
 from tiermill.llm.hilbert import hilbert_shards
 from tiermill.llm.lines import dedup_lines
@@ -120,6 +121,11 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_cover(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the bytes of 200-byte strings that start anywhere else too."""
+    return remove_repeated_bytes(table(spark, sf_dir, "documents"), length=200)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages of ``corpus_pipeline`` over all documents."""
     import corpus_pipeline
@@ -140,6 +146,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_lines": op8_lines,
         "op9_toxicity": op9_toxicity,
         "op10_simhash": op10_simhash,
+        "op11_cover": op11_cover,
         "pipeline": pipeline,
     }
 
