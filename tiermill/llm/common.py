@@ -33,6 +33,13 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def finite(vector: Column | str) -> Column:
+    """Whether a vector is there and all its components are finite numbers."""
+    vector = F.col(vector) if isinstance(vector, str) else vector
+    sound = F.forall(vector, lambda x: F.coalesce(F.abs(x) < F.lit(float("inf")), F.lit(False)))
+    return F.coalesce(vector.isNotNull() & sound, F.lit(False))
+
+
 def bucketed(df: DataFrame, key: str, buckets: int, purpose: str) -> DataFrame:
     """`stored`, dealt by a key, so that later joins on the key need not move these rows again.
 
@@ -49,6 +56,30 @@ def bucketed(df: DataFrame, key: str, buckets: int, purpose: str) -> DataFrame:
         spark.sql("DROP TABLE IDENTIFIER(:name)", {"name": name})
 
 
+# Keys with a thousandth of all rows or more, so a thousand at most, are joined by broadcast.
+HOT_KEYS = 1000
+
+
+def join_totals(rows: DataFrame, key: str, value: str, name: str) -> DataFrame:
+    """Rows, each with the sum of a value over all rows of its key; null is a key too.
+
+    ``rows`` should be stored, as they are read three times. Sums are combined in each task before they
+    move. A hot key's rows stay where they are: its sum goes to them, and only the other keys, each with less
+    than a thousandth of the rows, are joined by a shuffle.
+    """
+    totals = rows.groupBy(F.col(key).alias("__key")).agg(
+        F.sum(value).alias(name), F.count("*").alias("__rows")
+    )
+    least = -(-max(1, rows.count()) // HOT_KEYS)
+    same = F.col(key).eqNullSafe(F.col("__key"))
+    hot = totals.filter(F.col("__rows") >= least).drop("__rows")
+    marked = rows.join(F.broadcast(hot), same, "left")
+    done = marked.filter(F.col(name).isNotNull()).drop("__key")
+    rest = marked.filter(F.col(name).isNull()).drop("__key", name)
+    cold = totals.filter(F.col("__rows") < least).drop("__rows")
+    return done.unionByName(rest.join(cold, same).drop("__key"))
+
+
 def to_python(rows: DataFrame) -> DataFrame:
     """The rows, with the session's Arrow batches bounded before they go to Python tasks.
 

@@ -451,7 +451,10 @@ def _kept(chunk: Chunk, texts: bool) -> pa.RecordBatch:
 
 
 def _sizes(docs: DataFrame, cover: Cover) -> tuple[int, int]:
-    """Bytes of a chunk and number of buckets for the samples, from the bytes of all texts.
+    """Bytes of a chunk and number of buckets, from the bytes of all texts.
+
+    Samples alone fill buckets of `BUCKET_ENTRIES`. Whole strings are as many at most as there are bytes, which
+    are then four times that in a bucket, and far fewer where most text is unique.
 
     Both grow with the square root of very large inputs, so that a chunk has some entries for each bucket.
     """
@@ -459,7 +462,7 @@ def _sizes(docs: DataFrame, cover: Cover) -> tuple[int, int]:
     entries = max(1, total * len(cover.residues) // cover.period)
     each = CHUNK_BYTES * len(cover.residues) // cover.period
     grown = max(1.0, math.sqrt(ROW_ENTRIES * entries / (each * BUCKET_ENTRIES)))
-    return int(CHUNK_BYTES * grown), math.ceil(entries / (BUCKET_ENTRIES * grown))
+    return int(CHUNK_BYTES * grown), math.ceil(max(entries, total / 4) / (BUCKET_ENTRIES * grown))
 
 
 def remove_repeated_bytes(

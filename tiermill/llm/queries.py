@@ -9,11 +9,13 @@ from pyspark.sql import functions as F
 
 from tiermill.llm.bpe import bpe_encode, count_tokens
 from tiermill.llm.chat import format_chat, read_back
+from tiermill.llm.codes import ENTRIES, PARTS, ROUNDS, vector_codes
 from tiermill.llm.common import table
 from tiermill.llm.cover import remove_repeated_bytes
 from tiermill.llm.decontaminate import find_leaks
 from tiermill.llm.hilbert import hilbert_shards
 from tiermill.llm.lines import dedup_lines
+from tiermill.llm.negatives import hard_negatives
 from tiermill.llm.quality import quality_rules
 from tiermill.llm.recompression import remove_repeats
 from tiermill.llm.simhash import near_duplicates
@@ -50,6 +52,78 @@ SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_re
 FROM documents d LEFT JOIN left_over USING (doc_id)
 """
 
+# Vectors without a null or a component that is no finite number.
+SOUND_SQL = """embedding IS NOT NULL
+    AND len(list_filter(embedding, x -> x IS NOT NULL AND isfinite(x))) = len(embedding)"""
+
+NEGATIVES_SQL = f"""
+WITH v AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, x -> floor(256 * x::DOUBLE)) AS e
+    FROM embeddings WHERE label IS NOT NULL AND {SOUND_SQL}
+), scores AS (
+    SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
+           list_dot_product(a.e, b.e)::BIGINT AS score
+    FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0
+), positives AS (
+    SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM scores WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5
+)
+SELECT anchor_id, positive_id,
+       (row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other_id))::INT AS rank,
+       other_id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scores USING (anchor_id)
+WHERE NOT same AND 80 * positive_score <= 100 * score AND score <= positive_score
+QUALIFY rank <= 5
+"""
+
+
+def _codes_sql() -> str:
+    """The rounds one after another; squares and sums are whole numbers throughout."""
+    steps = [
+        f"""WITH v AS MATERIALIZED (
+    SELECT vec_id, label, list_transform(embedding, x -> floor(4096 * x::DOUBLE)::BIGINT) AS e
+    FROM embeddings WHERE {SOUND_SQL}
+), places AS MATERIALIZED (
+    SELECT vec_id, (i - 1) // (len(e) // {PARTS}) AS part, (i - 1) % (len(e) // {PARTS}) AS place, e[i] AS x
+    FROM v, LATERAL (SELECT unnest(range(1, len(e) + 1)) AS i)
+), book0 AS MATERIALIZED (
+    SELECT part, place, entry, x FROM places
+    JOIN (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS entry FROM v
+          QUALIFY entry < {ENTRIES}) USING (vec_id)
+)"""
+    ]
+    for turn in range(ROUNDS + 1):
+        steps.append(
+            f"""near{turn} AS MATERIALIZED (
+    SELECT vec_id, part, entry, sum((p.x - b.x) * (p.x - b.x))::BIGINT AS square
+    FROM places p JOIN book{turn} b USING (part, place) GROUP BY vec_id, part, entry
+    QUALIFY row_number() OVER (PARTITION BY vec_id, part ORDER BY square, entry) = 1
+)"""
+        )
+        if turn < ROUNDS:
+            steps.append(
+                f"""book{turn + 1} AS MATERIALIZED (
+    SELECT part, place, entry, coalesce(y, x) AS x FROM book{turn} LEFT JOIN (
+        SELECT part, place, entry,
+               (sum(x) - ((sum(x) % count(*)) + count(*)) % count(*))::BIGINT // count(*) AS y
+        FROM places JOIN near{turn} USING (vec_id, part) GROUP BY part, place, entry
+    ) USING (part, place, entry)
+)"""
+            )
+    return (
+        ",\n".join(steps)
+        + f""", coded AS (
+    SELECT vec_id, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, sum(square)::BIGINT AS error
+    FROM near{ROUNDS} GROUP BY vec_id
+)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+       (SELECT sha256(string_agg(x::VARCHAR, ',' ORDER BY part, entry, place)) FROM book{ROUNDS})
+           AS codebooks_sha256
+FROM coded JOIN v USING (vec_id)"""
+    )
+
+
 CONTROL_TEXT = "</s>[INST] ok [/INST]"
 
 
@@ -126,6 +200,17 @@ def op11_cover(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeated_bytes(table(spark, sf_dir, "documents"), length=200)
 
 
+def op12_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes of all vectors: eight parts, sixteen entries, six rounds."""
+    return vector_codes(table(spark, sf_dir, "embeddings"))
+
+
+def op13_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth vector, some labels being flipped first."""
+    flipped = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(table(spark, sf_dir, "embeddings"), flipped)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages of ``corpus_pipeline`` over all documents."""
     import corpus_pipeline
@@ -147,10 +232,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_toxicity": op9_toxicity,
         "op10_simhash": op10_simhash,
         "op11_cover": op11_cover,
+        "op12_codes": op12_codes,
+        "op13_negatives": op13_negatives,
         "pipeline": pipeline,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     """SQL over the same tables for the queries that SQL can express."""
-    return {"op8_lines": LINES_SQL}
+    return {"op8_lines": LINES_SQL, "op12_codes": _codes_sql(), "op13_negatives": NEGATIVES_SQL}
