@@ -54,12 +54,12 @@ FROM documents d LEFT JOIN left_over USING (doc_id)
 
 # Vectors without a null or a component that is no finite number.
 SOUND_SQL = """embedding IS NOT NULL
-    AND len(list_filter(embedding, x -> x IS NOT NULL AND isfinite(x))) = len(embedding)"""
+    AND len([x FOR x IN embedding IF x IS NOT NULL AND isfinite(x)]) = len(embedding)"""
 
 NEGATIVES_SQL = f"""
 WITH v AS (
     SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
-           list_transform(embedding, x -> floor(256 * x::DOUBLE)) AS e
+           [floor(256 * x::DOUBLE) FOR x IN embedding] AS e
     FROM embeddings WHERE label IS NOT NULL AND {SOUND_SQL}
 ), scores AS (
     SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
@@ -82,7 +82,7 @@ def _codes_sql() -> str:
     """The rounds one after another; squares and sums are whole numbers throughout."""
     steps = [
         f"""WITH v AS MATERIALIZED (
-    SELECT vec_id, label, list_transform(embedding, x -> floor(4096 * x::DOUBLE)::BIGINT) AS e
+    SELECT vec_id, label, [floor(4096 * x::DOUBLE)::BIGINT FOR x IN embedding] AS e
     FROM embeddings WHERE {SOUND_SQL}
 ), places AS MATERIALIZED (
     SELECT vec_id, (i - 1) // (len(e) // {PARTS}) AS part, (i - 1) % (len(e) // {PARTS}) AS place, e[i] AS x
