@@ -52,6 +52,38 @@ SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_re
 FROM documents d LEFT JOIN left_over USING (doc_id)
 """
 
+# Bytes as hex digits; strings of 200 bytes by their MD5.
+COVER_SQL = """
+WITH coded AS (
+    SELECT row_number() OVER () AS n, doc_id, hex(encode(coalesce(text, ''))) AS bytes FROM documents
+), starts AS MATERIALIZED (
+    SELECT n, p, md5_number(substr(bytes, 2 * p + 1, 400)) AS name
+    FROM coded, LATERAL (SELECT unnest(range(len(bytes) // 2 - 199)) AS p)
+), again AS (
+    SELECT name FROM starts GROUP BY name HAVING count(*) > 1
+), edges AS (
+    SELECT n, p, coalesce(lag(p) OVER w + 200 < p, true) AS opens,
+           coalesce(lead(p) OVER w > p + 200, true) AS closes
+    FROM starts SEMI JOIN again USING (name) WINDOW w AS (PARTITION BY n ORDER BY p)
+), spans AS (
+    SELECT n, p AS first, lead(p) OVER (PARTITION BY n ORDER BY p, closes) AS last
+    FROM (SELECT n, p, false AS closes FROM edges WHERE opens
+          UNION ALL SELECT n, p + 200, true FROM edges WHERE closes)
+    QUALIFY NOT closes
+), gaps AS (
+    SELECT n, last AS begin, lead(first) OVER (PARTITION BY n ORDER BY first) AS stop FROM spans
+    UNION ALL SELECT n, 0, min(first) FROM spans GROUP BY n
+), cut AS (
+    SELECT n, string_agg(substr(bytes, 2 * begin + 1, 2 * (coalesce(stop, len(bytes) // 2) - begin)), ''
+                         ORDER BY begin) AS kept
+    FROM gaps JOIN coded USING (n) GROUP BY n
+), counted AS (SELECT n, sum(last - first) AS removed, count(*) AS spans FROM spans GROUP BY n)
+SELECT doc_id, (len(bytes) // 2)::BIGINT AS n_bytes, coalesce(removed, 0)::BIGINT AS n_removed,
+       coalesce(spans, 0)::BIGINT AS n_spans,
+       sha256(unhex(coalesce(kept, bytes))) AS kept_sha256
+FROM coded LEFT JOIN counted USING (n) LEFT JOIN cut USING (n)
+"""
+
 # Vectors without a null or a component that is no finite number.
 SOUND_SQL = """embedding IS NOT NULL
     AND len([x FOR x IN embedding IF x IS NOT NULL AND isfinite(x)]) = len(embedding)"""
@@ -240,4 +272,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     """SQL over the same tables for the queries that SQL can express."""
-    return {"op8_lines": LINES_SQL, "op12_codes": _codes_sql(), "op13_negatives": NEGATIVES_SQL}
+    return {
+        "op8_lines": LINES_SQL,
+        "op11_cover": COVER_SQL,
+        "op12_codes": _codes_sql(),
+        "op13_negatives": NEGATIVES_SQL,
+    }
