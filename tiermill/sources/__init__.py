@@ -12,6 +12,7 @@ from tiermill.sources.sizing import (
 from tiermill.sources.tables import (
     MART_LAYER,
     current_path,
+    drop_unfinished,
     layer_path,
     read_layer,
     register,
@@ -27,6 +28,7 @@ __all__ = [
     "compact_and_cluster",
     "current_path",
     "data_bytes",
+    "drop_unfinished",
     "layer_path",
     "layout_stats",
     "partitions_for",

@@ -1,24 +1,31 @@
 """Layer tables at a path: ``<root>/<layer>/<name>``.
 
-A plain-file table is replaced without a gap. Every write goes to a new ``run-…`` folder under the
-table's path; the newest one that a write completed is the table. A run that dies leaves the last
-complete one in place, by path and by name, and readers of the old folder can finish: the run before
-the last stays until the next write.
+A plain-file table is replaced without a gap. Every write goes to a new ``run-<id>`` folder under the
+table's path and becomes the table by a commit: an empty file ``commit-<number>-<id>``, its number one above
+the highest there is. The highest commit is the table. A writer that finds its number taken by
+another commits again, so the last commit wins, whoever started first and whatever the clocks say. No
+two writers ever make the same file, so any file system that lists what was created will do.
+
+A write that fails removes its folder; one that dies leaves it, and the table is still the last commit.
+Readers of the replaced folder can finish: it stays until the next commit. Folders that no commit names
+belong to writers at work, or to dead ones: others' writes never remove them, only `drop_unfinished` does.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
-from time import time_ns
 from uuid import uuid4
 
 from pyspark import inheritable_thread_target
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tiermill.rules import MART_CLUSTERING
 from tiermill.sources.layout import cluster
+from tiermill.sources.workspace import remove_folder
 
 DEFAULT_FORMAT = "parquet"
 MART_LAYER = "gold"
@@ -26,7 +33,13 @@ MART_LAYER = "gold"
 
 # Formats that replace a table in one commit of their own.
 COMMITTING_FORMATS = {"delta", "iceberg", "hudi"}
-DONE = "_SUCCESS"
+COMMIT = re.compile(r"commit-(\d{12})-([0-9a-f]{32})")
+RUN = re.compile(r"run-([0-9a-f]{32})")
+# So many commit files stay, though only the last two folders do: a commit that is no further behind the
+# others finds its number taken.
+COMMITS_KEPT = 100
+# Writers that name one table at once disturb each other's drop and create so often at most.
+NAMING_ATTEMPTS = 100
 
 
 def layer_path(root: str, layer: str, name: str) -> str:
@@ -40,33 +53,58 @@ def _folder(spark: SparkSession, path: str):
     return target, target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
-def _runs(spark: SparkSession, path: str) -> tuple[list[str], list[str]]:
-    """Run folders of a table, oldest first: the complete ones and all of them."""
+def _names(spark: SparkSession, path: str) -> list[str]:
     target, files = _folder(spark, path)
     if not files.exists(target):
-        return [], []
-    names = sorted(
-        status.getPath().getName()
-        for status in files.listStatus(target)
-        if status.getPath().getName().startswith("run-")
-    )
-    marks = [_folder(spark, f"{path}/{name}/{DONE}")[0] for name in names]
-    return [name for name, mark in zip(names, marks) if files.exists(mark)], names
+        return []
+    return [status.getPath().getName() for status in files.listStatus(target)]
+
+
+def _commits(names: list[str]) -> list[tuple[int, str]]:
+    """Numbers and ids of a table's commits, the last one at the end."""
+    return sorted((int(found[1]), found[2]) for name in names if (found := COMMIT.fullmatch(name)))
+
+
+def _commit(spark: SparkSession, path: str, key: str) -> int:
+    """Make a complete folder the table; the number of the commit."""
+    while True:
+        number = max((at for at, _ in _commits(_names(spark, path))), default=0) + 1
+        target, files = _folder(spark, f"{path}/commit-{number:012d}-{key}")
+        files.create(target, False).close()
+        commits = _commits(_names(spark, path))
+        others = [at for at, one in commits if at == number and one != key]
+        if commits[-1] == (number, key) or not others:
+            return number
 
 
 def current_path(spark: SparkSession, path: str) -> str:
     """The folder that holds a table's rows now; the path itself if nothing was written by runs."""
-    complete, _ = _runs(spark, path)
-    return f"{path}/{complete[-1]}" if complete else path
+    commits = _commits(_names(spark, path))
+    return f"{path}/run-{commits[-1][1]}" if commits else path
+
 
+def _drop_replaced(spark: SparkSession, path: str) -> None:
+    """Remove the folders of all commits but the last two, and the oldest commit files."""
+    names = _names(spark, path)
+    commits = _commits(names)
+    order = list(dict.fromkeys(key for _, key in reversed(commits)))
+    replaced = set(order[2:])
+    for name in names:
+        if (found := RUN.fullmatch(name)) and found[1] in replaced:
+            remove_folder(spark, f"{path}/{name}")
+    for number, key in commits[:-COMMITS_KEPT]:
+        remove_folder(spark, f"{path}/commit-{number:012d}-{key}")
 
-def _drop_old_runs(spark: SparkSession, path: str) -> None:
-    complete, every = _runs(spark, path)
-    kept = complete[-2:]
-    for name in every:
-        if name < kept[0]:
-            target, files = _folder(spark, f"{path}/{name}")
-            files.delete(target, True)
+
+def drop_unfinished(spark: SparkSession, root: str, layer: str, name: str) -> list[str]:
+    """Remove folders that no commit names; call it only while nothing writes the table."""
+    path = layer_path(root, layer, name)
+    names = _names(spark, path)
+    named = {f"run-{key}" for _, key in _commits(names)}
+    dead = [one for one in names if one.startswith("run-") and one not in named]
+    for one in dead:
+        remove_folder(spark, f"{path}/{one}")
+    return dead
 
 
 def read_layer(
@@ -104,20 +142,48 @@ def write_layer(
         if table:
             register(spark, table, path, fmt, replace=replace_schema)
         return path
-    # Names sort by time; two writers of one table at once would both complete, and the later win.
-    run = f"{path}/run-{time_ns():020d}-{uuid4().hex[:8]}"
-    df.write.format(fmt).save(run)
+    key = uuid4().hex
+    run = f"{path}/run-{key}"
+    try:
+        df.write.format(fmt).save(run)
+    except BaseException:
+        remove_folder(spark, run)
+        raise
+    _commit(spark, path, key)
     if table:
-        register(spark, table, run, fmt, replace=True)
-    _drop_old_runs(spark, path)
+        _name_current(spark, table, path, fmt)
+    _drop_replaced(spark, path)
     return run
 
 
+def _name_current(spark: SparkSession, name: str, path: str, fmt: str) -> None:
+    """Let a name follow the table at a path.
+
+    Every writer names the table after its commit and looks again: if another commit came meanwhile, it
+    names that one. So the last naming, whoever does it, is of the last commit.
+    """
+    attempts = 0
+    while True:
+        current = current_path(spark, path)
+        try:
+            register(spark, name, current, fmt, replace=True)
+        except AnalysisException:
+            # Another writer dropped or made the entry, or removed a folder that is no longer current.
+            attempts += 1
+            if attempts == NAMING_ATTEMPTS:
+                raise
+            continue
+        if current_path(spark, path) == current:
+            return
+
+
 def _check_entry(spark: SparkSession, name: str) -> bool:
     """Whether the name has an external entry; raises if something else holds it."""
-    if not spark.catalog.tableExists(name):
+    try:
+        kind = spark.catalog.getTable(name).tableType
+    except AnalysisException:
+        # No such entry, or another writer has just dropped it to make it anew.
         return False
-    kind = spark.catalog.getTable(name).tableType
     if kind != "EXTERNAL":
         raise ValueError(f"{name} is {kind.lower()}, not a layer table")
     return True
@@ -139,7 +205,7 @@ def register(
         if not replace:
             spark.catalog.refreshTable(name)
             return
-        spark.sql("DROP TABLE IDENTIFIER(:name)", {"name": name})
+        spark.sql("DROP TABLE IF EXISTS IDENTIFIER(:name)", {"name": name})
     spark.catalog.createTable(name, path=path, source=fmt)
 
 
