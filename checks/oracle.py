@@ -672,6 +672,122 @@ def _bad_count(name: str, at: int) -> str:
     return f"""SELECT '{name}' AS rule, count(*) FILTER (WHERE {wrong}) AS "rows" FROM raw_orders"""
 
 
+LOG_MARK = "coalesce(cast(split_part(ip, '.', 1) AS integer) * 256 + cast(split_part(ip, '.', 2) AS integer), 1)"
+LOG_LINES = [
+    RAW_LOGS,
+    f"""
+marked AS (
+  SELECT * REPLACE (CASE WHEN mark % 53 = 0 THEN 'noon' ELSE hour END AS hour),
+    mark % 61 = 0 AS narrow, mark % 61 <> 0 AND mark % 59 = 0 AS wide
+  FROM (SELECT *, {LOG_MARK} AS mark FROM raw_logs)
+),
+sound AS (SELECT * FROM marked WHERE NOT narrow AND NOT wide),
+kept AS (
+  SELECT DISTINCT lower(trim(product)), lower(trim(category)), lower(trim(department)),
+    try_strptime(event_time, '{TIME}'), try_cast(hour AS integer), month, ip, url
+  FROM sound WHERE product IS NOT NULL AND ip IS NOT NULL AND try_strptime(event_time, '{TIME}') IS NOT NULL
+)""",
+]
+ORDER_MARK = "cast(substr(customer_email, 10, 9) AS integer)"
+ORDER_LINES = [
+    RAW_ORDERS,
+    f"""
+marked AS (
+  SELECT *, {ORDER_MARK} % 61 = 0 AS narrow, {ORDER_MARK} % 61 <> 0 AND {ORDER_MARK} % 59 = 0 AS wide,
+    (order_id + order_item_id) % 31 AS bad
+  FROM raw_orders
+),
+sound AS (SELECT * FROM marked WHERE NOT narrow AND NOT wide),
+candidates AS (
+  SELECT * FROM sound WHERE bad NOT IN (1, 3, 10) AND customer_id IS NOT NULL AND sales IS NOT NULL
+)""",
+]
+
+
+def _count(rule: str, rows: str, test: str = "true") -> str:
+    return f"""SELECT '{rule}' AS rule, count(*) FILTER (WHERE {test}) AS "rows" FROM {rows}"""
+
+
+def _accounted(lost: str, missing: str, candidates: str, kept: str) -> list[str]:
+    return [
+        _count("row_shape", "marked", "narrow OR wide"),
+        _count("row of the wrong shape", "marked", "narrow OR wide"),
+        _count("value rejected", "sound", lost),
+        _count("value missing", "sound", f"NOT ({lost}) AND ({missing})"),
+        f"""SELECT 'equal copy' AS rule, (SELECT count(*) FROM {candidates}) - (SELECT count(*) FROM {kept})""",
+        _count("kept", kept),
+    ]
+
+
+TABLE_SQL |= {
+    "log_rejects_from_csv": sql(
+        LOG_LINES,
+        "\nUNION ALL\n".join(
+            [
+                _count("event_time", "sound", "event_time = 'not-a-time'"),
+                _count("hour", "sound", "hour = 'noon'"),
+                *_accounted(
+                    "event_time IS NOT DISTINCT FROM 'not-a-time'",
+                    "product IS NULL OR event_time IS NULL OR ip IS NULL",
+                    "(SELECT * FROM sound WHERE product IS NOT NULL AND ip IS NOT NULL"
+                    f" AND try_strptime(event_time, '{TIME}') IS NOT NULL)",
+                    "kept",
+                ),
+            ]
+        ),
+    ),
+    "log_quarantine_from_csv": sql(
+        LOG_LINES,
+        """SELECT product, event_time, hour, ip, NULL AS malformed_row, NULL AS fields,
+          concat_ws('|', CASE WHEN event_time = 'not-a-time' THEN 'event_time' END,
+            CASE WHEN hour = 'noon' THEN 'hour' END) AS rejected_by
+        FROM sound WHERE event_time = 'not-a-time' OR hour = 'noon'
+        UNION ALL
+        SELECT NULL, NULL, NULL, NULL,
+          CASE WHEN wide THEN 'Soap,' ELSE '' END || array_to_string([coalesce(product, ''), category,
+            coalesce(event_time, ''), month, coalesce(hour, ''), department, coalesce(ip, '')], ',')
+            || CASE WHEN wide THEN ',' || url ELSE '' END,
+          CASE WHEN wide THEN '9' ELSE '7' END, 'row_shape'
+        FROM marked WHERE narrow OR wide""",
+    ),
+    "order_shapes_from_csv": sql(
+        ORDER_LINES,
+        "\nUNION ALL\n".join(
+            [
+                _bad_count(name, at).replace("FROM raw_orders", "FROM sound")
+                for name, at in BAD_VALUES.items()
+            ]
+            + _accounted(
+                "bad IN (1, 3, 10)",
+                "customer_id IS NULL OR sales IS NULL",
+                "candidates",
+                "(SELECT DISTINCT * FROM candidates)",
+            )
+        ),
+    ),
+    "order_quarantine_from_csv": sql(
+        ORDER_LINES,
+        "SELECT CASE WHEN bad = 1 THEN 'X1' ELSE cast(order_id AS varchar) END AS order_id,"
+        " CASE WHEN bad = 2 THEN 'X2' ELSE cast(order_item_id AS varchar) END AS order_item_id,"
+        " customer_email, NULL AS ends, NULL AS fields, concat_ws('|', "
+        + ", ".join(
+            f"CASE WHEN bad = {at}"
+            + (f" OR {name} = '13/45/2001 9:99'" if name == "order_date_dateorders" else "")
+            + f" THEN '{name}' END"
+            for name, at in BAD_VALUES.items()
+        )
+        + """) AS rejected_by FROM sound
+        WHERE bad BETWEEN 1 AND 17 OR order_date_dateorders = '13/45/2001 9:99'
+        UNION ALL
+        SELECT NULL, NULL, NULL,
+          CASE WHEN wide THEN 'Soap' WHEN bad = 1 THEN 'X1' ELSE cast(order_id AS varchar) END || ',' ||
+          CASE WHEN wide THEN CASE WHEN bad = 17 THEN 'X17' ELSE coalesce(shipping_date_dateorders, '') END
+            WHEN bad = 16 THEN 'X16' ELSE coalesce(order_date_dateorders, '') END,
+          CASE WHEN wide THEN '36' ELSE '34' END, 'row_shape'
+        FROM marked WHERE narrow OR wide""",
+    ),
+}
+
 TABLE_SQL |= {
     "order_rejects_from_csv": sql(
         RAW,

@@ -474,6 +474,63 @@ def order_rejects_from_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _lines_csv(lines: DataFrame, purpose: str) -> str:
+    """Lines written as they are; the one column's name is the header."""
+    path = f"{work_folder(lines.sparkSession, purpose)}/lines_csv"
+    lines.write.options(**CSV_OPTIONS, sep="\u0001", emptyValue="").csv(path)
+    return path
+
+
+def _raw_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = _lines_csv(star.log_lines(spark, sf_dir), "bad-logs")
+    return read_access_log_csv(spark, path, malformed=True)
+
+
+def _raw_order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = _lines_csv(star.order_lines(spark, sf_dir), "bad-orders")
+    return read_orders_csv(spark, path, malformed=True)
+
+
+def _rejects_and_accounts(rejects: DataFrame, accounts: DataFrame) -> DataFrame:
+    return rejects.unionByName(accounts.withColumnRenamed("fate", "rule"))
+
+
+def log_rejects_from_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log lines with values or shapes that do not fit, and what becomes of every line."""
+    raw = _raw_log_lines(spark, sf_dir)
+    return _rejects_and_accounts(layers.log_rejects(raw), layers.log_accounts(raw))
+
+
+def order_shapes_from_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines with values or shapes that do not fit, and what becomes of every line."""
+    raw = _raw_order_lines(spark, sf_dir)
+    return _rejects_and_accounts(layers.order_rejects(raw), layers.order_accounts(raw))
+
+
+def log_quarantine_from_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log lines set aside; whole lines with their field counts where the shape is wrong."""
+    found = layers.log_quarantine(_raw_log_lines(spark, sf_dir))
+    shown = found.select("product", "event_time", "hour", "ip", "malformed_row", "fields", "rejected_by")
+    return settle(shown, as_text=("fields",))
+
+
+def order_quarantine_from_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The order lines set aside; whole lines with their field counts where the shape is wrong."""
+    found = layers.order_quarantine(_raw_order_lines(spark, sf_dir))
+    # Numbers print differently elsewhere: of a line, its first and last fields are shown.
+    ends = F.concat_ws(
+        ",", F.split("malformed_row", ",")[0], F.element_at(F.split("malformed_row", ","), -1)
+    )
+    shown = found.select(
+        *KEY,
+        "customer_email",
+        F.when(F.col("malformed_row").isNotNull(), ends).alias("ends"),
+        "fields",
+        "rejected_by",
+    )
+    return settle(shown, as_text=("fields",))
+
+
 TABLE_QUERIES = {
     "csv_round_trip_orders": csv_round_trip_orders,
     "csv_round_trip_logs": csv_round_trip_logs,
@@ -485,6 +542,10 @@ TABLE_QUERIES = {
     "all_layers_from_tables": layers_from_tables,
     "all_layers_from_csv": layers_from_csv,
     "order_rejects_from_csv": order_rejects_from_csv,
+    "order_shapes_from_csv": order_shapes_from_csv,
+    "order_quarantine_from_csv": order_quarantine_from_csv,
+    "log_rejects_from_csv": log_rejects_from_csv,
+    "log_quarantine_from_csv": log_quarantine_from_csv,
     **{f"pipeline_{name}": _stored_by(_csv_lake, "gold", name) for name in gold.MARTS},
     "pipeline_silver_orders": _stored_by(_csv_lake, "silver", "orders"),
     "pipeline_silver_logs": _stored_by(_csv_lake, "silver", "logs"),

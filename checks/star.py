@@ -241,6 +241,36 @@ def bad_orders_with_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bad.toDF(*[header_of(name) for name in bad.columns])
 
 
+def with_wrong_shapes(rows: DataFrame, narrow: Column, wide: Column) -> DataFrame:
+    """Rows as lines of a CSV file under their header, some with a field too few or too many.
+
+    No value may hold a comma, a quote or a line break. One column, whose name is the header line: written
+    with another separator, its values stay the lines they are.
+    """
+    fields = [F.coalesce(F.col(f"`{name}`").cast("string"), F.lit("")) for name in rows.columns]
+    line = (
+        F.when(narrow, F.concat_ws(",", *fields[:-1]))
+        .when(wide, F.concat_ws(",", F.lit("Soap"), *fields))
+        .otherwise(F.concat_ws(",", *fields))
+    )
+    return rows.select(line.alias(",".join(rows.columns)))
+
+
+def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw log as lines; by its address, a line lacks the url, has a field too many or an odd hour."""
+    octet = F.split("ip", r"\.")
+    mark = F.coalesce(octet[0].cast("int") * 256 + octet[1].cast("int"), F.lit(1))
+    raw = raw_logs(spark, sf_dir).withColumn("Hour", F.when(mark % 53 == 0, "noon").otherwise(F.col("Hour")))
+    return with_wrong_shapes(raw, mark % 61 == 0, mark % 59 == 0)
+
+
+def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw orders as lines with bad values; by customer, a line lacks a field or has one too many."""
+    bad = bad_orders_with_headers(spark, sf_dir)
+    mark = F.substring("Customer Email", 10, 9).cast("int")
+    return with_wrong_shapes(bad, mark % 61 == 0, mark % 59 == 0)
+
+
 def raw_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw access log, eight text columns in file order under file-style headers, with dirt."""
     c = F.col

@@ -19,6 +19,8 @@ from tiermill.operators.columns import (
 )
 from tiermill.operators.dedup import dedup_by_key, dedup_rows
 from tiermill.operators.quality import (
+    account,
+    count_fields,
     keep_between,
     keep_in,
     keep_positive,
@@ -28,8 +30,10 @@ from tiermill.operators.quality import (
 )
 
 __all__ = [
+    "account",
     "canonicalize",
     "cast_columns",
+    "count_fields",
     "dedup_by_key",
     "dedup_rows",
     "drop_columns",

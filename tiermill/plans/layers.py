@@ -7,6 +7,8 @@ value and status filters. Moving one changes which rows survive.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,9 +24,19 @@ def order_casts(named: DataFrame) -> dict[str, str]:
     return rules.ORDER_CASTS | extra
 
 
+def _well_formed(named: DataFrame) -> DataFrame:
+    """Without the rows whose shape the reader found wrong, if it was asked to tell them."""
+    if rules.MALFORMED not in named.columns:
+        return named
+    return named.filter(F.col(rules.MALFORMED).isNull()).drop(rules.MALFORMED)
+
+
 def bronze_orders(raw: DataFrame) -> DataFrame:
-    """Normal names, pinned types, required keys, no equal rows, no private columns."""
-    named = op.normalize_names(raw)
+    """Normal names, pinned types, required keys, no equal rows, no private columns.
+
+    Rows of the wrong shape go, where the reader kept them apart (``malformed=True``).
+    """
+    named = _well_formed(op.normalize_names(raw))
     return (
         named.transform(op.cast_columns, order_casts(named))
         .transform(op.require, rules.ORDER_REQUIRED)
@@ -71,7 +83,12 @@ def silver_orders(bronze: DataFrame) -> DataFrame:
     )
 
 
-def _conversions(named: DataFrame) -> dict[str, tuple[str, Column]]:
+WRONG_SHAPE = "row_shape"
+FIELDS = "fields"
+Checks = dict[str, tuple[str | Column, Column]]
+
+
+def _conversions(named: DataFrame) -> Checks:
     """Every column that bronze or silver converts for this input, and how."""
     checks = {
         name: (name, fn.as_type(F.col(name), to)) for name, to in order_casts(named).items()
@@ -81,22 +98,109 @@ def _conversions(named: DataFrame) -> dict[str, tuple[str, Column]]:
     return checks
 
 
+def _log_conversions() -> Checks:
+    """The columns of the log that bronze converts, and how."""
+    hours = {name: (name, fn.as_type(F.col(name), to)) for name, to in rules.LOG_CASTS.items()}
+    return {"event_time": ("event_time", fn.parse_time(F.col("event_time")))} | hours
+
+
+def _with_shape(named: DataFrame, checks: Checks) -> Checks:
+    """The checks for rows of the right shape, and the shape itself, where the reader told it."""
+    if rules.MALFORMED not in named.columns:
+        return checks
+    line = F.col(rules.MALFORMED)
+    sound = {name: (F.when(line.isNull(), F.col(at)), to) for name, (at, to) in checks.items()}
+    return {WRONG_SHAPE: (line, F.lit(None).cast("string"))} | sound
+
+
+def _set_aside(named: DataFrame, checks: Checks) -> DataFrame:
+    """Rows that break a check. Of a row of the wrong shape, only its line and field count are shown."""
+    found = op.rejected_rows(named, _with_shape(named, checks))
+    if rules.MALFORMED not in named.columns:
+        return found
+    line = F.col(rules.MALFORMED)
+    parsed = [name for name in named.columns if name != rules.MALFORMED]
+    shown = found.withColumns({name: F.when(line.isNull(), F.col(name)) for name in parsed})
+    return shown.withColumn(FIELDS, op.count_fields(line))
+
+
+def _accounts(
+    named: DataFrame, checks: Checks, required: Sequence[str], bronze: DataFrame
+) -> DataFrame:
+    lost = F.lit(False)
+    missing = F.lit(False)
+    for name in required:
+        source, converted = checks.get(name, (name, F.col(name)))
+        nothing = converted.isNull()
+        if dict(named.dtypes)[name] in ("float", "double") or name in rules.ORDER_CASTS:
+            nothing = nothing | F.isnan(converted.cast("double"))
+        lost = lost | (F.col(source).isNotNull() & nothing)
+        missing = missing | F.col(source).isNull()
+    fates = {"value rejected": lost, "value missing": missing}
+    if rules.MALFORMED in named.columns:
+        fates = {"row of the wrong shape": F.col(rules.MALFORMED).isNotNull()} | fates
+    return op.account(named, fates, bronze, copies="equal copy", rest="kept")
+
+
 def order_rejects(raw: DataFrame) -> DataFrame:
-    """How many values of the raw order table casting or parsing turns into null, per column."""
+    """How many values of the raw order table casting or parsing turns into null, per column.
+
+    Where the reader kept rows of the wrong shape apart, ``row_shape`` counts them, and the other rules
+    the rest.
+    """
     named = op.normalize_names(raw)
-    return op.rejects(named, _conversions(named))
+    return op.rejects(named, _with_shape(named, _conversions(named)))
 
 
 def order_quarantine(raw: DataFrame) -> DataFrame:
-    """The raw order rows that hold such a value, with the columns concerned."""
+    """The raw order rows that hold such a value, with the columns concerned.
+
+    Of rows of the wrong shape, ``malformed_row`` and ``fields`` show the line and its number of fields;
+    their other columns are null, as nobody knows which value belongs where.
+    """
     named = op.normalize_names(raw)
-    return op.rejected_rows(named, _conversions(named))
+    return _set_aside(named, _conversions(named))
+
+
+def order_accounts(raw: DataFrame) -> DataFrame:
+    """What bronze makes of every raw order row: ``(fate, rows)``, adding up to all rows.
+
+    A row goes for its shape, for a required value that does not convert, for one that is not there, or
+    as a copy of an equal one, whichever comes first; the rest is kept.
+    """
+    named = op.normalize_names(raw)
+    return _accounts(named, _conversions(named), rules.ORDER_REQUIRED, bronze_orders(raw))
+
+
+def _named_logs(raw: DataFrame) -> DataFrame:
+    """The log under its names; the column of malformed rows, if there is one, comes last."""
+    told = [rules.MALFORMED] if rules.MALFORMED in raw.columns else []
+    return op.rename_positional(raw, [*rules.LOG_COLUMNS, *told])
+
+
+def log_rejects(raw: DataFrame) -> DataFrame:
+    """How many times and hours of the raw log do not convert, and how many rows have another shape.
+
+    The shape is counted where the reader kept such rows apart (``malformed=True``).
+    """
+    named = _named_logs(raw)
+    return op.rejects(named, _with_shape(named, _log_conversions()))
+
+
+def log_quarantine(raw: DataFrame) -> DataFrame:
+    """The raw log rows concerned, with the rules they break; see `order_quarantine`."""
+    return _set_aside(_named_logs(raw), _log_conversions())
+
+
+def log_accounts(raw: DataFrame) -> DataFrame:
+    """What bronze makes of every raw log row; see `order_accounts`."""
+    return _accounts(_named_logs(raw), _log_conversions(), rules.LOG_REQUIRED, bronze_logs(raw))
 
 
 def clean_logs(raw: DataFrame) -> DataFrame:
     """The row-wise part of the log's bronze layer. No shuffle; works on a stream."""
     return (
-        op.rename_positional(raw, rules.LOG_COLUMNS)
+        _well_formed(_named_logs(raw))
         .transform(op.normalize_text, rules.LOG_TEXT_COLUMNS)
         .transform(op.parse_timestamps, ["event_time"])
         .transform(op.cast_columns, rules.LOG_CASTS)

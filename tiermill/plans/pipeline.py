@@ -10,7 +10,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from tiermill.plans.gold import all_marts
-from tiermill.plans.layers import bronze_logs, bronze_orders, silver_logs, silver_orders
+from tiermill.plans.layers import (
+    bronze_logs,
+    bronze_orders,
+    log_quarantine,
+    order_quarantine,
+    silver_logs,
+    silver_orders,
+)
 from tiermill.sources import (
     data_bytes,
     read_access_log_csv,
@@ -25,6 +32,7 @@ from tiermill.sources.sizing import COLUMNAR_GROWTH, TEXT_GROWTH
 from tiermill.sources.tables import DEFAULT_FORMAT
 
 ORDERS, LOGS = "orders", "logs"
+QUARANTINE = "quarantine"
 
 
 def run_pipeline(
@@ -84,18 +92,29 @@ def run_csv_pipeline(
     tables: bool = False,
     encoding: str = "UTF-8",
     schema: StructType | str | None = None,
+    quarantine: bool = False,
 ) -> DataFrame:
     """`run_pipeline` from CSV files, with shuffles sized for them.
 
-    ``schema`` is that of the order file, or ``"infer"`` for both files; all text by default.
+    ``schema`` is that of the order file, or ``"infer"`` for both files; all text by default. Rows of the
+    wrong shape never reach bronze; ``quarantine=True`` writes them, and those with values that do not
+    convert, to the layer ``quarantine``, at the cost of another scan of the files.
     """
     paths = [path for path in (orders_path, logs_path) if path]
     size = TEXT_GROWTH * max(data_bytes(spark, path) for path in paths)
     log_schema = schema if isinstance(schema, str) and schema == "infer" else None
+    orders = read_orders_csv(spark, orders_path, schema, encoding, malformed=True)
+    logs = None
+    if logs_path:
+        logs = read_access_log_csv(spark, logs_path, log_schema, encoding, malformed=True)
+    if quarantine:
+        write_layer(order_quarantine(orders), root, QUARANTINE, ORDERS, fmt)
+        if logs is not None:
+            write_layer(log_quarantine(logs), root, QUARANTINE, LOGS, fmt)
     return run_pipeline(
         spark,
-        read_orders_csv(spark, orders_path, schema, encoding),
-        read_access_log_csv(spark, logs_path, log_schema, encoding) if logs_path else None,
+        orders,
+        logs,
         root,
         fmt,
         tables,

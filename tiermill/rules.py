@@ -84,6 +84,8 @@ MART_CLUSTERING = {
 TOP_K = 5
 
 # --- our own choices -------------------------------------------------------------------------
+# Where a reader puts the whole line of a row whose number of fields is not the header's.
+MALFORMED = "malformed_row"
 # Which of several rows with one order key is kept: the smallest by these columns (nulls last),
 # then by every other column, so the choice never depends on partitioning or task order.
 ORDER_TIE_BREAK = [
