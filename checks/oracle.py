@@ -627,6 +627,7 @@ months AS (
 TABLE_SQL = {
     "csv_round_trip_orders": LAYER_SQL["bronze_orders"],
     "csv_round_trip_logs": LAYER_SQL["bronze_logs"],
+    "dedup_few": FILTER_SQL["dedup_rows"],
     "write_and_register": LAYER_SQL["silver_orders"],
     "replace_schema": LAYER_SQL["silver_logs"],
     "compact_and_cluster": "SELECT * REPLACE (strftime(l_shipdate, '%Y-%m-%d') AS l_shipdate)"
@@ -798,6 +799,7 @@ TABLE_SQL |= {
         ),
     ),
     **{f"pipeline_{name}": MART_SQL[name] for name in MARTS},
+    **{f"loads_{name}": MART_SQL[name] for name in MARTS},
     "pipeline_silver_orders": LAYER_SQL["silver_orders"],
     "pipeline_silver_logs": LAYER_SQL["silver_logs"],
     "tables_pipeline_kpi_summary": MART_SQL["kpi_summary"],

@@ -18,6 +18,7 @@ from tiermill import functions as fn
 from tiermill import operators as op
 from tiermill import rules
 from tiermill.plans import gold, layers, reports
+from tiermill.plans.loads import add_load
 from tiermill.plans.pipeline import run_csv_pipeline, run_pipeline
 from tiermill.sources import (
     compact_and_cluster,
@@ -363,6 +364,14 @@ def write_and_register(spark: SparkSession, sf_dir: str) -> DataFrame:
     return settle(_read_named(spark, name), NOISY)
 
 
+def dedup_few(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored raw orders without equal rows, of which only those that may have an equal are moved."""
+    root = work_folder(spark, "dedup-few")
+    write_layer(star.raw_orders(spark, sf_dir), root, "raw", "orders")
+    rows = op.dedup_few(read_layer(spark, root, "raw", "orders"))
+    return settle(op.cast_columns(rows, {"order_item_id": "int"}), NOISY, ("customer_id",))
+
+
 def replace_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First silver log replaced by the second, with another schema, under one name."""
     root, name = work_folder(spark, "replace"), f"silver_logs_{uuid4().hex[:12]}"
@@ -414,6 +423,20 @@ def mart_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return write_marts(gold.all_marts(read_layer(spark, root, "silver", "orders")), root)
 
 
+def _from_loads(name: str) -> Query:
+    """A mart after silver orders came in three loads, one of them twice."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        root = work_folder(spark, "loads")
+        write_layer(silver(spark, sf_dir), root, "silver", "orders")
+        rows = read_layer(spark, root, "silver", "orders")
+        for load in (0, 1, 2, 1):
+            add_load(rows.filter(F.pmod("order_id", F.lit(3)) == load), root, f"load-{load}")
+        return settle(read_layer(spark, root, "gold", name))
+
+    return query
+
+
 def layers_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All layers from raw frames; mart row counts."""
     return _table_lake(spark, sf_dir)[1]
@@ -534,6 +557,7 @@ def order_quarantine_from_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
 TABLE_QUERIES = {
     "csv_round_trip_orders": csv_round_trip_orders,
     "csv_round_trip_logs": csv_round_trip_logs,
+    "dedup_few": dedup_few,
     "write_and_register": write_and_register,
     "replace_schema": replace_schema,
     "compact_and_cluster": cluster_items,
@@ -547,6 +571,7 @@ TABLE_QUERIES = {
     "log_rejects_from_csv": log_rejects_from_csv,
     "log_quarantine_from_csv": log_quarantine_from_csv,
     **{f"pipeline_{name}": _stored_by(_csv_lake, "gold", name) for name in gold.MARTS},
+    **{f"loads_{name}": _from_loads(name) for name in gold.MARTS},
     "pipeline_silver_orders": _stored_by(_csv_lake, "silver", "orders"),
     "pipeline_silver_logs": _stored_by(_csv_lake, "silver", "logs"),
     "tables_pipeline_kpi_summary": _stored_by(_table_lake, "gold", "kpi_summary"),

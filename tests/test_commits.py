@@ -131,7 +131,7 @@ def test_many_writers_at_once(spark, lake):
 
 
 def commits(spark, path):
-    return tables._commits(tables._names(spark, path))
+    return tables._commits(tables.folder_names(spark, path))
 
 
 def blind_once(monkeypatch, seen):

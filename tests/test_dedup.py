@@ -94,3 +94,84 @@ def test_a_hot_key_is_cut_before_the_shuffle(spark):
     assert "row_number(), 1, Partial" in plan
     assert kept.count() == hot.select("k").distinct().count()
     assert kept.filter("k = 7").first().v == hot.filter("k = 7").agg(F.min("v")).first()[0]
+
+
+def shuffled_bytes(df):
+    """Bytes and rows that the exchanges of a frame wrote, from the metrics of the run."""
+    df.write.format("noop").mode("overwrite").save()
+    execution = df._jdf.queryExecution()
+    # The noop write planned the frame anew; collecting the plan's own run is what has metrics.
+    execution.toRdd().count()
+    found, open_ = [], [execution.executedPlan()]
+    while open_:
+        node = open_.pop()
+        name = node.nodeName()
+        if name == "AdaptiveSparkPlan":
+            open_.append(node.executedPlan())
+            continue
+        if name.endswith("QueryStage"):
+            open_.append(node.plan())
+            continue
+        if name == "Exchange":
+            metrics = node.metrics()
+            found.append(
+                (
+                    metrics.apply("shuffleBytesWritten").value(),
+                    metrics.apply("shuffleRecordsWritten").value(),
+                )
+            )
+        children = node.children()
+        open_ += [children.apply(at) for at in range(children.size())]
+    return [sum(x) for x in zip(*found)]
+
+
+@pytest.fixture
+def mostly_unique(spark, tmp_path):
+    path = str(tmp_path / "rows")
+    base = spark.range(0, 20_000, 1, 4).select(
+        F.col("id"), F.sha2(F.col("id").cast("string"), 256).alias("text"), (F.col("id") * 0.1).alias("x")
+    )
+    base.unionByName(base.filter("id % 100 = 0")).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def test_rows_without_an_equal_are_not_shuffled(mostly_unique):
+    plain, few = op.dedup_rows(mostly_unique), op.dedup_rows(mostly_unique, bits=op.dedup.BITMAP_BITS)
+    assert plain.exceptAll(few).count() == few.exceptAll(plain).count() == 0 and few.count() == 20_000
+    assert few.dtypes == plain.dtypes
+    # A fifth of the bytes: the hashes of all rows, and the rows that have an equal.
+    assert shuffled_bytes(few)[0] < shuffled_bytes(plain)[0] / 3
+
+
+@pytest.mark.parametrize("bits", [32_768, 1 << 20])
+def test_a_crowded_bitmap_only_moves_more(spark, bits):
+    rng = random.Random(4)
+    rows = [(rng.randrange(40_000), rng.choice("ab")) for _ in range(60_000)]
+    df = spark.createDataFrame(rows, "k int, s string").repartition(5)
+    found = sorted(tuple(row) for row in op.dedup_few(df, bits).collect())
+    assert found == sorted(set(rows))
+
+
+def test_equal_rows_of_any_kind_share_a_bit(spark):
+    nan = float("nan")
+    rows = [(1, 0.0, ["a"], None), (1, -0.0, ["a"], None), (2, nan, None, "x"), (2, nan, None, "x")]
+    rows += [(None, None, None, None)] * 3 + [(3, 1.0, [], "")]
+    df = spark.createDataFrame(rows, "`a.b` int, d double, l array<string>, bucket string")
+    assert op.dedup_few(df).count() == op.dedup_rows(df).count() == 4
+    assert op.dedup_few(df).columns == df.columns
+    assert op.dedup_few(df.limit(0)).count() == 0
+    with pytest.raises(ValueError, match="multiple"):
+        op.dedup_few(df, 1000)
+
+
+def test_every_repeated_hash_and_no_other_is_marked(spark):
+    hashes = spark.createDataFrame([(h,) for h in [1, 1, 2, 32_767, 32_767, 32_768, 32_768, 65_535, 0, 0, -1, -1]], "h long")
+    bitmaps = {r.bucket: bytes(r.bitmap) for r in op.repeated_hashes(hashes, 65_536).collect()}
+    marked = set()
+    for bucket, bitmap in bitmaps.items():
+        for at in range(32_768):
+            if bitmap[at // 8] >> at % 8 & 1:
+                marked.add((bucket, at))
+    places = spark.createDataFrame([(1,), (32_767,), (32_768,), (0,), (65_535,)], "p long")
+    wanted = places.select(F.bitmap_bucket_number("p"), F.bitmap_bit_position("p")).collect()
+    assert marked == {tuple(row) for row in wanted}

@@ -1,0 +1,172 @@
+"""Sums, means, distinct counts and marts that do not depend on partitions, order or loads."""
+
+from __future__ import annotations
+
+import math
+import random
+import struct
+from fractions import Fraction
+
+import pytest
+from pyspark.sql import functions as F
+
+from checks import queries as catalog
+from tests.plans import physical_plan
+from tiermill import functions as fn
+from tiermill import sources as src
+from tiermill.plans import gold, loads
+from tiermill.sources import remove_folder
+
+
+def values(seed):
+    rng = random.Random(seed)
+    kinds = [
+        lambda: rng.gauss(0, 1e5),
+        lambda: rng.choice([1, -1]) * 2.0 ** rng.uniform(-30, 81),
+        lambda: rng.choice([0.1, -0.1, 1e16, -1e16, 1.0]),
+        lambda: rng.uniform(-1e-3, 1e-3),
+        lambda: -rng.random() * 1e12,
+        lambda: float(rng.randint(-10, 10)),
+    ]
+    sizes = [1, 2, 5, 300]
+    return [(g, kinds[g % 6]()) for g in range(48) for _ in range(sizes[g // 6 % 4])]
+
+
+def test_sums_are_the_nearest_doubles_under_any_partitioning(spark):
+    rows = values(1)
+    truth = {}
+    for group, value in rows:
+        truth.setdefault(group, []).append(Fraction(value))
+    df = spark.createDataFrame(rows, "g int, x double")
+    for parts in (1, 7, 200):
+        shuffled = df.orderBy(F.rand(parts)).repartition(parts)
+        found = shuffled.groupBy("g").agg(fn.exact_sum("x").alias("s"), fn.exact_avg("x").alias("m"))
+        for row in found.collect():
+            exact = sum(truth[row.g])
+            assert row.s == float(exact)
+            assert row.m == float(exact) / len(truth[row.g])
+
+
+def test_special_values(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [(1, nan), (1, 1.0), (2, inf), (2, 1.0), (3, 1e300), (3, 1.0), (4, None), (5, None), (5, 2.5)]
+    rows += [(6, -0.0), (7, 1e-40), (8, 2.0**82), (8, 1.0), (9, 1e24), (9, -1e24), (9, 0.5)]
+    df = spark.createDataFrame(rows, "g int, x double")
+    found = {r.g: r.s for r in df.groupBy("g").agg(fn.exact_sum("x").alias("s")).collect()}
+    assert math.isnan(found.pop(1))
+    assert found == {2: inf, 3: 1e300, 4: None, 5: 2.5, 6: 0.0, 7: 0.0, 8: 2.0**82 + 1, 9: 0.5}
+
+
+def test_the_partial_aggregate_is_compiled(spark):
+    df = spark.range(10).selectExpr("id % 3 AS g", "id * 0.1D AS x")
+    plan = physical_plan(df.groupBy("g").agg(fn.exact_sum("x")))
+    assert "ObjectHashAggregate" not in plan and "SortAggregate" not in plan
+
+
+def bits(df):
+    """Rows by their exact bits."""
+
+    def exact(value):
+        return struct.pack("<d", value) if isinstance(value, float) else value
+
+    return sorted((tuple(exact(v) for v in row) for row in df.collect()), key=repr)
+
+
+@pytest.fixture(scope="module")
+def silver(spark, sf_dir, tmp_path_factory):
+    path = str(tmp_path_factory.mktemp("silver") / "t")
+    rows = catalog.silver(spark, sf_dir)
+    # Sizes that differ widely make the order of addition matter.
+    rows.withColumn("sales", F.col("sales") * F.pow(F.lit(10.0), F.col("order_id") % 9)).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+@pytest.mark.parametrize("name", gold.MARTS)
+def test_marts_are_equal_bit_by_bit_under_any_partitioning(spark, silver, name):
+    found = []
+    for parts in (1, 7, 200):
+        spark.conf.set("spark.sql.shuffle.partitions", str(min(parts, 16)))
+        try:
+            found.append(bits(gold.mart(name, silver.orderBy(F.rand(parts)).repartition(parts))))
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", "8")
+    assert found[0] == found[1] == found[2]
+
+
+def test_plain_sums_would_differ(silver):
+    sums = {
+        tuple(sorted(r.s for r in silver.orderBy(F.rand(p)).repartition(p).groupBy("market").agg(F.sum("sales").alias("s")).collect()))
+        for p in (1, 7, 200)
+    }
+    assert len(sums) > 1
+
+
+def test_distinct_counts_have_no_expand_and_any_integers(spark):
+    ids = [0, 1, 63, 64, -1, -64, -65, 2**62, -(2**63), 2**63 - 1, None, 5, 5]
+    silver = spark.createDataFrame([(i % 2, one) for i, one in enumerate(ids * 3)], "market int, customer_id bigint")
+    mart = gold.Mart(keys=gold.by("market"), measures={"n": "customers"})
+    state = mart.state(silver)
+    found = {row.market: row.n for row in mart.finished(state).collect()}
+    truth = {
+        row.market: row.n
+        for row in silver.groupBy("market").agg(F.countDistinct("customer_id").alias("n")).collect()
+    }
+    assert found == truth
+    assert "Expand" not in physical_plan(mart.finished(state))
+    both = mart.merged([state, mart.state(silver.limit(5))])
+    assert {row.market: row.n for row in mart.finished(both).collect()} == truth
+
+
+def test_distinct_counts_of_text(spark):
+    rows = [(1, "a"), (1, "a"), (1, "b"), (1, None), (2, None), (3, "")]
+    silver = spark.createDataFrame(rows, "market int, customer_id string")
+    mart = gold.Mart(keys=gold.by("market"), measures={"n": "customers"})
+    assert {r.market: r.n for r in mart.build(silver).collect()} == {1: 2, 2: 0, 3: 1}
+
+
+def test_words_of_dense_ids_are_few(spark):
+    silver = spark.range(64_000).selectExpr("1 AS market", "id AS customer_id")
+    mart = gold.Mart(keys=gold.by("market"), measures={"n": "customers"})
+    assert mart.state(silver).count() == 1000
+    assert mart.build(silver).first().n == 64_000
+
+
+# --- loads -----------------------------------------------------------------------------------
+
+
+def test_two_loads_equal_a_full_run_and_the_first_is_not_read_again(spark, silver, tmp_path):
+    root = str(tmp_path / "lake")
+    paths = [str(tmp_path / f"load{at}") for at in (0, 1)]
+    for at, path in enumerate(paths):
+        silver.filter(F.col("order_id") % 2 == at).write.parquet(path)
+    loads.add_load(spark.read.parquet(paths[0]), root, "2024-01")
+    remove_folder(spark, paths[0])
+    audit = loads.add_load(spark.read.parquet(paths[1]), root, "2024-02")
+    full = gold.all_marts(silver)
+    for name, mart in full.items():
+        assert bits(src.read_layer(spark, root, "gold", name)) == bits(mart)
+    assert {row.mart: row.rows for row in audit.collect()} == {n: m.count() for n, m in full.items()}
+    assert loads.loads_of(spark, root, "kpi_summary") == ["2024-01", "2024-02"]
+
+
+def test_a_load_added_again_counts_once_and_a_corrected_one_instead(spark, silver, tmp_path):
+    root = str(tmp_path)
+    some, other = silver.filter("order_id % 2 = 0"), silver.filter("order_id % 2 = 1")
+    for rows, load in ((some, "a"), (other.limit(7), "b"), (some, "a"), (other, "b")):
+        loads.add_load(rows, root, load)
+    for name, mart in gold.all_marts(silver).items():
+        assert bits(src.read_layer(spark, root, "gold", name)) == bits(mart)
+
+
+def test_loads_need_names_and_states(spark, silver, tmp_path):
+    for name in ("", "a/b", "_x", ".x"):
+        with pytest.raises(ValueError, match="name a load"):
+            loads.add_load(silver, str(tmp_path), name)
+    with pytest.raises(ValueError, match="no load"):
+        loads.mart_of_loads(spark, str(tmp_path), "kpi_summary")
+
+
+def test_two_distinct_counts_in_one_mart_are_refused(spark, silver, monkeypatch):
+    monkeypatch.setitem(gold.MEASURES, "orders", gold.different("order_id"))
+    with pytest.raises(ValueError, match="one column"):
+        gold.Mart(keys=gold.by("market"), measures={"a": "orders", "b": "customers"}).build(silver)

@@ -197,3 +197,13 @@ def test_a_hot_order_is_not_pinned_by_the_fact_join(spark, sf_dir):
     final, partial = head.index("HashAggregate"), head.rindex("HashAggregate")
     assert "SortMergeJoin" in head
     assert "Exchange" in head[final:partial]
+
+
+def test_bronze_by_a_bitmap_is_the_same(spark, sf_dir, tmp_path):
+    for name, build in (("raw_orders", layers.bronze_orders), ("raw_logs", layers.bronze_logs)):
+        path = str(tmp_path / name)
+        getattr(star, name)(spark, sf_dir).write.parquet(path)
+        raw = spark.read.parquet(path)
+        plain, few = build(raw), build(raw, bits=1 << 20)
+        assert plain.count() == few.count() < raw.count()
+        assert plain.exceptAll(few).count() == 0

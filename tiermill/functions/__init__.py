@@ -1,5 +1,6 @@
 """Column expressions. All are built-in JVM expressions, null on bad input, without UDFs."""
 
+from tiermill.functions.exact import exact_avg, exact_sum
 from tiermill.functions.numbers import as_type, percent, round_to
 from tiermill.functions.text import (
     clean_text,
@@ -13,6 +14,8 @@ from tiermill.functions.text import (
 from tiermill.functions.times import month_of, night_flag, parse_time
 
 __all__ = [
+    "exact_avg",
+    "exact_sum",
     "as_type",
     "clean_text",
     "first_match",

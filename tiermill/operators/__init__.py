@@ -17,7 +17,7 @@ from tiermill.operators.columns import (
     split_path,
     strip_non_letters,
 )
-from tiermill.operators.dedup import dedup_by_key, dedup_rows
+from tiermill.operators.dedup import dedup_by_key, dedup_few, dedup_rows, repeated_hashes
 from tiermill.operators.quality import (
     account,
     count_fields,
@@ -35,6 +35,7 @@ __all__ = [
     "cast_columns",
     "count_fields",
     "dedup_by_key",
+    "dedup_few",
     "dedup_rows",
     "drop_columns",
     "fill_nulls",
@@ -52,6 +53,7 @@ __all__ = [
     "rejected_rows",
     "rejects",
     "rename_positional",
+    "repeated_hashes",
     "require",
     "split_path",
     "strip_non_letters",

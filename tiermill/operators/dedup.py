@@ -11,13 +11,68 @@ from pyspark.sql.types import ArrayType, DataType, MapType, StructType, VariantT
 RANK = "__row_rank"
 
 
-def dedup_rows(df: DataFrame) -> DataFrame:
+HASH, SEEN = "__row_hash", "__row_seen"
+BUCKET, BITMAP = "__row_bucket", "__row_bitmap"
+BITMAP_BITS = 1 << 27
+# Bits and bytes of one bitmap of Spark's bitmap functions.
+BITMAP_SIZE = 32_768
+
+
+def dedup_rows(df: DataFrame, bits: int | None = None) -> DataFrame:
     """Drop fully equal rows.
 
     Spark removes copies inside each task before the shuffle, so a row that makes up a large
     share of the table reaches the shuffle once per task.
+
+    With ``bits``, rows without an equal are not shuffled at all; see `dedup_few`.
+    """
+    return df.dropDuplicates() if bits is None else dedup_few(df, bits)
+
+
+def repeated_hashes(hashes: DataFrame, bits: int = BITMAP_BITS) -> DataFrame:
+    """Bitmaps ``(bucket, bitmap)`` of the hashes in the one column that occur twice or more.
+
+    Together they have ``bits`` bits, an eighth as many bytes, whatever the number of hashes.
+    """
+    if bits % BITMAP_SIZE:
+        raise ValueError(f"bits must be a multiple of {BITMAP_SIZE}")
+    (name,) = hashes.columns
+    twice = hashes.groupBy(name).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    place = F.pmod(F.col(name), F.lit(bits))
+    return twice.groupBy(F.bitmap_bucket_number(place).alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bitmap")
+    )
+
+
+def _bit(bitmap: Column, position: Column) -> Column:
+    """One bit of a bitmap, lowest bit of a byte first."""
+    byte = F.substring(bitmap, (position / 8).cast("int") + 1, F.lit(1))
+    value = F.conv(F.hex(byte), 16, 10).cast("int")
+    # Powers of two as an array, as Spark shifts by constants only.
+    powers = F.array(*[F.lit(1 << at) for at in range(8)])
+    return value.bitwiseAND(F.element_at(powers, (position % 8).cast("int") + 1)) != 0
+
+
+def dedup_few(df: DataFrame, bits: int = BITMAP_BITS) -> DataFrame:
+    """Drop fully equal rows of a table in which few rows have an equal, moving only those.
+
+    A first pass shuffles eight bytes for each row and marks the hashes that occur twice in a bitmap of
+    ``bits`` bits, which is broadcast: 16 MiB by default. Rows whose bit is clear have no equal and stay where
+    they are; the others are compared whole, as `dedup_rows` does. Exact: equal rows have equal hashes, and a
+    bit that two hashes share only costs a shuffle. With as many repeated hashes as bits, most rows move.
+
+    The table is scanned three times, so it should be a stored one that gives the same rows each time.
     """
-    return df.dropDuplicates()
+    hashed = df.withColumn(HASH, F.xxhash64(*[F.col(f"`{name}`") for name in df.columns]))
+    bitmaps = repeated_hashes(hashed.select(HASH), bits).toDF(BUCKET, BITMAP)
+    place = F.pmod(F.col(HASH), F.lit(bits))
+    marked = hashed.join(
+        F.broadcast(bitmaps), F.bitmap_bucket_number(place) == F.col(BUCKET), "left"
+    )
+    seen = F.coalesce(_bit(F.col(BITMAP), F.bitmap_bit_position(place)), F.lit(False))
+    told = marked.select(*[df[f"`{name}`"] for name in df.columns], seen.alias(SEEN))
+    alone = told.filter(~F.col(SEEN)).drop(SEEN)
+    return alone.unionByName(told.filter(SEEN).drop(SEEN).dropDuplicates())
 
 
 def _ordering(name: str, kind: DataType) -> Column:

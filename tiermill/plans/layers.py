@@ -31,16 +31,17 @@ def _well_formed(named: DataFrame) -> DataFrame:
     return named.filter(F.col(rules.MALFORMED).isNull()).drop(rules.MALFORMED)
 
 
-def bronze_orders(raw: DataFrame) -> DataFrame:
+def bronze_orders(raw: DataFrame, bits: int | None = None) -> DataFrame:
     """Normal names, pinned types, required keys, no equal rows, no private columns.
 
-    Rows of the wrong shape go, where the reader kept them apart (``malformed=True``).
+    Rows of the wrong shape go, where the reader kept them apart (``malformed=True``). ``bits`` finds equal
+    rows by `dedup_few`, which reads a stored input three times and hardly shuffles.
     """
     named = _well_formed(op.normalize_names(raw))
     return (
         named.transform(op.cast_columns, order_casts(named))
         .transform(op.require, rules.ORDER_REQUIRED)
-        .transform(op.dedup_rows)
+        .transform(op.dedup_rows, bits)
         .transform(op.drop_columns, rules.ORDER_PRIVATE_COLUMNS)
     )
 
@@ -208,11 +209,11 @@ def clean_logs(raw: DataFrame) -> DataFrame:
     )
 
 
-def bronze_logs(raw: DataFrame) -> DataFrame:
-    """Cleaned log without equal rows, with path parts and region."""
+def bronze_logs(raw: DataFrame, bits: int | None = None) -> DataFrame:
+    """Cleaned log without equal rows, with path parts and region; ``bits`` as in `bronze_orders`."""
     return (
         clean_logs(raw)
-        .transform(op.dedup_rows)
+        .transform(op.dedup_rows, bits)
         .transform(op.split_path)
         .transform(op.ip_first_octet)
     )

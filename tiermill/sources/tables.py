@@ -53,7 +53,8 @@ def _folder(spark: SparkSession, path: str):
     return target, target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
-def _names(spark: SparkSession, path: str) -> list[str]:
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what is in a folder; none if there is no such folder."""
     target, files = _folder(spark, path)
     if not files.exists(target):
         return []
@@ -68,10 +69,10 @@ def _commits(names: list[str]) -> list[tuple[int, str]]:
 def _commit(spark: SparkSession, path: str, key: str) -> int:
     """Make a complete folder the table; the number of the commit."""
     while True:
-        number = max((at for at, _ in _commits(_names(spark, path))), default=0) + 1
+        number = max((at for at, _ in _commits(folder_names(spark, path))), default=0) + 1
         target, files = _folder(spark, f"{path}/commit-{number:012d}-{key}")
         files.create(target, False).close()
-        commits = _commits(_names(spark, path))
+        commits = _commits(folder_names(spark, path))
         others = [at for at, one in commits if at == number and one != key]
         if commits[-1] == (number, key) or not others:
             return number
@@ -79,13 +80,13 @@ def _commit(spark: SparkSession, path: str, key: str) -> int:
 
 def current_path(spark: SparkSession, path: str) -> str:
     """The folder that holds a table's rows now; the path itself if nothing was written by runs."""
-    commits = _commits(_names(spark, path))
+    commits = _commits(folder_names(spark, path))
     return f"{path}/run-{commits[-1][1]}" if commits else path
 
 
 def _drop_replaced(spark: SparkSession, path: str) -> None:
     """Remove the folders of all commits but the last two, and the oldest commit files."""
-    names = _names(spark, path)
+    names = folder_names(spark, path)
     commits = _commits(names)
     order = list(dict.fromkeys(key for _, key in reversed(commits)))
     replaced = set(order[2:])
@@ -99,7 +100,7 @@ def _drop_replaced(spark: SparkSession, path: str) -> None:
 def drop_unfinished(spark: SparkSession, root: str, layer: str, name: str) -> list[str]:
     """Remove folders that no commit names; call it only while nothing writes the table."""
     path = layer_path(root, layer, name)
-    names = _names(spark, path)
+    names = folder_names(spark, path)
     named = {f"run-{key}" for _, key in _commits(names)}
     dead = [one for one in names if one.startswith("run-") and one not in named]
     for one in dead:
