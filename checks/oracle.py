@@ -627,6 +627,7 @@ months AS (
 TABLE_SQL = {
     "csv_round_trip_orders": LAYER_SQL["bronze_orders"],
     "csv_round_trip_logs": LAYER_SQL["bronze_logs"],
+    "silver_orders_from_loads": LAYER_SQL["silver_orders"],
     "dedup_few": FILTER_SQL["dedup_rows"],
     "write_and_register": LAYER_SQL["silver_orders"],
     "replace_schema": LAYER_SQL["silver_logs"],

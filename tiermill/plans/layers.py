@@ -67,23 +67,36 @@ def clean_orders(bronze: DataFrame) -> DataFrame:
     )
 
 
-def silver_orders(bronze: DataFrame) -> DataFrame:
-    """Cleaned orders, one row per order item, finished statuses only.
+def order_winners(bronze: DataFrame) -> DataFrame:
+    """The one bronze row with dates that stands for each order item.
 
-    The rows are chosen first, by their bronze values, as cleaning text is the dear part and half
-    of the rows go. Of the cleaning, only the status decides about a row.
+    It is the least by a total order, so the winners of winners are those of all rows.
     """
     tie_break = [name for name in rules.ORDER_TIE_BREAK if name in bronze.columns]
+    return bronze.transform(op.require, list(rules.ORDER_TIMES.values())).transform(
+        op.dedup_by_key, rules.ORDER_KEY, tie_break
+    )
+
+
+def finished_orders(winners: DataFrame) -> DataFrame:
+    """The row-wise rest of silver: positive figures, finished statuses, cleaned columns."""
     return (
-        bronze.transform(op.require, list(rules.ORDER_TIMES.values()))
-        .transform(op.dedup_by_key, rules.ORDER_KEY, tie_break)
-        .transform(op.keep_positive, rules.ORDER_POSITIVE)
+        winners.transform(op.keep_positive, rules.ORDER_POSITIVE)
         .transform(op.normalize_text, ["order_status"])
         .transform(op.keep_in, "order_status", rules.ORDER_STATUSES)
         .transform(clean_orders)
     )
 
 
+def silver_orders(bronze: DataFrame) -> DataFrame:
+    """Cleaned orders, one row per order item, finished statuses only.
+
+    The rows are chosen first, by their bronze values, as cleaning text is the dear part and half
+    of the rows go. Of the cleaning, only the status decides about a row.
+    """
+    return finished_orders(order_winners(bronze))
+
+
 WRONG_SHAPE = "row_shape"
 FIELDS = "fields"
 Checks = dict[str, tuple[str | Column, Column]]

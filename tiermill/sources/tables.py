@@ -66,6 +66,30 @@ def _commits(names: list[str]) -> list[tuple[int, str]]:
     return sorted((int(found[1]), found[2]) for name in names if (found := COMMIT.fullmatch(name)))
 
 
+def commits_of(spark: SparkSession, path: str) -> list[tuple[int, str]]:
+    """Numbers and ids of the commits at a path, the last one at the end."""
+    return _commits(folder_names(spark, path))
+
+
+def make_commit(spark: SparkSession, path: str, key: str, after: tuple[int, str] | None) -> bool:
+    """Commit only if ``after`` is still the last commit; false, and no commit, if it is not.
+
+    Of two writers that try this at once one succeeds, or neither.
+    """
+    number = after[0] + 1 if after else 1
+    target, files = _folder(spark, f"{path}/commit-{number:012d}-{key}")
+    before = commits_of(spark, path)
+    if (before[-1] if before else None) != after:
+        return False
+    files.create(target, False).close()
+    if commits_of(spark, path)[-1] == (number, key) and all(
+        one == key for at, one in commits_of(spark, path) if at == number
+    ):
+        return True
+    files.delete(target, False)
+    return False
+
+
 def _commit(spark: SparkSession, path: str, key: str) -> int:
     """Make a complete folder the table; the number of the commit."""
     while True:
