@@ -638,6 +638,9 @@ TABLE_SQL = {
           strftime(max(l_shipdate), '%Y-%m-%d') AS high,
           cast(0 AS bigint) AS overlaps,
           cast(8 AS bigint) AS files FROM lineitem""",
+    "reclustered_items": "SELECT * REPLACE (strftime(l_shipdate, '%Y-%m-%d') AS l_shipdate) FROM lineitem",
+    "recluster_layout": """SELECT count(*) AS "rows", cast(0 AS bigint) AS overlaps, true AS few_rewritten
+        FROM lineitem""",
     "mart_row_counts": MART_COUNTS,
     "all_layers_from_tables": MART_COUNTS,
     "all_layers_from_csv": MART_COUNTS,

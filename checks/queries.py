@@ -34,6 +34,12 @@ from tiermill.sources import (
     write_layer,
     write_marts,
 )
+from tiermill.sources.clustered import (
+    append_clustered,
+    read_clustered,
+    recluster,
+    table_files,
+)
 from tiermill.sources.layout import TARGET_FILE_BYTES
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -417,6 +423,46 @@ def items_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+RECLUSTERED_FILES = 24
+# About a twentieth of the line items were shipped from then on.
+APPENDED_FROM = "2001-07-03"
+
+
+def _appended_items(spark: SparkSession, sf_dir: str) -> tuple[str, list[str], list[str], int]:
+    """Line items in order of their ship date, the last ones appended and put in order."""
+    root = work_folder(spark, "recluster")
+    items, late = star.table(spark, sf_dir, "lineitem"), F.col("l_shipdate") >= F.lit(APPENDED_FROM)
+    names = (root, "raw", "items", "l_shipdate")
+    append_clustered(items.filter(~late), *names, files=RECLUSTERED_FILES)
+    for odd in (0, 1):
+        append_clustered(items.filter(late & (F.col("l_orderkey") % 2 == odd)), *names, files=2)
+    before = len(table_files(spark, root, "raw", "items"))
+    old, new = recluster(spark, *names, file_bytes=1 << 20)
+    return root, old, new, before
+
+
+def reclustered_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items after appends and partial clustering: the same rows."""
+    root = _appended_items(spark, sf_dir)[0]
+    rows = read_clustered(spark, root, "raw", "items")
+    return rows.withColumn("l_shipdate", F.date_format("l_shipdate", "yyyy-MM-dd"))
+
+
+def recluster_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows, overlapping neighbours, and whether few files were rewritten."""
+    root, old, _, before = _appended_items(spark, sf_dir)
+    rows = read_clustered(spark, root, "raw", "items")
+    files = rows.groupBy(F.col("_metadata.file_path")).agg(
+        F.count("*").alias("rows"), F.min("l_shipdate").alias("low"), F.max("l_shipdate").alias("high")
+    )
+    below = F.lag("high").over(Window.orderBy("low", "high"))
+    return files.withColumn("overlap", F.col("low") < below).agg(
+        F.sum("rows").alias("rows"),
+        F.count_if("overlap").alias("overlaps"),
+        F.lit(0 < len(old) < before / 5).alias("few_rewritten"),
+    )
+
+
 def mart_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The four marts written from stored silver orders; rows counted by the writes."""
     root = work_folder(spark, "marts")
@@ -577,6 +623,8 @@ TABLE_QUERIES = {
     "replace_schema": replace_schema,
     "compact_and_cluster": cluster_items,
     "layout_stats": items_layout,
+    "reclustered_items": reclustered_items,
+    "recluster_layout": recluster_layout,
     "mart_row_counts": mart_row_counts,
     "all_layers_from_tables": layers_from_tables,
     "all_layers_from_csv": layers_from_csv,

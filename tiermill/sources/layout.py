@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tiermill.sources.sizing import MIB, data_bytes, partitions_for
@@ -19,6 +19,11 @@ def cluster(df: DataFrame, by: str) -> DataFrame:
     return df.repartitionByRange(F.col(by)).sortWithinPartitions(by)
 
 
+def place_in_source() -> Column:
+    """A hash of a row's place in its file, the same whenever a task reads it again."""
+    return F.xxhash64(F.col("_metadata.file_path"), F.col("_metadata.row_index"))
+
+
 def compact_and_cluster(
     spark: SparkSession,
     source: str,
@@ -40,9 +45,8 @@ def compact_and_cluster(
         raise ValueError("the target must differ from the source")
     count = files or partitions_for(data_bytes(spark, source), file_bytes)
     rows = spark.read.parquet(source)
-    place = F.xxhash64(F.col("_metadata.file_path"), F.col("_metadata.row_index"))
     (
-        rows.withColumn(SPREAD, place)
+        rows.withColumn(SPREAD, place_in_source())
         .repartitionByRange(count, F.col(by), F.col(SPREAD))
         .sortWithinPartitions(by)
         .drop(SPREAD)

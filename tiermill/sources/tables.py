@@ -61,6 +61,15 @@ def folder_names(spark: SparkSession, path: str) -> list[str]:
     return [status.getPath().getName() for status in files.listStatus(target)]
 
 
+def file_sizes(spark: SparkSession, paths: list[str]) -> list[int]:
+    """Bytes of some files, from the file system."""
+    found = []
+    for path in paths:
+        target, files = _folder(spark, path)
+        found.append(files.getFileStatus(target).getLen())
+    return found
+
+
 def _commits(names: list[str]) -> list[tuple[int, str]]:
     """Numbers and ids of a table's commits, the last one at the end."""
     return sorted((int(found[1]), found[2]) for name in names if (found := COMMIT.fullmatch(name)))
