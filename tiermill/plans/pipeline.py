@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tiermill import rules
 from tiermill.plans.gold import all_marts
 from tiermill.plans.layers import (
     bronze_logs,
@@ -29,12 +32,29 @@ from tiermill.sources import (
     write_marts,
 )
 from tiermill.sources.sizing import COLUMNAR_GROWTH, TEXT_GROWTH
-from tiermill.sources.tables import DEFAULT_FORMAT
+from tiermill.sources.tables import DEFAULT_FORMAT, MART_LAYER, layer_note, name_layer
 
 ORDERS, LOGS = "orders", "logs"
 QUARANTINE = "quarantine"
 
 
+def input_fingerprint(spark: SparkSession, paths: list[str], *parameters: object) -> str:
+    """A text that changes when a file under the paths, a parameter or a cleaning rule does.
+
+    Files count by path, length and time of change, from listings; none is opened.
+    """
+    listed = []
+    for path in paths:
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+        place = F.xxhash64("path", "length", F.unix_micros("modificationTime"))
+        seen = files.agg(
+            F.count("*").alias("files"), F.sum("length").alias("bytes"), F.bit_xor(place).alias("places")
+        ).first()
+        listed.append((path, seen["files"], seen["bytes"], seen["places"]))
+    fixed = sorted((name, repr(value)) for name, value in vars(rules).items() if name.isupper())
+    return hashlib.sha256(repr((listed, parameters, fixed)).encode()).hexdigest()
+
+
 def run_pipeline(
     spark: SparkSession,
     raw_orders: DataFrame,
@@ -43,6 +63,7 @@ def run_pipeline(
     fmt: str = DEFAULT_FORMAT,
     tables: bool = False,
     input_bytes: int | None = None,
+    fingerprint: str | None = None,
 ) -> DataFrame:
     """Write every layer under ``root`` and return the mart row counts ``(mart, rows)``.
 
@@ -53,22 +74,44 @@ def run_pipeline(
 
     Shuffles of all layers are sized for ``input_bytes`` shuffled bytes; by default three times
     what the larger input's files hold.
+
+    ``fingerprint`` says what inputs and parameters a run is for. It is stored with every layer table in one
+    step with the rows; a run for the same fingerprint goes on where the last one ended and writes only
+    the tables that are not there yet.
     """
 
-    def write(rows: DataFrame, layer: str, name: str) -> DataFrame:
+    def finished(layer: str, name: str) -> bool:
+        return fingerprint is not None and layer_note(spark, root, layer, name) == fingerprint
+
+    def write(rows: Callable[[], DataFrame], layer: str, name: str) -> DataFrame:
         table = f"{name}_{layer}" if tables else None
-        write_layer(rows, root, layer, name, fmt, replace_schema=True, table=table)
+        if not finished(layer, name):
+            write_layer(
+                rows(), root, layer, name, fmt, replace_schema=True, table=table, note=fingerprint
+            )
+        elif table:
+            name_layer(spark, root, layer, name, fmt, table)
         return read_layer(spark, root, layer, name, fmt)
 
     def orders_to_marts() -> DataFrame:
-        bronze = write(bronze_orders(raw_orders), "bronze", ORDERS)
-        silver = write(silver_orders(bronze), "silver", ORDERS)
-        return write_marts(all_marts(silver), root, fmt, tables=tables)
+        bronze = write(lambda: bronze_orders(raw_orders), "bronze", ORDERS)
+        silver = write(lambda: silver_orders(bronze), "silver", ORDERS)
+        marts = all_marts(silver)
+        due = {name: mart for name, mart in marts.items() if not finished(MART_LAYER, name)}
+        audit = write_marts(due, root, fmt, tables=tables, note=fingerprint) if due else None
+        if len(due) == len(marts):
+            return audit
+        counts = {row["mart"]: row["rows"] for row in audit.collect()} if audit else {}
+        for name in marts.keys() - due.keys():
+            counts[name] = read_layer(spark, root, MART_LAYER, name, fmt).count()
+            if tables:
+                name_layer(spark, root, MART_LAYER, name, fmt, name)
+        return spark.createDataFrame([(name, counts[name]) for name in marts], "mart string, rows bigint")
 
     def logs() -> None:
         if raw_logs is not None:
-            bronze = write(bronze_logs(raw_logs), "bronze", LOGS)
-            write(silver_logs(bronze, distinct_input=True), "silver", LOGS)
+            bronze = write(lambda: bronze_logs(raw_logs), "bronze", LOGS)
+            write(lambda: silver_logs(bronze, distinct_input=True), "silver", LOGS)
 
     if input_bytes is None:
         inputs = [raw_orders] if raw_logs is None else [raw_orders, raw_logs]
@@ -93,12 +136,16 @@ def run_csv_pipeline(
     encoding: str = "UTF-8",
     schema: StructType | str | None = None,
     quarantine: bool = False,
+    resume: bool = False,
 ) -> DataFrame:
     """`run_pipeline` from CSV files, with shuffles sized for them.
 
     ``schema`` is that of the order file, or ``"infer"`` for both files; all text by default. Rows of the
     wrong shape never reach bronze; ``quarantine=True`` writes them, and those with values that do not
     convert, to the layer ``quarantine``, at the cost of another scan of the files.
+
+    ``resume=True`` goes on where the last run with that setting ended, if the files, the parameters and the
+    rules are the same, and starts at bronze if they are not.
     """
     paths = [path for path in (orders_path, logs_path) if path]
     size = TEXT_GROWTH * max(data_bytes(spark, path) for path in paths)
@@ -119,4 +166,5 @@ def run_csv_pipeline(
         fmt,
         tables,
         input_bytes=size,
+        fingerprint=input_fingerprint(spark, paths, fmt, encoding, schema) if resume else None,
     )

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from tiermill.rules import MART_CLUSTERING
 from tiermill.sources.layout import cluster
-from tiermill.sources.workspace import remove_folder
+from tiermill.sources.workspace import read_text, remove_folder, write_text
 
 DEFAULT_FORMAT = "parquet"
 MART_LAYER = "gold"
@@ -34,6 +34,7 @@ MART_LAYER = "gold"
 # Formats that replace a table in one commit of their own.
 COMMITTING_FORMATS = {"delta", "iceberg", "hudi"}
 COMMIT = re.compile(r"commit-(\d{12})-([0-9a-f]{32})")
+NOTE = "_note"
 RUN = re.compile(r"run-([0-9a-f]{32})")
 # So many commit files stay, though only the last two folders do: a commit that is no further behind the
 # others finds its number taken.
@@ -159,11 +160,13 @@ def write_layer(
     fmt: str = DEFAULT_FORMAT,
     replace_schema: bool = False,
     table: str | None = None,
+    note: str | None = None,
 ) -> str:
     """Replace a layer table and return the folder that holds its rows.
 
     ``replace_schema`` allows new columns where the format guards the old ones. With ``table``
-    the catalog entry follows once the rows are complete.
+    the catalog entry follows once the rows are complete. `layer_note` gives ``note`` back for as long as
+    these rows are the table; formats with commits of their own do not keep it.
     """
     spark, path = df.sparkSession, layer_path(root, layer, name)
     if table:
@@ -180,6 +183,8 @@ def write_layer(
     run = f"{path}/run-{key}"
     try:
         df.write.format(fmt).save(run)
+        if note is not None:
+            write_text(spark, f"{run}/{NOTE}", note)
     except BaseException:
         remove_folder(spark, run)
         raise
@@ -190,6 +195,22 @@ def write_layer(
     return run
 
 
+def layer_note(spark: SparkSession, root: str, layer: str, name: str) -> str | None:
+    """The note that the rows a layer table has now were written with."""
+    path = layer_path(root, layer, name)
+    current = current_path(spark, path)
+    return read_text(spark, f"{current}/{NOTE}") if NOTE in folder_names(spark, current) else None
+
+
+def name_layer(spark: SparkSession, root: str, layer: str, name: str, fmt: str, table: str) -> None:
+    """Give a layer table a name in the catalog, as its write would have done."""
+    if fmt in COMMITTING_FORMATS:
+        register(spark, table, layer_path(root, layer, name), fmt)
+    else:
+        _check_entry(spark, table)
+        _name_current(spark, table, layer_path(root, layer, name), fmt)
+
+
 def _name_current(spark: SparkSession, name: str, path: str, fmt: str) -> None:
     """Let a name follow the table at a path.
 
@@ -260,6 +281,7 @@ def write_marts(
     fmt: str = DEFAULT_FORMAT,
     clustering: Mapping[str, str] = MART_CLUSTERING,
     tables: bool = False,
+    note: str | None = None,
 ) -> DataFrame:
     """Write the marts, clustered, and return one row ``(mart, rows)`` per mart.
 
@@ -275,7 +297,14 @@ def write_marts(
         if name in clustering:
             mart = cluster(mart, clustering[name])
         return write_counted(
-            mart, root, MART_LAYER, name, fmt, replace_schema=True, table=name if tables else None
+            mart,
+            root,
+            MART_LAYER,
+            name,
+            fmt,
+            replace_schema=True,
+            table=name if tables else None,
+            note=note,
         )
 
     with ThreadPoolExecutor(len(marts)) as pool:
