@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import time
 import zlib
 
 import pytest
@@ -137,3 +138,19 @@ def test_spans_are_the_significant_passages(make_docs):
     assert found == {0: ["VileWord, vileword"], 1: ["vileword"], 2: ["odd"], 3: []}
     assert all(row.n_segments == len(row.spans) for row in rows.values())
     assert rows[0].spans[0].score == rows[0].best_segment == 12.0
+
+
+def test_the_scan_is_linear_in_what_scores():
+    def seconds(count, gap, rising):
+        places = list(range(0, count * gap, gap))
+        gains = [1.0 + rising * at / count for at in range(count)]
+        best = float("inf")
+        for _ in range(3):
+            start = time.perf_counter()
+            tx.passages(places, gains)
+            best = min(best, time.perf_counter() - start)
+        return best
+
+    # Far apart, each candidate stays on the stack; then ever better ones swallow what is there.
+    for gap, rising in ((100, 0.0), (100, 5.0), (21, 0.5), (2, 0.0)):
+        assert seconds(50_000, gap, rising) < 20 * seconds(5_000, gap, rising)

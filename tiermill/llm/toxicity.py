@@ -9,7 +9,7 @@ good in a text of the same length; the evidence of all significant segments, tho
 once, is added up and mapped to a probability by a logistic fit on the sample. Their places in the
 text are returned as spans of characters.
 
-Bounds: `SAMPLE` labelled documents, `MODEL_UNITS` units; both are parameters. Scoring reads every
+Bounds: `SAMPLE` labelled documents, a parameter; the units are all significant ones among them. Scoring reads every
 document. Labels, language, source and id are no inputs of a score. Null and empty texts have no
 evidence and get the lowest score; a document labelled twice counts as toxic if either label says so; null labels are
 ignored; without labels of both kinds every score is 0.
@@ -31,7 +31,6 @@ from pyspark.sql import functions as F
 from tiermill.llm.common import stored, to_python
 
 SAMPLE = 20_000
-MODEL_UNITS = 50_000
 # The prior weighs as much as this share of the sample, and at least so many documents.
 PRIOR_SHARE = 0.01
 PRIOR_LEAST = 10.0
@@ -62,24 +61,27 @@ def passages(
 
     ``places`` are the token positions that score ``gains``; each other token scores ``-drift``.
     The usual stack of candidates: each keeps the running total before it and at its end, and a new
-    candidate swallows those between it and the last one that starts lower and ends lower.
+    candidate swallows those between it and the last one that starts lower and ends lower. Each also keeps
+    the place in the stack of the nearest one below it that starts lower: the search follows these links, and
+    every link it passes is never passed again, as the new candidate's own leads past it.
     """
-    found: list[tuple[float, float, int, int]] = []
+    found: list[tuple[float, float, int, int, int]] = []
     total, before = 0.0, -1
     for place, gain in zip(places, gains):
         total -= drift * (place - before - 1)
         left, total, before = total, total + gain, place
         right, first = total, place
+        at = len(found) - 1
         while True:
-            at = len(found) - 1
             while at >= 0 and found[at][0] >= left:
-                at -= 1
+                at = found[at][4]
             if at < 0 or found[at][1] >= right:
-                found.append((left, right, first, place))
+                found.append((left, right, first, place, at))
                 break
-            left, first = found[at][0], found[at][2]
+            left, _, first, _, below = found[at]
             del found[at:]
-    return [(right - left, first, last) for left, right, first, last in found]
+            at = below
+    return [(right - left, first, last) for left, right, first, last, _ in found]
 
 
 @dataclass
@@ -252,8 +254,8 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return float(weights[0]), float(weights[1])
 
 
-def learn(docs: DataFrame, labels: DataFrame, size: int = SAMPLE, units: int = MODEL_UNITS) -> Model:
-    """Fit on labelled documents outside the held-out fold."""
+def learn(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> Model:
+    """Fit on at most ``size`` labelled documents outside the held-out fold."""
     sample = _sample(docs, labels, size)
     kinds = {
         row["toxic"]: row["n"]
@@ -265,8 +267,7 @@ def learn(docs: DataFrame, labels: DataFrame, size: int = SAMPLE, units: int = M
     best = (
         _log_odds(_unit_counts(sample), n_toxic, n_clean)
         .filter((F.col("z") >= MIN_Z) & (F.col("gain") >= MIN_GAIN))
-        .orderBy(F.desc("z"), "unit")
-        .limit(units)
+        .orderBy("unit")
     )
     model = Model({row["unit"]: row["gain"] for row in best.collect()})
     shared = sample.sparkSession.sparkContext.broadcast(model.gains)
