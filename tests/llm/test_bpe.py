@@ -104,3 +104,16 @@ def test_other_vocabularies_are_refused():
 
     with pytest.raises(ValueError, match="byte-level"):
         bpe.read_vocabulary(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def test_the_proof_follows_the_vocabularys_suffix():
+    spec = dict(bpe.read_vocabulary(bpe.default_vocabulary()))
+    whole = bpe.whole_tokens(bpe.WordBpe(spec))
+    swap = lambda x: x.replace("</w>", "~~")
+    other = {
+        **spec,
+        "suffix": "~~",
+        "vocab": {swap(token): number for token, number in spec["vocab"].items()},
+        "merges": [tuple(map(swap, pair)) for pair in spec["merges"]],
+    }
+    assert len(whole) > 10_000 and bpe.whole_tokens(bpe.WordBpe(other)) == whole

@@ -15,6 +15,7 @@ import hashlib
 import json
 import unicodedata
 from collections.abc import Iterator, Mapping
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -72,6 +73,7 @@ class WordBpe:
 
     def __init__(self, spec: Mapping) -> None:
         vocab, suffix = spec["vocab"], spec["suffix"]
+        self.suffix = suffix
         letters = _byte_letters()
         self.inner = np.array([vocab[letter] for letter in letters], np.int64)
         self.last = np.array([vocab[letter + suffix] for letter in letters], np.int64)
@@ -253,15 +255,14 @@ def bpe_encode(docs: DataFrame, path: str | None = None, ids: bool = False) -> D
 def whole_tokens(bpe: WordBpe) -> frozenset[str]:
     """Pre-tokens proved, by merging them, to encode as one token.
 
-    Candidates are the vocabulary's word-ending strings that are words of their own. The proof
-    runs once per task and covers the whole vocabulary.
+    Candidates are the vocabulary's word-ending strings that are words of their own. The proof covers the
+    whole vocabulary and needs no data.
     """
     back = {letter: byte for byte, letter in enumerate(_byte_letters())}
-    suffix = "</w>"
     words = set()
     for token in bpe.strings.values():
-        stem = token.removesuffix(suffix)
-        if stem == token or not stem or any(letter not in back for letter in stem):
+        stem = token.removesuffix(bpe.suffix)
+        if bpe.suffix and stem == token or not stem or any(letter not in back for letter in stem):
             continue
         try:
             words.add(bytes(back[letter] for letter in stem).decode())
@@ -273,18 +274,27 @@ def whole_tokens(bpe: WordBpe) -> frozenset[str]:
     )
 
 
+@lru_cache(maxsize=2)
+def proved_tokens(path: str) -> frozenset[str]:
+    """`whole_tokens` of a vocabulary file."""
+    return whole_tokens(WordBpe(read_vocabulary(path)))
+
+
 def count_tokens(docs: DataFrame, path: str | None = None, limit: int = 2048) -> DataFrame:
     """Token counts of whole texts: ``doc_id, n_bytes, n_tokens, over_limit``.
 
-    Pre-tokens in `whole_tokens` count one without merging; only the others are merged. ``n_whole``
-    and ``n_merged`` say how many pre-tokens went either way.
+    Pre-tokens in `whole_tokens` count one without merging; only the others are merged. The proof runs once,
+    before any text is read, and tasks get its result. ``n_whole`` and ``n_merged`` say how many pre-tokens
+    went either way.
     """
     spec = shared_vocabulary(docs, path)
+    # Not more words than the vocabulary has.
+    proved = docs.sparkSession.sparkContext.broadcast(proved_tokens(path or default_vocabulary()))
     schema = "doc_id long, n_bytes long, n_tokens long, over_limit boolean, n_whole long, n_merged long"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = WordBpe(spec.value)
-        whole = whole_tokens(bpe)
+        whole = proved.value
         lengths: dict[str, int] = {}
         for batch in batches:
             for start, texts in text_chunks(batch, "text"):
