@@ -6,8 +6,8 @@ documents that pass the base rules. Distances are judged only from minimum lengt
 scatter.
 
 Only DataFrame functions; a text is read in one task and never leaves it. Common words come from
-exact counts over all documents; a language has at most `COMMON_WORDS` of them, so the reference
-table has that many short rows per language. Windows of words are compared by 64-bit hashes within
+exact counts over all words of all documents; the histogram has the `COMMON_WORDS` most frequent of them and
+one bin for all others, so the reference table has that many short rows per language. Windows of words are compared by 64-bit hashes within
 one text. Null and empty texts have no words and fail the base rules; a null language is a language
 of its own; repeated rows give equal results. Only ``doc_id, text, lang`` are read.
 """
@@ -124,9 +124,16 @@ def common_words(docs: DataFrame) -> DataFrame:
         .groupBy("lang", "word")
         .agg(F.count("*").alias("n"))
     )
-    kept = stored(counts.filter("n > 1"), "word_counts")
+    # Words that occur once count in their language's total, as one row without a word.
+    all_words = stored(
+        counts.groupBy("lang", F.when(F.col("n") > 1, F.col("word")).alias("word")).agg(
+            F.sum("n").alias("n")
+        ),
+        "word_counts",
+    )
+    kept = all_words.filter("word IS NOT NULL")
     # One row per language. Written, so that its size is known and the join below moves no words.
-    totals = stored(kept.groupBy("lang").agg(F.sum("n").alias("total")), "word_totals")
+    totals = stored(all_words.groupBy("lang").agg(F.sum("n").alias("total")), "word_totals")
     # At most 1 / COMMON_SHARE words of a language pass.
     return (
         kept.join(totals, "lang")
@@ -278,9 +285,10 @@ def quality_rules(docs: DataFrame) -> DataFrame:
     def far(name: str, bound: float, least: int) -> Column:
         return F.coalesce((F.col("n_words") >= least) & (F.col(name) > bound), F.lit(False))
 
-    return judged.withColumn(
-        "kept",
+    kept = (
         ~F.col("base_failed")
         & ~reduce(or_, (far("class_distance", bound, least) for least, bound in MAX_CLASS_DISTANCE))
-        & ~far("word_distance", MAX_WORD_DISTANCE, MIN_COMMON_WORDS),
+        & ~far("word_distance", MAX_WORD_DISTANCE, MIN_COMMON_WORDS)
     )
+    base = [name for name in judged.columns if not name.endswith("_distance")]
+    return judged.select(*base, kept.alias("kept"), "class_distance", "word_distance")
