@@ -6,6 +6,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tiermill.llm import recompression as rc
 
@@ -115,3 +116,19 @@ def test_least_place_in_ranges():
     last = np.minimum(299, low + rng.integers(0, 40, 200))
     wanted = [a + int(np.argmin(values[a : b + 1])) for a, b in zip(low, last)]
     assert rc._least(values, low, last).tolist() == wanted
+
+
+def test_what_is_gathered_for_a_row_without_an_id_is_bounded_by_its_text(spark, make_docs, prose, monkeypatch):
+    texts = prose(90, 70, seed=31)
+    rows = [(None if at % 3 == 0 else at, text) for at, text in enumerate(texts)]
+    sizes, plain = [], rc._lists
+
+    def watched(found, value, *args, **options):
+        made = plain(found, value, *args, **options)
+        sizes.append(made.agg(F.max(F.size(made.columns[-1]))).first()[0])
+        return made
+
+    monkeypatch.setattr(rc, "_lists", watched)
+    assert ours(make_docs(rows), 35) == brute(rows, 35)
+    # A text of 70 words has 36 windows.
+    assert max(size or 0 for size in sizes) <= 36

@@ -80,6 +80,19 @@ def join_totals(rows: DataFrame, key: str, value: str, name: str) -> DataFrame:
     return done.unionByName(rest.join(cold, same).drop("__key"))
 
 
+def rows_with_keys(rows: DataFrame, keys: DataFrame, key: str, count: str) -> DataFrame:
+    """The rows whose key is listed. ``keys`` has each key once, with the number of its rows.
+
+    ``rows`` should be stored, as they are read three times. A key with a thousandth of all rows or more is
+    told by broadcast, and its rows are not shuffled; only the others meet their keys by one.
+    """
+    least = -(-max(1, rows.count()) // HOT_KEYS)
+    hot = F.broadcast(keys.filter(F.col(count) >= least).select(key))
+    cold = keys.filter(F.col(count) < least).select(key)
+    rest = rows.join(hot, key, "left_anti")
+    return rows.join(hot, key, "left_semi").unionByName(rest.join(cold, key, "left_semi"))
+
+
 def to_python(rows: DataFrame) -> DataFrame:
     """The rows, with the session's Arrow batches bounded before they go to Python tasks.
 

@@ -17,7 +17,8 @@ of a window between those ends, its interior, depends on the window alone.
 
 Each step is one aggregate with map-side combining, whose row for a thing that occurs once still
 says where; nothing is expanded into pairs, and a hot passage costs one row per task. Results of a
-step go back to their documents by ``doc_id``. Texts without repeats leave after step 1, and their
+step go back to their documents by ``doc_id`` and checksum, so what is gathered for one is bounded by its
+text, also where many rows have one id or none. Texts without repeats leave after step 1, and their
 text is not written again.
 
 Null and empty texts have no words and lose none; texts shorter than a window lose none. A row that
@@ -39,7 +40,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tiermill.llm.common import stored, text_chunks, to_python
+from tiermill.llm.common import rows_with_keys, stored, text_chunks, to_python
 
 WINDOW = 35
 ROUNDS = 2
@@ -383,8 +384,16 @@ def _kept_rows(
         yield pa.RecordBatch.from_arrays(columns, names=names)
 
 
-def _lists(rows: DataFrame, value) -> DataFrame:
-    return rows.groupBy(F.col("doc_id").alias("of_id")).agg(F.collect_list(value).alias("tags"))
+def _lists(rows: DataFrame, value: str, tag: str = "tag", name: str = "tags") -> DataFrame:
+    """What was found for each text, known by id and checksum."""
+    return rows.groupBy(
+        F.col("doc_id").alias("of_id"), F.shiftrightunsigned(F.col(tag), 32).alias("of_check")
+    ).agg(F.collect_list(value).alias(name))
+
+
+def _of(rows: DataFrame, lists: DataFrame, how: str) -> DataFrame:
+    same = rows["doc_id"].eqNullSafe(lists["of_id"]) & (rows["checked"] == lists["of_check"])
+    return rows.join(lists, same, how)
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW, texts: bool = False) -> DataFrame:
@@ -393,8 +402,9 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, texts: bool = False) -
     A word goes if a window over it also starts anywhere else in the corpus. ``texts=True`` adds the
     kept words, joined by blanks, of documents that have any recurring anchor (null: nothing was removed).
     """
-    rows = to_python(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
-    anchors = rows.mapInArrow(
+    checked = F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("checked")
+    rows = to_python(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", checked))
+    anchors = rows.select("doc_id", "text").mapInArrow(
         lambda b: _anchor_rows(b, window), "anchor long, doc_id long, tag long"
     )
     # A group of one row says where it is: the least of one value is that value.
@@ -406,7 +416,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, texts: bool = False) -
     )
     unique = _lists(once, "tag")
     parsed = stored(
-        rows.join(unique, rows["doc_id"].eqNullSafe(unique["of_id"]), "left")
+        _of(rows, unique, "left")
         .select("doc_id", "text", "tags")
         .mapInArrow(
             lambda b: _block_rows(b, window),
@@ -415,7 +425,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, texts: bool = False) -
         ),
         "blocks",
     )
-    recurring = parsed.filter("text is not null").select("doc_id", "text", "blocks")
+    recurring = parsed.filter("text is not null").select("doc_id", "text", "blocks", checked)
     # Of equal blocks, the one with the least id and tag stands for all.
     chosen = (
         recurring.select("doc_id", F.explode("blocks").alias("x"))
@@ -424,19 +434,19 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, texts: bool = False) -
     )
     kinds = stored(chosen, "kinds")
     mixed_anchors = kinds.groupBy("anchor").agg(F.count("*").alias("kinds")).filter("kinds > 1")
-    listed = (
-        kinds.join(mixed_anchors, "anchor")
-        .select(
+    listed = _lists(
+        rows_with_keys(kinds, mixed_anchors, "anchor", "kinds").select(
             F.col("at.doc_id").alias("doc_id"),
+            F.col("at.tag").alias("tag"),
             F.struct(
                 F.col("at.tag").alias("tag"), F.least(F.col("n"), F.lit(2)).alias("weight")
             ).alias("one"),
-        )
-        .groupBy(F.col("doc_id").alias("of_id"))
-        .agg(F.collect_list("one").alias("listed"))
+        ),
+        "one",
+        name="listed",
     )
     windows = (
-        recurring.join(listed, recurring["doc_id"].eqNullSafe(listed["of_id"]))
+        _of(recurring, listed, "inner")
         .select("doc_id", "text", "blocks", "listed")
         .mapInArrow(
             lambda b: _window_rows(b, window), "a long, b long, weight long, doc_id long, tag long"
@@ -450,7 +460,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, texts: bool = False) -
     )
     schema = "doc_id long, n_words long, n_removed long, kept_sha256 string"
     cut = (
-        recurring.join(alone, recurring["doc_id"].eqNullSafe(alone["of_id"]), "left")
+        _of(recurring, alone, "left")
         .select("doc_id", "text", "blocks", "tags")
         .mapInArrow(lambda b: _kept_rows(b, window, texts), schema + (", kept string" if texts else ""))
     )
