@@ -7,7 +7,7 @@ from itertools import product
 import pytest
 from pyspark.sql import functions as F
 
-from tiermill.llm.hilbert import hilbert_index, hilbert_shards
+from tiermill.llm.hilbert import hilbert_index, hilbert_shards, write_in_curve_order
 
 
 @pytest.mark.parametrize("dims, bits", [(2, 1), (2, 4), (3, 2), (3, 3), (4, 2), (1, 3)])
@@ -83,3 +83,34 @@ def test_empty_table_and_limits(make_docs):
 def test_no_python_in_the_plan(make_docs):
     plan = hilbert_shards(make_docs(["a"]))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_few_values_are_spread_over_the_curve(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    found = hilbert_shards(docs, 24).join(docs, "doc_id").groupBy("shard").agg(
+        F.countDistinct("lang").alias("lang"), F.countDistinct("source").alias("source")
+    )
+    langs, sources = found.agg(F.avg("lang"), F.avg("source")).first()
+    assert langs <= 2 and sources <= 10
+
+
+def test_files_in_curve_order_prune_by_each_dimension(spark, tmp_path):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    path = write_in_curve_order(docs, str(tmp_path / "t"))
+    stored = spark.read.parquet(path)
+    assert stored.columns == docs.columns and stored.exceptAll(docs).count() == docs.exceptAll(stored).count() == 0
+    ranges = stored.groupBy(F.col("_metadata.file_path").alias("f")).agg(
+        *[f(c).alias(f"{c}_{f.__name__}") for c in ("lang", "source", "n_chars") for f in (F.min, F.max)],
+        F.count("*").alias("n"),
+    ).collect()
+    assert len(ranges) == 24 and max(r.n for r in ranges) < 3 * docs.count() / 24
+
+    def met(column, low, high):
+        return sum(r[f"{column}_min"] <= high and r[f"{column}_max"] >= low for r in ranges)
+
+    langs = sorted(r.lang for r in docs.select("lang").distinct().collect())
+    sources = sorted(r.source for r in docs.select("source").distinct().collect())
+    assert sum(met("lang", x, x) for x in langs) / len(langs) < 16
+    assert sum(met("source", x, x) for x in sources) / len(sources) < 14
+    small, large = docs.approxQuantile("n_chars", [0.05, 0.95], 0.001)
+    assert met("n_chars", 0, small) < 14 and met("n_chars", large, 10**9) < 14
