@@ -1,9 +1,9 @@
 """Connected components of a graph given as edges, by alternating star contraction.
 
-Each round writes its edges to the shared folder, so a lost executor costs one round's tasks. Hot
-nodes are safe: their smallest neighbour comes from a partial aggregate, and the join that carries it
-back is one whose large partitions adaptive execution splits. Only two numbers per round reach the
-driver.
+Each round writes its edges to the shared folder, so a lost executor costs one round's tasks. A hot
+node's smallest neighbour comes from a partial aggregate. The join that carries it back has that aggregate on
+one side, so all edges of a node meet in one task; a round leaves a node's edges spread over other nodes, and
+edges are given as spanning links, a few per node. Only two numbers per round reach the driver.
 """
 
 from __future__ import annotations

@@ -190,6 +190,8 @@ def representatives(
 ) -> DataFrame:
     """One document of every component, the one with the least ``doc_id``; columns unchanged.
 
+    None may be called ``__id``, ``__hash`` or ``__nth``.
+
     Rows without an id stay only where no row of their component has one. Of rows with one id, that
     with the least text hash stays, and of equal rows one.
     """
