@@ -17,7 +17,14 @@ from tiermill.operators.columns import (
     split_path,
     strip_non_letters,
 )
-from tiermill.operators.dedup import dedup_by_key, dedup_few, dedup_rows, repeated_hashes
+from tiermill.operators.dedup import (
+    dedup_by_key,
+    dedup_few,
+    dedup_rows,
+    hash_bitmaps,
+    repeated_hashes,
+    with_seen,
+)
 from tiermill.operators.quality import (
     account,
     count_fields,
@@ -40,6 +47,7 @@ __all__ = [
     "drop_columns",
     "fill_nulls",
     "flag_night",
+    "hash_bitmaps",
     "ip_first_octet",
     "ip_prefix",
     "keep_between",
@@ -57,4 +65,5 @@ __all__ = [
     "require",
     "split_path",
     "strip_non_letters",
+    "with_seen",
 ]

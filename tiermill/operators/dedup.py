@@ -30,20 +30,38 @@ def dedup_rows(df: DataFrame, bits: int | None = None) -> DataFrame:
 
 
 def repeated_hashes(hashes: DataFrame, bits: int = BITMAP_BITS) -> DataFrame:
-    """Bitmaps ``(bucket, bitmap)`` of the hashes in the one column that occur twice or more.
+    """`hash_bitmaps` of the hashes in the one column that occur twice or more."""
+    (name,) = hashes.columns
+    twice = hashes.groupBy(name).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    return hash_bitmaps(twice.select(name), bits)
+
+
+def hash_bitmaps(hashes: DataFrame, bits: int = BITMAP_BITS) -> DataFrame:
+    """Bitmaps ``(bucket, bitmap)`` of the different hashes in the one column.
 
     Together they have ``bits`` bits, an eighth as many bytes, whatever the number of hashes.
     """
     if bits % BITMAP_SIZE:
         raise ValueError(f"bits must be a multiple of {BITMAP_SIZE}")
     (name,) = hashes.columns
-    twice = hashes.groupBy(name).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     place = F.pmod(F.col(name), F.lit(bits))
-    return twice.groupBy(F.bitmap_bucket_number(place).alias("bucket")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bitmap")
+    return (
+        hashes.select(F.bitmap_bucket_number(place).alias("bucket"), F.bitmap_bit_position(place).alias("at"))
+        .distinct()
+        .groupBy("bucket")
+        .agg(F.bitmap_construct_agg("at").alias("bitmap"))
     )
 
 
+def with_seen(rows: DataFrame, hashed: Column, bitmaps: DataFrame, bits: int, name: str) -> DataFrame:
+    """Rows, each with whether the bit of its hash is set; the bitmaps are broadcast, no row is moved."""
+    place = F.pmod(hashed, F.lit(bits))
+    maps = F.broadcast(bitmaps.toDF(BUCKET, BITMAP))
+    marked = rows.join(maps, F.bitmap_bucket_number(place) == F.col(BUCKET), "left")
+    seen = F.coalesce(_bit(F.col(BITMAP), F.bitmap_bit_position(place)), F.lit(False))
+    return marked.withColumn(name, seen).drop(BUCKET, BITMAP)
+
+
 def _bit(bitmap: Column, position: Column) -> Column:
     """One bit of a bitmap, lowest bit of a byte first."""
     byte = F.substring(bitmap, (position / 8).cast("int") + 1, F.lit(1))
@@ -64,13 +82,8 @@ def dedup_few(df: DataFrame, bits: int = BITMAP_BITS) -> DataFrame:
     The table is scanned three times, so it should be a stored one that gives the same rows each time.
     """
     hashed = df.withColumn(HASH, F.xxhash64(*[F.col(f"`{name}`") for name in df.columns]))
-    bitmaps = repeated_hashes(hashed.select(HASH), bits).toDF(BUCKET, BITMAP)
-    place = F.pmod(F.col(HASH), F.lit(bits))
-    marked = hashed.join(
-        F.broadcast(bitmaps), F.bitmap_bucket_number(place) == F.col(BUCKET), "left"
-    )
-    seen = F.coalesce(_bit(F.col(BITMAP), F.bitmap_bit_position(place)), F.lit(False))
-    told = marked.select(*[df[f"`{name}`"] for name in df.columns], seen.alias(SEEN))
+    bitmaps = repeated_hashes(hashed.select(HASH), bits)
+    told = with_seen(hashed, F.col(HASH), bitmaps, bits, SEEN).drop(HASH)
     alone = told.filter(~F.col(SEEN)).drop(SEEN)
     return alone.unionByName(told.filter(SEEN).drop(SEEN).dropDuplicates())
 
