@@ -101,6 +101,18 @@ def brute_words(rows, run, words):
     }
 
 
+def test_small_bitmaps_only_move_more(make_docs):
+    rows = random_rows(9, ["a", "b c", "", *map(str, range(40))])
+    found = {r.doc_id: r.text for r in dedup_lines(make_docs(rows), words=2, bits=32_768).collect()}
+    assert found == brute_words(rows, 3, 2)
+
+
+def test_hot_fingerprints_and_names_are_not_joined_on(make_docs):
+    """The only join that moves rows is that of texts that lose lines with their own results."""
+    plan = dedup_lines(make_docs(["a\nb\nc"] * 5), words=50)._jdf.queryExecution().optimizedPlan().toString()
+    assert "mark" not in plan and "name_a" not in plan
+
+
 def test_long_passages_of_one_or_two_lines_go(make_docs):
     one, half = " ".join(f"w{k}" for k in range(300)), " ".join(f"v{k}" for k in range(30))
     rows = [(key, f"top {key}\n{one}\nend {key}") for key in range(100)]

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as contract
 import corpus_pipeline as cp
 from checks.compare import database, difference
-from tests.llm.test_lines import brute as brute_lines
+from tests.llm.test_lines import brute_words
 from tests.llm.test_simhash import groups, plain_fingerprint
 from tiermill.llm import queries as llm
 from tiermill.llm.bpe import default_vocabulary
@@ -58,7 +58,7 @@ def test_toxic_documents_go(spark, stages):
 
 def test_later_line_runs_go_and_documents_stay(stages):
     before, after = texts(stages[1]), texts(stages[2])
-    assert after == brute_lines(list(before.items()))
+    assert after == brute_words(list(before.items()), 3, 50)
     sizes = stages[2].filter(F.length("text") != F.col("n_chars")).count()
     assert sizes == 0
 
@@ -103,7 +103,7 @@ def test_the_pipeline_takes_hard_texts_and_an_empty_table(spark, make_docs, hard
 
 def test_every_operator_and_the_pipeline_are_registered():
     names = contract.queries()
-    for number in range(1, 11):
+    for number in range(1, 14):
         assert len([name for name in names if name.startswith(f"op{number}_")]) == 1
     assert "pipeline" in names
     assert set(llm.oracle_sql()) <= set(llm.queries())
@@ -126,6 +126,7 @@ def test_queries_equal_their_sql(spark, sf_dir, name):
         ("op7_chat", ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]),
         ("op9_toxicity", ["doc_id", "held_out", "score", "predicted"]),
         ("op10_simhash", ["doc_id", "fingerprint", "component_id"]),
+        ("op11_cover", ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]),
     ],
 )
 def test_queries_return_the_stated_columns(spark, sf_dir, name, columns):

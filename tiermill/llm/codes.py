@@ -37,8 +37,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructField, StructType
 
-from tiermill.llm.common import finite, join_totals, stored, to_python
-from tiermill.sources.workspace import remove_folder, work_folder
+from tiermill.llm.common import finite, join_totals, stored, table_folder, to_python
+from tiermill.sources.workspace import remove_folder
 
 PARTS = 8
 ENTRIES = 16
@@ -344,7 +344,7 @@ def vector_codes(
     schema = StructType([*schema.fields[:2], StructField("labels", ArrayType(kind)), *schema.fields[2:]])
 
     def write(frame: DataFrame) -> str:
-        path = work_folder(spark, "codes-round")
+        path = table_folder(spark, "codes-round")
         frame.write.parquet(path)
         return path
 

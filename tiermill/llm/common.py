@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -26,9 +28,34 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+RUN_FOLDER: ContextVar[str | None] = ContextVar("run folder", default=None)
+
+
+@contextmanager
+def run_folder(spark: SparkSession) -> Iterator[str]:
+    """A folder for all tables that operators write between their steps while the block runs.
+
+    Without it they lie side by side in the session's shared folder, for good. Results are lazy and may read
+    them: write what you need, then remove the folder with `remove_folder`.
+    """
+    path = work_folder(spark, "run")
+    token = RUN_FOLDER.set(path)
+    try:
+        yield path
+    finally:
+        RUN_FOLDER.reset(token)
+
+
+def table_folder(spark: SparkSession, purpose: str) -> str:
+    """A new folder for a table between steps."""
+    path = work_folder(spark, purpose)
+    run = RUN_FOLDER.get()
+    return f"{run}/{path.rpartition('/')[2]}" if run else path
+
+
 def stored(df: DataFrame, purpose: str) -> DataFrame:
     """Write rows to the session's shared folder and read them back, which ends their lineage."""
-    path = work_folder(df.sparkSession, purpose)
+    path = table_folder(df.sparkSession, purpose)
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
 
@@ -46,7 +73,7 @@ def bucketed(df: DataFrame, key: str, buckets: int, purpose: str) -> DataFrame:
     The catalog knows the table only while it is written; its files stay like those of `stored`.
     """
     spark = df.sparkSession
-    path = work_folder(spark, purpose)
+    path = table_folder(spark, purpose)
     name = path.rpartition("/")[2].replace("-", "_")
     writer = df.repartition(buckets, key).write.format("parquet").bucketBy(buckets, key)
     writer.option("path", path).saveAsTable(name)

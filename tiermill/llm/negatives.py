@@ -27,8 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tiermill.llm.common import finite, stored, to_python
-from tiermill.sources.workspace import work_folder
+from tiermill.llm.common import finite, stored, table_folder, to_python
 
 SCALE = 256
 BLOCK = 4096
@@ -303,7 +302,7 @@ def hard_negatives(
         ),
         "negatives-anchors",
     )
-    path = work_folder(spark, "negatives-found")
+    path = table_folder(spark, "negatives-found")
     spark.createDataFrame([], schema).write.parquet(path)
     for turn in _turns(chosen, anchors_at_once):
         anchors = Anchors(turn, residues)

@@ -14,32 +14,37 @@ from tiermill.llm.common import table
 from tiermill.llm.cover import remove_repeated_bytes
 from tiermill.llm.decontaminate import find_leaks
 from tiermill.llm.hilbert import hilbert_shards
-from tiermill.llm.lines import dedup_lines
+from tiermill.llm.lines import RUN_WORDS, dedup_lines
 from tiermill.llm.negatives import hard_negatives
 from tiermill.llm.quality import quality_rules
 from tiermill.llm.recompression import remove_repeats
 from tiermill.llm.simhash import near_duplicates
 from tiermill.llm.toxicity import toxicity
 
-# Runs of three lines by content; lines are numbered among those with a word.
+# Runs of three lines, or of fewer with 50 words, by content; lines are numbered among those with a word.
 LINES_SQL = r"""
 WITH lines AS (
     SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
            generate_subscripts(string_split(text, chr(10)), 1) AS i
     FROM documents WHERE text IS NOT NULL
 ), full_lines AS (
-    SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS k
+    SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS k,
+           len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS words
     FROM lines WHERE regexp_matches(line, '[^\x20\x09-\x0D]')
-), windows AS (
-    SELECT doc_id, k, line AS a, lead(line, 1) OVER p AS b, lead(line, 2) OVER p AS c
+), threes AS (
+    SELECT *, lead(line, 1) OVER p AS b, lead(line, 2) OVER p AS c, lead(words, 1) OVER p AS b_words
     FROM full_lines WINDOW p AS (PARTITION BY doc_id ORDER BY k)
+), windows AS (
+    SELECT doc_id, k, [line, b, c] AS content FROM threes WHERE c IS NOT NULL
+    UNION ALL SELECT doc_id, k, [line, b] FROM threes WHERE b IS NOT NULL AND words + b_words >= 50
+    UNION ALL SELECT doc_id, k, [line] FROM threes WHERE words >= 50
 ), named AS (
-    SELECT doc_id, k, count(*) OVER (PARTITION BY a, b, c) AS n,
-           row_number() OVER (PARTITION BY a, b, c ORDER BY doc_id, k) AS nth
-    FROM windows WHERE c IS NOT NULL
+    SELECT doc_id, k, len(content) AS size, count(*) OVER (PARTITION BY content) AS n,
+           row_number() OVER (PARTITION BY content ORDER BY doc_id, k) AS nth
+    FROM windows
 ), covered AS (
     SELECT doc_id, k + step AS k, max(CASE WHEN nth = 1 THEN 1 ELSE 0 END) AS kept
-    FROM named, (SELECT unnest([0, 1, 2]) AS step) WHERE n > 1 GROUP BY ALL
+    FROM named, (SELECT unnest([0, 1, 2]) AS step) WHERE n > 1 AND step < size GROUP BY ALL
 ), cut AS (
     SELECT f.doc_id, f.i FROM full_lines f JOIN covered c USING (doc_id, k) WHERE c.kept = 0
 ), left_over AS (
@@ -208,8 +213,8 @@ def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document without its later copies of runs of three lines."""
-    return dedup_lines(table(spark, sf_dir, "documents")).select(
+    """Every document without its later copies of runs of three lines, or of fewer with 50 words."""
+    return dedup_lines(table(spark, sf_dir, "documents"), words=RUN_WORDS).select(
         "doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256")
     )
 
