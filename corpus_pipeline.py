@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tiermill.llm.bpe import bpe_encode
 from tiermill.llm.common import stored, table
 from tiermill.llm.decontaminate import drop_leaks
-from tiermill.llm.lines import dedup_lines
+from tiermill.llm.lines import RUN_WORDS, dedup_lines
 from tiermill.llm.simhash import representatives
 from tiermill.llm.toxicity import drop_toxic
 
@@ -26,8 +26,11 @@ def drop_toxic_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without their later copies of line runs; every document stays, if need be empty."""
-    return dedup_lines(docs).withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
+    """Texts without their later copies of line runs, and of long passages in fewer lines.
+
+    Every document stays, if need be empty.
+    """
+    return dedup_lines(docs, words=RUN_WORDS).withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -10,6 +10,14 @@ SHARED_DIR = "spark.checkpoint.dir"
 WAREHOUSE_DIR = "spark.sql.warehouse.dir"
 
 
+def _scheme(spark: SparkSession, path: str) -> str:
+    """The file system of a path; one without a scheme is on the session's default file system."""
+    if ":/" in path:
+        return path.partition(":")[0]
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getUri().getScheme()
+
+
 def work_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder in the shared storage the session names in ``spark.checkpoint.dir``.
 
@@ -20,7 +28,7 @@ def work_folder(spark: SparkSession, purpose: str) -> str:
     if not base:
         base = spark.conf.get(WAREHOUSE_DIR, None) or ""
         cluster = not spark.conf.get("spark.master", "").startswith("local")
-        if not base or cluster and (base.startswith("file:") or "://" not in base):
+        if not base or cluster and _scheme(spark, base) == "file":
             raise ValueError(f"set {SHARED_DIR} to a folder all executors can reach")
     return f"{base.rstrip('/')}/{purpose}-{uuid4().hex[:12]}"
 
