@@ -1,6 +1,8 @@
 from __future__ import annotations
 
 import hashlib
+import random
+from collections import Counter
 
 import pytest
 
@@ -95,6 +97,92 @@ def test_a_long_conversation_streams_through(spark):
     assert digests(spark, rows) == {1: expected(turns), 2: expected([("user", "q")])}
 
 
+@pytest.fixture
+def many_ranges(spark):
+    """As many ranges as partitions, however small."""
+    settings = {"spark.sql.shuffle.partitions": "7", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {key: spark.conf.get(key) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    yield
+    for key, value in before.items():
+        spark.conf.set(key, value)
+
+
+def conversations_of(seed):
+    """A conversation with two thirds of all rows, one without an id, and short ones; odd roles and ties."""
+    rng = random.Random(seed)
+    sizes = {5: 400, None: 60, **{at: rng.randint(1, 4) for at in range(10, 60)}}
+    rows = [
+        (conv, at // 2 if rng.random() < 0.1 else at, rng.choice(["user", "assistant", "user", "system", "", None, "tool"]), rng.choice(HARD))
+        for conv, size in sizes.items()
+        for at in range(size)
+    ]
+    rows += [(5, 401, "user", "same") for _ in range(50)]
+    rng.shuffle(rows)
+    return rows
+
+
+def formatted(rows):
+    """Segments of every conversation by the template's definition, one turn after the other."""
+    layout, controls = chat.Template(), chat.Template().pattern()
+    found = {}
+    for conv, _, role, text in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1], r[2] or "", r[3] or "")):
+        role, text = role or "", text or ""
+        if conv not in found:
+            found[conv] = [("", [(layout.begin, False, True)])]
+        ok = role in layout.order.get(found[conv][-1][0], ())
+        first, end = layout.roles.get(role, (f"[ROLE]{role}[TEXT]", "[/TEXT]"))
+        body = (chat.escape(text, controls), role == "assistant", ok)
+        found[conv].append((role, [(first, False, ok), body, (end, False, ok)]))
+    return {
+        conv: [s for _, part in turns for s in part] + [(layout.end, False, turns[-1][0] == "assistant")]
+        for conv, turns in found.items()
+    }
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_ranges_change_nothing(spark, many_ranges, seed):
+    rows = conversations_of(seed)
+    wanted = formatted(rows)
+    segments = chat.format_chat(table(spark, rows).repartition(5))
+    found = {}
+    for r in sorted(segments.collect(), key=lambda r: (r.place, r.part)):
+        found.setdefault(r.conv_id, []).append((r.segment, r.loss, r.ok))
+    assert found == wanted
+    # The large conversation is formatted by several tasks.
+    sizes = Counter(r.place >> chat.RANGE_BITS for r in segments.filter("segment = '[/INST]' OR conv_id = 5").collect())
+    assert len(sizes) >= 4
+    for r in chat.read_back(segments).collect():
+        ordered = sorted(((t, role or "", text or "") for c, t, role, text in rows if c == r.conv_id))
+        assert (r.n_turns, r.turns_sha256, r.loss_chars, r.loss_sha256) == expected([turn[1:] for turn in ordered])
+        assert r.formatted_chars == sum(len(s[0]) for s in wanted[r.conv_id])
+        assert r.valid == all(s[2] for s in wanted[r.conv_id])
+
+
+def test_long_texts_are_put_together_from_runs(spark, many_ranges):
+    turns = [("user" if at % 2 == 0 else "assistant", f"{at} [INST]" + "ab" * 400_000) for at in range(8)]
+    rows = [(1, at, *turn) for at, turn in enumerate(turns)] + [(2, 0, "user", "q")]
+    assert digests(spark, rows) == {1: expected(turns), 2: expected([("user", "q")])}
+
+
+def test_runs_hold_few_bytes_and_whole_conversations_none():
+    layout = chat.Template()
+    body = "x" * (chat.RUN_BYTES // 2)
+
+    def segments(conv, place, turns):
+        yield conv, place, layout.begin, False, True
+        for at in range(turns):
+            yield from ((conv, place + at, piece, False, True) for piece in ("[INST]", body, "[/INST]"))
+        yield conv, place + turns - 1, layout.end, False, True
+
+    runs = list(chat._runs([*segments(1, 0, 1), *segments(2, 1, 9)], layout))
+    assert runs[0][0] == 1 and runs[0][6] is None and runs[0][8]
+    assert [len(run[6]) for run in runs[1:]] == [2 * (len(body) + 6)] * 4 + [len(body) + 6]
+    with pytest.raises(ValueError, match="outside a turn"):
+        list(chat._runs([(1, 0, "half a turn", False, True)], layout))
+
+
 def test_empty_table(spark):
     assert digests(spark, []) == {}
 
