@@ -5,6 +5,7 @@ import re
 from collections import Counter
 
 import pytest
+import regex
 from pyspark.sql import functions as F
 
 from tiermill.llm import quality as ql
@@ -89,6 +90,63 @@ def test_labels_agree_with_the_verdict(spark):
     assert kept[1] > 0.98 and kept[0] < 0.2
 
 
+def median_shares(counts):
+    """The middle share of every bin, the lower one of two; texts without any count tell nothing."""
+    shares = [[x / sum(row) for x in row] for row in counts if row and sum(row)]
+    return [sorted(column)[(len(shares) + 1) // 2 - 1] for column in zip(*shares)]
+
+
+def verdicts(docs):
+    """``doc_id: (kept, class distance, word distance)`` of ``(doc_id, text, lang)`` by definition."""
+    tokens = {key: regex.findall(r"[\p{L}\p{N}]+", (text or "").lower()) for key, text, _ in docs}
+    by_lang, common = {}, {}
+    for key, _, lang in docs:
+        by_lang.setdefault(lang or "", Counter()).update(tokens[key])
+    for lang, counts in by_lang.items():
+        enough = [word for word, n in counts.items() if n > 1 and n >= ql.COMMON_SHARE * counts.total()]
+        common[lang] = sorted(enough, key=lambda word: (-counts[word], word))[: ql.COMMON_WORDS]
+    rows = {}
+    for key, text, lang in docs:
+        text, lang = text or "", lang or ""
+        n_words, chars, symbols, _, repeated = brute(text)
+        letters, upper, digits = (len(regex.findall(kind, text)) for kind in (r"\p{L}", r"\p{Lu}", r"\p{N}"))
+        classes = [letters - upper, upper, digits, len(text) - chars, symbols, chars - letters - digits - symbols]
+        seen = Counter(tokens[key])
+        words = [seen[word] for word in common[lang]]
+        words.append(len(tokens[key]) - sum(words))
+        rows[key] = lang, n_words, n_words < 20 or 100 * repeated > 30 * n_words, classes, words
+    usual = {}
+    for lang in by_lang:
+        good = [row for row in rows.values() if row[0] == lang and not row[2]]
+        usual[lang] = (
+            median_shares([row[3] for row in good]),
+            median_shares([row[4] for row in good if row[1] >= ql.MIN_COMMON_WORDS]),
+        )
+    found = {}
+    for key, (lang, n_words, failed, *both) in rows.items():
+        far = [
+            None if not reference or not sum(reference) or not sum(counts) else distance(counts, reference)
+            for counts, reference in zip(both, usual[lang])
+        ]
+        limits = [(0, least, bound) for least, bound in ql.MAX_CLASS_DISTANCE]
+        limits.append((1, ql.MIN_COMMON_WORDS, ql.MAX_WORD_DISTANCE))
+        over = any(far[at] is not None and n_words >= least and far[at] > bound for at, least, bound in limits)
+        found[key] = (not failed and not over, *far)
+    return found
+
+
+def test_verdicts_and_distances_are_those_of_brute_force(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    wanted = verdicts([tuple(row) for row in docs.select("doc_id", "text", "lang").collect()])
+    rows = {row.doc_id: row for row in ql.quality_rules(docs).collect()}
+    assert len(rows) == len(wanted) and len({kept for kept, *_ in wanted.values()}) == 2
+    for key, (kept, *far) in wanted.items():
+        assert rows[key].kept == kept, key
+        # The medians are approximate by a thousandth of the rank: class shares differ in every text.
+        assert rows[key].class_distance == pytest.approx(far[0], abs=1e-3), key
+        assert rows[key].word_distance == pytest.approx(far[1], abs=1e-9), key
+
+
 def test_null_language_equal_rows_and_empty_table(make_docs, prose):
     text = prose(1, 60, seed=5)[0]
     rows = ql.quality_rules(make_docs([(None, text), (1, text), (1, text)], langs=[None, "en", "en"])).collect()

@@ -1,8 +1,12 @@
 from __future__ import annotations
 
+import math
 import random
+import re
+import statistics
 import time
 import zlib
+from collections import Counter
 
 import pytest
 
@@ -65,6 +69,61 @@ def test_held_out_documents_are_told_apart(labelled):
     assert sum(row.predicted == truth[row.doc_id] for row in held) / len(held) > 0.97
 
 
+def test_model_and_scores_are_those_of_brute_force(labelled):
+    docs, labels = labelled
+    texts = {row.doc_id: row.text for row in docs.collect()}
+    toxic = {row.doc_id: row.toxic for row in labels.collect()}
+    words = {key: re.findall(r"[a-z]+", text.lower()) for key, text in texts.items()}
+    learnt = [key for key in texts if zlib.crc32(str(key).encode()) % 5]
+    assert len({texts[key] for key in learnt}) == len(learnt)
+
+    # Documents of each kind that hold a word or a beginning.
+    sizes, held = Counter(toxic[key] for key in learnt), (Counter(), Counter())
+    for key in learnt:
+        units = {word for word in words[key]}
+        units |= {word[:size] + "*" for word in words[key] for size in (4, 5, 6) if len(word) >= size}
+        held[toxic[key]].update(units)
+    weight = max(10.0, 0.01 * len(learnt))
+    gains = {}
+    for unit in held[0] | held[1]:
+        prior = weight * (held[0][unit] + held[1][unit]) / len(learnt)
+        logit = [math.log((held[k][unit] + prior) / (sizes[k] + weight - held[k][unit] - prior + 1)) for k in (0, 1)]
+        gain = logit[1] - logit[0]
+        if gain >= math.log(20) and gain / math.sqrt(sum(1 / (held[k][unit] + prior) for k in (0, 1))) >= 3:
+            gains[unit] = gain
+    model = tx.learn(docs, labels)
+    assert gains and model.gains == pytest.approx(gains)
+
+    def scan(key):
+        values = []
+        for word in words[key]:
+            units = [word, *(word[:size] + "*" for size in (6, 5, 4) if len(word) >= size)]
+            values.append(next((gains[unit] for unit in units if unit in gains), -0.05))
+        return all_maximal(values)
+
+    # The tail of clean documents' segments, with one imagined segment of a usual unit.
+    found = {key: scan(key) for key in texts}
+    chance = [score for key in learnt if not toxic[key] for score in found[key]]
+    clean_words = sum(len(words[key]) for key in learnt if not toxic[key])
+    typical = statistics.median(gains.values())
+    least = min([*chance, typical] if chance else [0.0, typical])
+    decay = 1 / max(statistics.fmean([*chance, typical]) - least, 0.1)
+    rate = (len(chance) + 1) / (clean_words + 1) * math.exp(decay * least)
+    assert (model.decay, model.rate) == pytest.approx((decay, rate))
+
+    def evidence(key):
+        return sum(max(0.0, decay * score - math.log(len(words[key]) * rate)) for score in found[key])
+
+    # At the fit the ridged likelihood is flat.
+    x = {key: math.log1p(evidence(key)) for key in texts}
+    p = {key: 1 / (1 + math.exp(-max(-30.0, min(30.0, model.offset + model.slope * x[key])))) for key in texts}
+    scale = len(learnt) / 100
+    assert sum(p[key] - toxic[key] for key in learnt) + 1e-3 * scale * model.offset == pytest.approx(0, abs=1e-4)
+    assert sum((p[key] - toxic[key]) * x[key] for key in learnt) + 1e-2 * scale * model.slope == pytest.approx(0, abs=1e-4)
+    scores = {row.doc_id: row.score for row in tx.score_toxicity(docs, model).collect()}
+    assert scores == pytest.approx(p)
+
+
 def test_labels_of_held_out_documents_change_nothing(spark, labelled):
     docs, labels = labelled
     flipped = labels.selectExpr(
