@@ -18,11 +18,13 @@ from tiermill.operators.columns import (
     strip_non_letters,
 )
 from tiermill.operators.dedup import (
+    BITMAP_BITS,
     dedup_by_key,
     dedup_few,
     dedup_rows,
     hash_bitmaps,
     repeated_hashes,
+    split_repeated,
     with_seen,
 )
 from tiermill.operators.quality import (
@@ -37,6 +39,7 @@ from tiermill.operators.quality import (
 )
 
 __all__ = [
+    "BITMAP_BITS",
     "account",
     "canonicalize",
     "cast_columns",
@@ -64,6 +67,7 @@ __all__ = [
     "repeated_hashes",
     "require",
     "split_path",
+    "split_repeated",
     "strip_non_letters",
     "with_seen",
 ]

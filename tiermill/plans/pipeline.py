@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tiermill import operators as op
 from tiermill import rules
 from tiermill.plans.gold import all_marts
 from tiermill.plans.layers import (
@@ -64,6 +65,7 @@ def run_pipeline(
     tables: bool = False,
     input_bytes: int | None = None,
     fingerprint: str | None = None,
+    bits: int | None = None,
 ) -> DataFrame:
     """Write every layer under ``root`` and return the mart row counts ``(mart, rows)``.
 
@@ -78,6 +80,9 @@ def run_pipeline(
     ``fingerprint`` says what inputs and parameters a run is for. It is stored with every layer table in one
     step with the rows; a run for the same fingerprint goes on where the last one ended and writes only
     the tables that are not there yet.
+
+    ``bits`` is for raw orders that give the same rows each time they are read, as files do: they are read three
+    times, and only rows that may have an equal are moved (`dedup_few`).
     """
 
     def finished(layer: str, name: str) -> bool:
@@ -94,7 +99,7 @@ def run_pipeline(
         return read_layer(spark, root, layer, name, fmt)
 
     def orders_to_marts() -> DataFrame:
-        bronze = write(lambda: bronze_orders(raw_orders), "bronze", ORDERS)
+        bronze = write(lambda: bronze_orders(raw_orders, bits), "bronze", ORDERS)
         silver = write(lambda: silver_orders(bronze), "silver", ORDERS)
         marts = all_marts(silver)
         due = {name: mart for name, mart in marts.items() if not finished(MART_LAYER, name)}
@@ -167,4 +172,5 @@ def run_csv_pipeline(
         tables,
         input_bytes=size,
         fingerprint=input_fingerprint(spark, paths, fmt, encoding, schema) if resume else None,
+        bits=op.BITMAP_BITS,
     )
