@@ -190,3 +190,34 @@ def test_the_sample_does_not_depend_on_ids(make_docs, prose):
     docs = make_docs([(None, text) for text in texts] + [(None, texts[0])] * 400)
     assert dc.sampled_texts(docs, 10_000_000).count() <= 3
     assert dc.sampled_texts(docs, 800).count() == len(set(texts))
+
+
+def test_models_are_fitted_on_all_texts(make_docs, prose, monkeypatch):
+    """Also of more texts than the bounded sample would hold."""
+    texts = prose(40, 30)
+    docs, fitted, plain = make_docs(texts), [], dc.sampled_texts
+
+    def seen(*args):
+        fitted.append(plain(*args))
+        return fitted[-1]
+
+    monkeypatch.setattr(dc, "SAMPLE_DOCS", 1)
+    monkeypatch.setattr(dc, "sampled_texts", seen)
+    benchmark = docs.sparkSession.createDataFrame([(1, texts[5])], "item_id long, text string")
+    assert dc.find_leaks(docs, benchmark).count() >= 1
+    assert [row.text for row in fitted[0].orderBy("text").collect()] == sorted(texts)
+
+
+def test_sums_of_products_are_those_of_the_rows():
+    rng = dc.np.random.default_rng(3)
+    rows = [sorted(rng.choice(50, n, replace=False).tolist()) for n in (4, 1, 9, 50)]
+    values = [rng.random(len(row)).tolist() for row in rows]
+    kind = dc.pa.schema([("ids", dc.pa.list_(dc.pa.int32())), ("vals", dc.pa.list_(dc.pa.float64()))])
+    batch = dc.pa.RecordBatch.from_pydict({"ids": rows, "vals": values}, schema=kind)
+    dense = dc.np.zeros((4, 50))
+    for at, (row, value) in enumerate(zip(rows, values)):
+        dense[at, row] = value
+    basis, total = rng.random((50, 3)), dc.np.zeros((50, 3))
+    for start in (0, 1):
+        dc._add_gram(total, basis, batch.slice(start, 1 + 2 * start))
+    assert dc.np.allclose(total, dense.T @ dense @ basis, rtol=1e-5)

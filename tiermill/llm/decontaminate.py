@@ -2,7 +2,7 @@
 
 Passages are half-overlapping windows of words. A TF-IDF space over the benchmark's own terms, with
 document frequencies from all documents, is reduced by a randomised SVD whose matrix (benchmark
-items, weighted up, and passages of a bounded sample of documents) is spread over Spark tasks: tasks
+items, weighted up, and the passages of all different texts) is spread over Spark tasks: tasks
 return their part of ``A'A Q``, summed per block of terms. Every passage of every text is projected
 and compared with every item by cosine; candidates are checked by the longest common subsequence of
 the item with the words around the passage, and of the item's answer (its last sentence). Items longer
@@ -171,6 +171,21 @@ def _document_counts(docs: DataFrame, vocabulary: set[str]) -> tuple[dict[str, i
     return counts, counts.pop("", 0)
 
 
+def _add_gram(total: np.ndarray, basis: np.ndarray, batch: pa.RecordBatch) -> None:
+    """Add some rows' part of ``A'A Q``; a row's terms are different and at least one."""
+    ids, values = batch.column("ids"), batch.column("vals")
+    at, weight = ids.flatten().to_numpy(), values.flatten().to_numpy().astype(np.float32)
+    sizes = np.diff(ids.offsets.to_numpy())
+    if not len(at):
+        return
+    row = np.repeat(np.arange(len(sizes)), sizes)
+    terms, place = np.unique(at, return_inverse=True)
+    # Few terms of many occur in so few rows: there the products are dense.
+    dense = np.zeros((len(sizes), len(terms)), np.float32)
+    dense[row, place] = weight
+    total[terms] += dense.T @ (dense @ basis[terms])
+
+
 def _gram_times(rows: DataFrame, terms: int, basis: np.ndarray) -> np.ndarray:
     """``A'A Q`` for the sparse rows of A, summed over tasks per block of terms."""
     shared = rows.sparkSession.sparkContext.broadcast(basis)
@@ -179,10 +194,8 @@ def _gram_times(rows: DataFrame, terms: int, basis: np.ndarray) -> np.ndarray:
     def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((terms, width), np.float32)
         for batch in batches:
-            for ids, values in zip(batch.column("ids"), batch.column("vals")):
-                at = ids.values.to_numpy()
-                weight = values.values.to_numpy().astype(np.float32)
-                total[at] += weight[:, None] * (weight @ shared.value[at])
+            for start in range(0, batch.num_rows, PASSAGES_AT_ONCE):
+                _add_gram(total, shared.value, batch.slice(start, PASSAGES_AT_ONCE))
         for block in range(0, terms, TERM_BLOCK):
             part = total[block : block + TERM_BLOCK]
             if part.any():
@@ -243,12 +256,15 @@ def vocabulary_of(items: list[tuple]) -> set[str]:
 def sampled_texts(docs: DataFrame, total: int, sample: int = SAMPLE_DOCS) -> DataFrame:
     """About ``sample`` different texts, those with the least hashes; written, as every block reads them.
 
-    Copies count once, so a hot text does not fill the sample; null texts count as empty.
+    With ``sample`` no less than ``total``, as the searches fit their models, these are all texts. Copies count
+    once, so a hot text does not weigh more; null texts count as empty.
     """
     step = 1_000_000
     share = max(1, step * sample // max(1, total))
     text = F.coalesce("text", F.lit("")).alias("text")
-    chosen = docs.select(text).filter(F.pmod(F.xxhash64("text"), F.lit(step)) < share)
+    chosen = docs.select(text)
+    if share < step:
+        chosen = chosen.filter(F.pmod(F.xxhash64("text"), F.lit(step)) < share)
     return stored(chosen.distinct(), "sampled-texts")
 
 
@@ -256,7 +272,6 @@ def fit(
     docs: DataFrame,
     items: list[tuple],
     rank: int = RANK,
-    sample: int = SAMPLE_DOCS,
     counted: tuple[dict[str, int], int] | None = None,
     texts: DataFrame | None = None,
 ) -> Model | None:
@@ -298,8 +313,15 @@ def fit(
 
     def passages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         terms, idf = shared.value
+        ids, values = [], []
+
+        def some() -> pa.RecordBatch:
+            columns = [pa.array(ids, pa.list_(pa.int32())), pa.array(values, pa.list_(pa.float64()))]
+            ids.clear()
+            values.clear()
+            return pa.RecordBatch.from_arrays(columns, names=["ids", "vals"])
+
         for batch in batches:
-            ids, values = [], []
             for text in batch.column("text"):
                 tokens = tokens_of(text.as_py())
                 for start in range(0, max(1, len(tokens) - STRIDE), STRIDE):
@@ -307,14 +329,13 @@ def fit(
                     if at:
                         ids.append(at)
                         values.append(value)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.list_(pa.int32())), pa.array(values, pa.list_(pa.float64()))],
-                names=["ids", "vals"],
-            )
+                    if len(ids) == PASSAGES_AT_ONCE:
+                        yield some()
+        yield some()
 
-    texts = sampled_texts(docs, total, sample) if texts is None else texts
-    sampled = to_python(texts).mapInArrow(passages, kind)
-    matrix = stored(heavy.unionByName(sampled), "passages")  # read once per multiplication
+    texts = sampled_texts(docs, total, total) if texts is None else texts
+    found = to_python(texts).mapInArrow(passages, kind)
+    matrix = stored(heavy.unionByName(found), "passages")  # read once per multiplication
     space = latent_space(matrix, len(terms), rank)
     weights = (space * idf[:, None]).astype(np.float32)
     vectors = np.zeros((space.shape[1], len(columns)), np.float32)
@@ -414,14 +435,14 @@ def _item_blocks(benchmark: DataFrame) -> Iterator[list[list[tuple]]]:
 def _models(docs: DataFrame, benchmark: DataFrame) -> Iterator[list[Model]]:
     """The models of the blocks that one pass searches.
 
-    For each of these lists the texts are read once, to count terms; the sample is taken once for all.
+    For each of these lists the texts are read once, to count terms; the different ones are written once for all.
     """
     texts = None
     for blocks in _item_blocks(benchmark):
         vocabulary = {token for block in blocks for token in vocabulary_of(block)}
         counted = _document_counts(docs, vocabulary) if vocabulary else ({}, 0)
         if texts is None and counted[1]:
-            texts = sampled_texts(docs, counted[1])
+            texts = sampled_texts(docs, counted[1], counted[1])
         models = [fit(docs, block, counted=counted, texts=texts) for block in blocks]
         if found := [model for model in models if model]:
             yield found
