@@ -76,3 +76,23 @@ def test_csv_inputs_are_packed(spark, sf_dir, tmp_path):
     path = catalog.orders_csv(spark, sf_dir, str(tmp_path))
     names = [row.path for row in spark.read.format("binaryFile").load(path).select("path").collect()]
     assert names and all(name.endswith(".gz") for name in names)
+
+
+def test_zeros_have_no_sign_in_rows_that_stay(raw):
+    half = op.dedup.F.expr("if(order_id % 2 = 0, -0D, 1.5D)")
+    signed = raw.withColumn("longitude", half)
+    for one in (layers.bronze_orders(signed, op.BITMAP_BITS), layers.raw_silver_orders(signed)):
+        shown = {row[0] for row in one.selectExpr("cast(longitude AS string)").distinct().collect()}
+        assert shown == {"0.0", "1.5"}
+        assert one.filter("longitude = 0 and cast(longitude AS string) = '-0.0'").count() == 0
+
+
+def test_buckets_read_from_buckets_are_not_dealt_again(spark, raw, tmp_path, monkeypatch):
+    from tiermill.plans import late
+
+    dealt, plain = [], late.replace_buckets
+    monkeypatch.setattr(late, "replace_buckets", lambda *a, **k: dealt.append(k.get("dealt", False)) or plain(*a, **k))
+    bronze = layers.bronze_orders(raw)
+    late.add_orders(bronze, str(tmp_path / "late"), buckets=4)
+    assert dealt == [False, True]
+    assert same_rows(late.orders_of(spark, str(tmp_path / "late")), layers.silver_orders(bronze))
