@@ -96,3 +96,11 @@ def test_buckets_read_from_buckets_are_not_dealt_again(spark, raw, tmp_path, mon
     late.add_orders(bronze, str(tmp_path / "late"), buckets=4)
     assert dealt == [False, True]
     assert same_rows(late.orders_of(spark, str(tmp_path / "late")), layers.silver_orders(bronze))
+
+
+def test_bitmaps_are_broadcast_in_short_pieces(spark):
+    rows = spark.range(1000).select(op.dedup.F.xxhash64("id").alias("h"))
+    told = op.with_seen(rows, op.dedup.F.col("h"), op.hash_bitmaps(rows.limit(10)), op.BITMAP_BITS, "seen")
+    assert told.filter("seen").count() == 10
+    plan = told._jdf.queryExecution().optimizedPlan().toString()
+    assert "hex(" not in plan and "bitmap_count" in plan

@@ -16,6 +16,8 @@ BUCKET, BITMAP = "__row_bucket", "__row_bitmap"
 BITMAP_BITS = 1 << 27
 # Bits and bytes of one bitmap of Spark's bitmap functions.
 BITMAP_SIZE = 32_768
+PIECE_BITS = 1024
+PIECES = BITMAP_SIZE // PIECE_BITS
 
 
 def dedup_rows(
@@ -56,26 +58,36 @@ def hash_bitmaps(hashes: DataFrame, bits: int = BITMAP_BITS) -> DataFrame:
 
 
 def with_seen(rows: DataFrame, hashed: Column, bitmaps: DataFrame, bits: int, name: str) -> DataFrame:
-    """Rows, each with whether the bit of its hash is set; the bitmaps are broadcast, no row is moved."""
+    """Rows, each with whether the bit of its hash is set; the bitmaps are broadcast, no row is moved.
+
+    They are broadcast in pieces of `PIECE_BITS` bits, without those that are empty: a row copies its piece.
+    """
     place = F.pmod(hashed, F.lit(bits))
-    maps = F.broadcast(bitmaps.toDF(BUCKET, BITMAP).select(BUCKET, _words(BITMAP).alias(BITMAP)))
-    marked = rows.join(maps, F.bitmap_bucket_number(place) == F.col(BUCKET), "left")
-    seen = F.coalesce(_bit(F.col(BITMAP), F.bitmap_bit_position(place)), F.lit(False))
+    bucket, at = F.bitmap_bucket_number(place), F.bitmap_bit_position(place)
+    pieces = bitmaps.toDF(BUCKET, BITMAP).select(F.explode(_pieces(F.col(BUCKET), F.col(BITMAP))).alias("p"))
+    maps = F.broadcast(pieces.select("p.*").filter(F.bitmap_count(BITMAP) > 0))
+    piece = bucket * PIECES + F.shiftright(at, PIECE_BITS.bit_length() - 1)
+    marked = rows.join(maps, piece == F.col(BUCKET), "left")
+    seen = F.coalesce(_bit(F.col(BITMAP), F.pmod(at, F.lit(PIECE_BITS)).cast("int")), F.lit(False))
     return marked.withColumn(name, seen).drop(BUCKET, BITMAP)
 
 
-def _words(bitmap: str) -> Column:
-    """A bitmap as integers of four bytes, of which a row can look at one without copying the rest."""
-    word = f"conv(hex(substring({bitmap}, 4 * at + 1, 4)), 16, 10)"
-    signed = f"cast(cast({word} AS bigint) - if({word} >= 2147483648, 4294967296, 0) AS int)"
-    return F.expr(f"transform(sequence(0, {BITMAP_SIZE // 32 - 1}), at -> {signed})")
+def _pieces(bucket: Column, bitmap: Column) -> Column:
+    """The pieces of a bitmap, numbered over all bitmaps."""
+    size = PIECE_BITS // 8
+    return F.transform(
+        F.sequence(F.lit(0), F.lit(PIECES - 1)),
+        lambda at: F.struct(
+            (bucket * PIECES + at).alias(BUCKET), F.substring(bitmap, at * size + 1, F.lit(size)).alias(BITMAP)
+        ),
+    )
 
 
-def _bit(words: Column, position: Column) -> Column:
-    """One bit of a bitmap's words: highest byte of a word first, lowest bit of a byte first."""
-    at = position.cast("int")
-    word = F.get(words, F.shiftright(at, 5))
-    return F.bit_get(word, at.bitwiseAND(31).bitwiseXOR(F.lit(24))) != 0
+def _bit(bitmap: Column, position: Column) -> Column:
+    """One bit of a bitmap, lowest bit of a byte first."""
+    byte = F.substring(bitmap, F.shiftright(position, 3) + 1, F.lit(1))
+    # Latin-1 has a letter of the same number for every byte.
+    return F.bit_get(F.ascii(F.decode(byte, "ISO-8859-1")), position.bitwiseAND(7)) != 0
 
 
 def split_repeated(
