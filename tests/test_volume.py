@@ -104,3 +104,18 @@ def test_bitmaps_are_broadcast_in_short_pieces(spark):
     assert told.filter("seen").count() == 10
     plan = told._jdf.queryExecution().optimizedPlan().toString()
     assert "hex(" not in plan and "bitmap_count" in plan
+
+
+def test_sums_and_sets_of_ids_apart_give_the_same_marts(spark, raw):
+    from tiermill.plans import gold
+
+    silver = layers.silver_orders(layers.bronze_orders(raw))
+    parts = [silver.filter(f"pmod(order_id, 3) = {at}") for at in range(3)]
+    for name, mart in gold.MARTS.items():
+        apart = [part.transform(mart.state, apart=True) for part in parts]
+        mixed = [apart[0], parts[1].transform(mart.state), apart[2]]
+        wanted = mart.build(silver, ordered=False)
+        for states in (apart, mixed, [mart.merged(apart[:2]), apart[2]]):
+            assert same_rows(mart.finished(mart.merged(states), ordered=False), wanted)
+    wide = gold.MARTS["kpi_summary"].state(silver, apart=True)
+    assert wide.filter("order_id__rows IS NOT NULL").count() == silver.select("market", "category_name").distinct().count()

@@ -48,14 +48,15 @@ def add_load(
 ) -> DataFrame:
     """Add the silver orders of one load, rewrite the marts, and return their row counts ``(mart, rows)``.
 
-    The states of the marts are written side by side, each from one scan of its columns.
+    The states of the marts are written side by side, each from a scan of its columns, and one of its ids if it
+    counts any: ``silver`` should be a stored table.
     """
     if not load or "/" in load or load.startswith((".", "_")):
         raise ValueError(f"{load!r} cannot name a load")
     spark = silver.sparkSession
 
     def keep(name: str) -> None:
-        write_layer(MARTS[name].state(silver), root, STATE, f"{name}/{load}", fmt)
+        write_layer(MARTS[name].state(silver, apart=True), root, STATE, f"{name}/{load}", fmt)
 
     with ThreadPoolExecutor(len(MARTS)) as pool:
         list(pool.map(inheritable_thread_target(spark)(keep), MARTS))
