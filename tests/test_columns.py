@@ -195,3 +195,11 @@ def test_integers_are_exact_and_suffixes_are_no_numbers(values):
         found = values(texts, lambda df: op.cast_columns(df, {"x": kind}))
         big = 2**53 + 1 if kind == "bigint" else None
         assert found == [None, None, 3, big, 1000, None, None, None, 4], kind
+
+
+def test_letters_of_plain_texts_are_those_of_the_pattern(spark):
+    letters = "".join(map(chr, range(128)))
+    texts = [letters, *letters, "a" + letters[::-1] + "é", "Türkei 1", "", None, " x ", "Nation City-2"]
+    df = spark.createDataFrame([(text,) for text in texts], "x string")
+    shown = df.select(fn.letters_only(F.col("x")).alias("got"), F.trim(F.regexp_replace("x", r"[^a-zA-Z\s]", "")).alias("want"))
+    assert all(row.got == row.want for row in shown.collect())
