@@ -334,6 +334,7 @@ REPORT_QUERIES = {
 CSV_OPTIONS = {
     "header": True,
     "compression": "gzip",
+    "zlib.compress.level": "BEST_SPEED",
     "ignoreLeadingWhiteSpace": False,
     "ignoreTrailingWhiteSpace": False,
 }
@@ -351,10 +352,17 @@ def logs_csv(spark: SparkSession, sf_dir: str, folder: str) -> str:
     return path
 
 
+def _bronze_of_file(raw: DataFrame) -> DataFrame:
+    """Bronze rows of an order file, which is parsed once: rows with their types are stored, then compared."""
+    root = work_folder(raw.sparkSession, "typed-orders")
+    write_layer(layers.typed_orders(raw), root, "typed", "orders")
+    return layers.bronze_orders(read_layer(raw.sparkSession, root, "typed", "orders"), op.BITMAP_BITS)
+
+
 def csv_round_trip_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders written as CSV under original-style headers, read back, bronze."""
     path = orders_csv(spark, sf_dir, work_folder(spark, "csv-orders"))
-    read = layers.bronze_orders(read_orders_csv(spark, path))
+    read = _bronze_of_file(read_orders_csv(spark, path))
     whole = {name: "int" for name in ["order_item_id"]}
     return settle(op.cast_columns(read, whole), NOISY)
 
@@ -595,7 +603,7 @@ def log_rejects_from_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
 def order_shapes_from_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines with values or shapes that do not fit, and what becomes of every line."""
     raw = _raw_order_lines(spark, sf_dir)
-    return _rejects_and_accounts(layers.order_rejects(raw), layers.order_accounts(raw))
+    return _rejects_and_accounts(layers.order_rejects(raw), layers.order_accounts(raw, _bronze_of_file(raw)))
 
 
 def log_quarantine_from_csv(spark: SparkSession, sf_dir: str) -> DataFrame:

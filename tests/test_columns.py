@@ -203,3 +203,14 @@ def test_letters_of_plain_texts_are_those_of_the_pattern(spark):
     df = spark.createDataFrame([(text,) for text in texts], "x string")
     shown = df.select(fn.letters_only(F.col("x")).alias("got"), F.trim(F.regexp_replace("x", r"[^a-zA-Z\s]", "")).alias("want"))
     assert all(row.got == row.want for row in shown.collect())
+
+
+@pytest.mark.parametrize("kind", ["int", "bigint"])
+def test_plain_integers_convert_as_by_decimal(spark, kind):
+    texts = ["1", "-7", "+5", " 3 ", "\t4\n", "3.0", "2.9", "1e3", "5d", "5L", "", " ", "-", "5.", ".5", "5\x7f", "٣",
+             "2147483648", "9223372036854775807", "9223372036854775808", "9" * 30, "0x1", "1_0", "1,0", "NaN", None]
+    df = spark.createDataFrame([(text,) for text in texts], "x string")
+    shown = df.select("x", fn.as_type(F.col("x"), kind, "string").alias("got"), fn.as_type(F.col("x"), kind).alias("want"))
+    assert all(row.got == row.want for row in shown.collect())
+    plan = op.cast_columns(df, {"x": kind})
+    assert "coalesce" in plan._jdf.queryExecution().optimizedPlan().toString()

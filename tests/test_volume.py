@@ -98,6 +98,16 @@ def test_buckets_read_from_buckets_are_not_dealt_again(spark, raw, tmp_path, mon
     assert same_rows(late.orders_of(spark, str(tmp_path / "late")), layers.silver_orders(bronze))
 
 
+def test_an_order_file_is_parsed_once_and_its_rows_stay(spark, sf_dir, tmp_path):
+    path = catalog.orders_csv(spark, sf_dir, str(tmp_path))
+    raw = catalog.read_orders_csv(spark, path)
+    plain, few = layers.bronze_orders(raw), catalog._bronze_of_file(raw)
+    assert same_rows(plain, few) and few.dtypes == plain.dtypes
+    assert "csv" not in few._jdf.queryExecution().executedPlan().toString().lower()
+    assert shuffled_bytes(few)[0] < shuffled_bytes(plain)[0] * 0.3
+    assert layers.order_accounts(raw).collect() == layers.order_accounts(raw, few).collect()
+
+
 def test_bitmaps_are_broadcast_in_short_pieces(spark):
     rows = spark.range(1000).select(op.dedup.F.xxhash64("id").alias("h"))
     told = op.with_seen(rows, op.dedup.F.col("h"), op.hash_bitmaps(rows.limit(10)), op.BITMAP_BITS, "seen")

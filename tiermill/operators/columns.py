@@ -44,7 +44,8 @@ def rename_positional(df: DataFrame, names: Sequence[str]) -> DataFrame:
 
 def cast_columns(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
     """Cast the named columns; a value that does not convert becomes null."""
-    return df.withColumns({name: fn.as_type(F.col(name), to) for name, to in types.items()})
+    kinds = dict(df.dtypes)
+    return df.withColumns({name: fn.as_type(F.col(name), to, kinds.get(name)) for name, to in types.items()})
 
 
 def drop_columns(df: DataFrame, names: Sequence[str]) -> DataFrame:

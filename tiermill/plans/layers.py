@@ -143,8 +143,9 @@ Checks = dict[str, tuple[str | Column, Column]]
 
 def _conversions(named: DataFrame) -> Checks:
     """Every column that bronze or silver converts for this input, and how."""
+    kinds = dict(named.dtypes)
     checks = {
-        name: (name, fn.as_type(F.col(name), to)) for name, to in order_casts(named).items()
+        name: (name, fn.as_type(F.col(name), to, kinds[name])) for name, to in order_casts(named).items()
     }
     for source in rules.ORDER_TIMES.values():
         checks[source] = (source, fn.parse_time(F.col(source)))
@@ -215,14 +216,16 @@ def order_quarantine(raw: DataFrame) -> DataFrame:
     return _set_aside(named, _conversions(named))
 
 
-def order_accounts(raw: DataFrame) -> DataFrame:
+def order_accounts(raw: DataFrame, bronze: DataFrame | None = None) -> DataFrame:
     """What bronze makes of every raw order row: ``(fate, rows)``, adding up to all rows.
 
     A row goes for its shape, for a required value that does not convert, for one that is not there, or
-    as a copy of an equal one, whichever comes first; the rest is kept.
+    as a copy of an equal one, whichever comes first; the rest is kept. ``bronze`` is `bronze_orders` of
+    these rows, if the caller has it.
     """
     named = op.normalize_names(raw)
-    return _accounts(named, _conversions(named), rules.ORDER_REQUIRED, bronze_orders(raw))
+    kept = bronze_orders(raw) if bronze is None else bronze
+    return _accounts(named, _conversions(named), rules.ORDER_REQUIRED, kept)
 
 
 def _named_logs(raw: DataFrame) -> DataFrame:
