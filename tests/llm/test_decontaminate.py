@@ -221,3 +221,87 @@ def test_sums_of_products_are_those_of_the_rows():
     for start in (0, 1):
         dc._add_gram(total, basis, batch.slice(start, 1 + 2 * start))
     assert dc.np.allclose(total, dense.T @ dense @ basis, rtol=1e-5)
+
+
+def test_tokens_are_those_of_the_pattern():
+    every = "".join(f"a{chr(code)}B" for code in range(0x110000) if not 0xD800 <= code < 0xE000)
+    texts = [every[start : start + 90] for start in range(0, len(every), 90)]
+    texts += [every, None, "", "ΑΣ. ΑΣΑ", "It's 1_000 İs\x1cß\xa0ﬁ", "naïve_café — «x»" * 3]
+    for text in texts:
+        assert dc.tokens_of(text) == dc.TOKEN.findall((text or "").lower())
+
+
+def counted(texts, vocabulary):
+    return {word: n for word in vocabulary if (n := sum(word in dc.tokens_of(text) for text in texts))}
+
+
+def test_terms_are_counted_over_all_documents(make_docs, hard_texts, prose):
+    texts = [*hard_texts, *prose(20, 80, seed=3), *prose(5, 80, seed=3)]
+    vocabulary = {"lion", "the", "same", "nowhere", *prose(1, 40, seed=3)[0].split()}
+    coded = dc.code_texts(dc.sampled_texts(make_docs(texts), 1, 1), vocabulary)
+    assert (coded.counts, coded.total) == (counted(texts, vocabulary), len(texts))
+    assert coded.rows.count() == len({text or "" for text in texts})
+    empty = dc.code_texts(dc.sampled_texts(make_docs([]), 1, 1), vocabulary)
+    assert (empty.counts, empty.total) == ({}, 0)
+
+
+def dense_passages(texts, terms, idf):
+    """A row per passage of every different text, made one by one."""
+    rows = []
+    for text in {text or "" for text in texts}:
+        tokens = dc.tokens_of(text)
+        for start in range(0, max(1, len(tokens) - dc.STRIDE), dc.STRIDE):
+            at, values = dc._sparse(tokens[start : start + 2 * dc.STRIDE], terms, idf, 1.0)
+            row = np.zeros(len(terms))
+            row[at] = values
+            rows.append(row)
+    return np.array(rows)
+
+
+def test_pair_sums_are_those_of_all_passages(make_docs, hard_texts, prose, monkeypatch):
+    sizes = (1, 23, 24, 25, 47, 48, 49, 72, 73, 200)
+    texts = [*hard_texts, *(text for size in sizes for text in prose(3, size, seed=size)), *prose(3, 200, seed=200)]
+    words = sorted({token for text in prose(4, 60, seed=48) for token in dc.tokens_of(text)} | {"lion", "two", "bear"})
+    terms = {word: at for at, word in enumerate(words[::2])}
+    idf = np.linspace(0.5, 3, len(terms))
+    # Known words that are no terms count for nothing.
+    coded = dc.code_texts(dc.sampled_texts(make_docs(texts), 1, 1), set(words))
+    dense = dense_passages(texts, terms, idf)
+    basis = np.random.default_rng(4).random((len(terms), 5)).astype(np.float32)
+    monkeypatch.setattr(dc, "PAIR_ROWS", 7)
+    product = dc._pair_sums_times(dc._pair_sums(coded, terms, idf), len(terms), basis)
+    assert np.allclose(product, dense.T @ (dense @ basis), rtol=1e-4)
+    listed = np.zeros((0, len(terms)))
+    for ids, values in dc._passages(coded, terms, idf).collect():
+        listed = np.vstack([listed, np.zeros(len(terms))])
+        listed[-1, ids] = values
+    filled = dense[dense.any(axis=1)]
+    order, other = np.lexsort(listed.round(6).T), np.lexsort(filled.round(6).T)
+    assert np.allclose(listed[order], filled[other])
+
+
+def test_few_terms_read_the_passages_once(planted, monkeypatch):
+    """No table of passages is written and read for every multiplication."""
+    docs, bench, leaks, *_ = planted
+    written, plain = [], dc.stored
+    monkeypatch.setattr(dc, "stored", lambda df, purpose: written.append(purpose) or plain(df, purpose))
+    assert {(r.doc_id, r.item_id) for r in dc.find_leaks(docs, bench).collect()} == leaks
+    assert written == ["sampled-texts", "coded-texts", "pair-sums"]
+
+
+def test_many_terms_find_the_same(planted, monkeypatch):
+    docs, bench, leaks, *_ = planted
+    few = {(r.doc_id, r.item_id): r.cosine for r in dc.find_leaks(docs, bench).collect()}
+    monkeypatch.setattr(dc, "PAIRS", 0)
+    many = {(r.doc_id, r.item_id): r.cosine for r in dc.find_leaks(docs, bench).collect()}
+    assert few.keys() == many.keys() == leaks
+    assert all(abs(few[key] - many[key]) < 1e-3 for key in leaks)
+
+
+def test_sums_of_runs_are_those_of_their_terms():
+    rng = np.random.default_rng(6)
+    weights, term = rng.random((30, 8)).astype(np.float32), rng.integers(0, 30, 200)
+    hits = rng.integers(1, 12, 25)
+    heads = np.cumsum(hits) - hits
+    plain = [weights[term[head : head + n]].sum(axis=0) for head, n in zip(heads, hits)]
+    assert np.allclose(dc._sums_of(weights, term, heads, hits), plain, rtol=1e-5)
