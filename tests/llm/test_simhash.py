@@ -5,6 +5,7 @@ import random
 import pytest
 import xxhash
 
+from tests.plans import physical_plan
 from tiermill.llm import simhash as sh
 from tiermill.llm.components import components
 
@@ -68,6 +69,18 @@ def test_links_join_what_all_pairs_join(spark, bucket):
     assert {fp: found.get(fp, fp) for fp in signed.values()} == wanted
 
 
+def test_exploded_rows_are_not_broadcast(spark, tmp_path, monkeypatch):
+    path, plans, kept = str(tmp_path / "nodes"), [], sh.stored
+    spark.range(500).selectExpr("id * 3 AS fp").write.parquet(path)
+    monkeypatch.setattr(sh, "stored", lambda df, to: plans.append(physical_plan(df)) or kept(df, to))
+    edges = sh.links(spark.read.parquet(path), 4, 100)
+    assert len(plans) == 1 and "BroadcastExchange" not in plans[0] and "SortMergeJoin" in plans[0]
+    tree = physical_plan(edges).split("\n\n")[0]
+    # The masks' flips are broadcast, to either side of the join of midpoints; that join is none.
+    assert tree.count("SortMergeJoin") == 1 and tree.count("BroadcastHashJoin") == 2
+    assert edges.filter("u <> v").count() > 0
+
+
 def test_components_of_long_paths_and_stars(spark):
     rng = random.Random(2)
     path = list(range(200))

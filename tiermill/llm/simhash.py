@@ -135,8 +135,9 @@ def links(nodes: DataFrame, radius: int = 4, bucket: int = BUCKET) -> DataFrame:
     )
     rows = nodes.select("fp", F.explode(tables).alias("b")).select("b.t", "b.key", "fp")
     shared = rows.groupBy("t", "key").agg(F.count("*").alias("n")).filter("n > 1")
-    # Written once: both kinds of bucket read it, and most fingerprints share no bucket.
-    met = stored(rows.join(shared, ["t", "key"]), "buckets")
+    # Written once: both kinds of bucket read it, and most fingerprints share no bucket. Both joins are merge
+    # joins by hint: Spark counts an exploded row as one, and would broadcast all rows of these tables.
+    met = stored(rows.join(shared.hint("merge"), ["t", "key"]), "buckets")
     small = (
         met.filter(F.col("n") <= bucket)
         .groupBy("t", "key")
@@ -169,7 +170,7 @@ def links(nodes: DataFrame, radius: int = 4, bucket: int = BUCKET) -> DataFrame:
     )
     least = large.groupBy("t", "key", "middle").agg(F.min("fp").alias("v"))
     far = (
-        large.join(least, ["t", "key", "middle"])
+        large.join(least.hint("merge"), ["t", "key", "middle"])
         .filter("fp <> v")
         .filter(F.bit_count(F.col("fp").bitwiseXOR(F.col("v"))) <= radius)
         .select(F.col("fp").alias("u"), "v")
