@@ -1,14 +1,18 @@
 """What duplicate removals and pipelines move: only rows that share a key, and packed files."""
 
+import os
 import random
+import time
 
 import pytest
 
 from checks import queries as catalog
 from checks import star
+from tests.plans import physical_plan
 from tests.test_dedup import shuffled_bytes
 from tiermill import operators as op
 from tiermill.plans import layers
+from tiermill.sources import sizing
 
 
 @pytest.fixture
@@ -130,3 +134,75 @@ def test_sums_and_sets_of_ids_apart_give_the_same_marts(spark, raw):
             assert same_rows(mart.finished(mart.merged(states), ordered=False), wanted)
     wide = gold.MARTS["kpi_summary"].state(silver, apart=True)
     assert wide.filter("order_id__rows IS NOT NULL").count() == silver.select("market", "category_name").distinct().count()
+
+
+def test_large_parts_join_before_orders_and_places_last(spark, sf_dir):
+    key, rows = "spark.sql.autoBroadcastJoinThreshold", {}
+    before = spark.conf.get(key)
+    for most in (5000, 1 << 20):
+        spark.conf.set(key, str(most))
+        try:
+            raw = star.raw_orders(spark, sf_dir)
+            plan = raw._jdf.queryExecution().optimizedPlan().toString()
+            at = [plan.index(f"Relation [{name}") for name in ("l_orderkey", "p_partkey", "o_orderkey", "n_nationkey")]
+            assert (at == sorted(at)) == (most == 5000) and max(at) == at[-1]
+            hashes = raw.select(op.dedup.F.xxhash64(*raw.columns).cast("decimal(38,0)").alias("h"))
+            rows[most] = tuple(hashes.selectExpr("count(*)", "sum(h)").first())
+        finally:
+            spark.conf.set(key, before)
+    assert len(set(rows.values())) == 1
+
+
+def shuffle_files(spark):
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    return {name for name in disk.getAllFiles().mkString("\n").split("\n") if "/shuffle_" in name}
+
+
+def test_writes_leave_no_shuffle_files(spark, tmp_path):
+    from tiermill.sources import write_layer
+
+    before, rows = shuffle_files(spark), spark.range(50_000).selectExpr("id % 7777 AS k").groupBy("k").count()
+    write_layer(rows, str(tmp_path), "raw", "counts")
+    for _ in range(50):
+        if not (left := shuffle_files(spark) - before):
+            break
+        time.sleep(0.2)
+    assert not left
+
+
+def test_the_setting_for_shuffle_files_comes_back_after_the_last_block(spark):
+    before = spark.conf.get(sizing.SHUFFLE_CLEANUP)
+    first, second = sizing.shuffles_dropped(spark), sizing.shuffles_dropped(spark)
+    first.__enter__(), second.__enter__(), first.__exit__(None, None, None)
+    assert spark.conf.get(sizing.SHUFFLE_CLEANUP) == "true"
+    second.__exit__(None, None, None)
+    assert spark.conf.get(sizing.SHUFFLE_CLEANUP) == before and not sizing._cleanup
+
+
+def test_a_csv_run_parses_its_orders_once(spark, sf_dir, tmp_path, monkeypatch):
+    from tiermill.plans import pipeline
+
+    given, plain = [], pipeline.bronze_orders
+    monkeypatch.setattr(pipeline, "bronze_orders", lambda rows, bits: given.append(rows) or plain(rows, bits))
+    path = catalog.orders_csv(spark, sf_dir, str(tmp_path))
+    pipeline.run_csv_pipeline(spark, path, None, str(tmp_path / "lake"))
+    assert len(given) == 1 and layers.is_stored(given[0])
+    assert sorted(one.name for one in (tmp_path / "lake").iterdir()) == ["bronze", "gold", "silver"]
+    assert same_rows(catalog.read_layer(spark, str(tmp_path / "lake"), "bronze", "orders"), layers.bronze_orders(catalog.read_orders_csv(spark, path)))
+
+
+def test_orders_are_added_from_stored_bronze_and_raw_rows_go(spark, sf_dir, monkeypatch):
+    folders, given, plain = [], [], catalog.add_orders
+    monkeypatch.setattr(catalog, "work_folder", lambda s, to, f=catalog.work_folder: folders.append(f(s, to)) or folders[-1])
+    monkeypatch.setattr(catalog, "add_orders", lambda rows, *a, **k: given.append(rows) or plain(rows, *a, **k))
+    rows = catalog.silver_orders_from_loads(spark, sf_dir)
+    assert len(given) == 3 and all(layers.is_stored(one) for one in given)
+    assert rows.count() == layers.silver_orders(layers.bronze_orders(star.raw_orders(spark, sf_dir))).count()
+    catalog.layers_from_tables(spark, sf_dir)
+    raw = [path for path in folders if "/raw-orders-" in path]
+    assert len(raw) == 2 and not any(os.path.exists(path) for path in raw)
+
+
+def test_rejects_parse_the_file_for_counts_only(spark, sf_dir):
+    tree = physical_plan(catalog.order_rejects_from_csv(spark, sf_dir)).split("\n\n")[0]
+    assert tree.count("Scan csv") == 2

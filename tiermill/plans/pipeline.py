@@ -21,12 +21,14 @@ from tiermill.plans.layers import (
     order_quarantine,
     silver_logs,
     silver_orders,
+    typed_orders,
 )
 from tiermill.sources import (
     data_bytes,
     read_access_log_csv,
     read_layer,
     read_orders_csv,
+    remove_folder,
     scanned_bytes,
     shuffle_sized_for,
     write_layer,
@@ -37,6 +39,7 @@ from tiermill.sources.tables import DEFAULT_FORMAT, MART_LAYER, layer_note, name
 
 ORDERS, LOGS = "orders", "logs"
 QUARANTINE = "quarantine"
+TYPED = "typed"
 
 
 def input_fingerprint(spark: SparkSession, paths: list[str], *parameters: object) -> str:
@@ -66,6 +69,7 @@ def run_pipeline(
     input_bytes: int | None = None,
     fingerprint: str | None = None,
     bits: int | None = None,
+    parse_once: bool = False,
 ) -> DataFrame:
     """Write every layer under ``root`` and return the mart row counts ``(mart, rows)``.
 
@@ -82,7 +86,8 @@ def run_pipeline(
     the tables that are not there yet.
 
     ``bits`` is for raw orders that give the same rows each time they are read, as files do: they are read three
-    times, and only rows that may have an equal are moved (`dedup_few`).
+    times, and only rows that may have an equal are moved (`dedup_few`). ``parse_once`` is for files that are dear to
+    read: their rows with types are stored under ``root`` first, and read instead, until bronze is written.
     """
 
     def finished(layer: str, name: str) -> bool:
@@ -99,7 +104,14 @@ def run_pipeline(
         return read_layer(spark, root, layer, name, fmt)
 
     def orders_to_marts() -> DataFrame:
-        bronze = write(lambda: bronze_orders(raw_orders, bits), "bronze", ORDERS)
+        if parse_once and not finished("bronze", ORDERS):
+            write_layer(typed_orders(raw_orders), root, TYPED, ORDERS)
+            typed = read_layer(spark, root, TYPED, ORDERS)
+        else:
+            typed = raw_orders
+        bronze = write(lambda: bronze_orders(typed, bits), "bronze", ORDERS)
+        if typed is not raw_orders:
+            remove_folder(spark, f"{root.rstrip('/')}/{TYPED}")
         silver = write(lambda: silver_orders(bronze), "silver", ORDERS)
         marts = all_marts(silver)
         due = {name: mart for name, mart in marts.items() if not finished(MART_LAYER, name)}
@@ -173,4 +185,5 @@ def run_csv_pipeline(
         input_bytes=size,
         fingerprint=input_fingerprint(spark, paths, fmt, encoding, schema) if resume else None,
         bits=op.BITMAP_BITS,
+        parse_once=True,
     )
