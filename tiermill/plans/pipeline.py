@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from uuid import uuid4
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
@@ -35,11 +36,11 @@ from tiermill.sources import (
     write_marts,
 )
 from tiermill.sources.sizing import COLUMNAR_GROWTH, TEXT_GROWTH
-from tiermill.sources.tables import DEFAULT_FORMAT, MART_LAYER, layer_note, name_layer
+from tiermill.sources.tables import COMPRESSION, DEFAULT_FORMAT, MART_LAYER, layer_note, name_layer
 
 ORDERS, LOGS = "orders", "logs"
 QUARANTINE = "quarantine"
-TYPED = "typed"
+TYPED = "_typed"
 
 
 def input_fingerprint(spark: SparkSession, paths: list[str], *parameters: object) -> str:
@@ -104,14 +105,17 @@ def run_pipeline(
         return read_layer(spark, root, layer, name, fmt)
 
     def orders_to_marts() -> DataFrame:
-        if parse_once and not finished("bronze", ORDERS):
-            write_layer(typed_orders(raw_orders), root, TYPED, ORDERS)
-            typed = read_layer(spark, root, TYPED, ORDERS)
-        else:
-            typed = raw_orders
-        bronze = write(lambda: bronze_orders(typed, bits), "bronze", ORDERS)
-        if typed is not raw_orders:
-            remove_folder(spark, f"{root.rstrip('/')}/{TYPED}")
+        # Not a layer: it goes as soon as bronze is written, or has failed.
+        scratch = f"{root.rstrip('/')}/{TYPED}-{uuid4().hex[:12]}"
+
+        def parsed() -> DataFrame:
+            typed_orders(raw_orders).write.option("compression", COMPRESSION).parquet(scratch)
+            return spark.read.parquet(scratch)
+
+        try:
+            bronze = write(lambda: bronze_orders(parsed() if parse_once else raw_orders, bits), "bronze", ORDERS)
+        finally:
+            remove_folder(spark, scratch)
         silver = write(lambda: silver_orders(bronze), "silver", ORDERS)
         marts = all_marts(silver)
         due = {name: mart for name, mart in marts.items() if not finished(MART_LAYER, name)}
